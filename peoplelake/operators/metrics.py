@@ -145,9 +145,9 @@ def threshold_sweep(
         )
 
     table = counts.select(F.array(*[row(i, t) for i, t in enumerate(thresholds)]).alias("rows"))
-    best = F.array_max(F.transform("rows", lambda r: F.struct(r["f1"], -r["threshold"])))
-    ranked = table.select("rows", best.alias("best")).select(F.inline("rows"), "best")
-    is_best = (F.col("f1") == F.col("best")[0]) & (F.col("threshold") == -F.col("best")[1])
+    by_f1 = F.transform("rows", lambda r: F.struct(r["f1"].alias("f1"), (-r["threshold"]).alias("t")))
+    ranked = table.select("rows", F.array_max(by_f1).alias("best")).select(F.inline("rows"), "best")
+    is_best = (F.col("f1") == F.col("best.f1")) & (F.col("threshold") == -F.col("best.t"))
     return ranked.select("threshold", "precision", "recall", "f1", "n_flagged", is_best.cast("int").alias("is_best"))
 
 

@@ -161,7 +161,10 @@ def run_load(
         incremental = table.mode == "incremental_pk"
         if incremental and not full_load:
             wm = watermark_get(marks, table.source)
-            result = load_incremental_pk(source.select(*columns), read_raw(spark, config.root, table), table.key, wm)
+            # The source is read once: mark and rows both come from the staged copy of its new rows.
+            fresh = source.select(*columns).filter(F.col(table.key) > F.lit(wm))
+            fresh = materialize(fresh, raw_path(config.root, f"_staged/{table.target}"))
+            result = load_incremental_pk(fresh, read_raw(spark, config.root, table), table.key, wm)
             mark = result.watermark.first()
             if mark is None:
                 loaded[table.source] = 0

@@ -407,7 +407,10 @@ def _sql(body: str) -> str:
 
     visit(body)
     prelude = ",\n".join(f"{name} AS ({_CTE[name]})" for name in needed)
-    return f"WITH {prelude}\n{body}" if prelude else body
+    if not prelude:
+        return body
+    own_steps = body.lstrip().startswith("WITH ")
+    return f"WITH {prelude},\n{body.lstrip()[5:]}" if own_steps else f"WITH {prelude}\n{body}"
 
 
 ORACLE: dict[str, str] = {}
