@@ -160,7 +160,7 @@ def ranked_histogram(df: DataFrame, group: Sequence[str], value: str, width) ->
         df.filter(F.col(value).isNotNull())
         .groupBy(*group, value)
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_chunk", F.floor(F.col(value) / F.lit(width)).cast("long"))
+        .withColumn("_chunk", F.floor(F.col(value).cast("double") / F.lit(float(width))))
     )
     return running_totals(hist, group, "_chunk", [value], ["n"]).drop("_chunk")
 

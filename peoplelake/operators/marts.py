@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from decimal import Decimal
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -172,9 +172,10 @@ def mart_attrition(fct_attrition: DataFrame, mart_headcount_df: DataFrame, dim_d
     )
 
 
-def _percentile(value: str, p: Decimal) -> Column:
-    """Value at row ``floor(n * p) + 1`` of the ordered group, from a ranked histogram."""
-    target = F.floor(F.col("n_total") * F.lit(p)) + 1
+def _percentile(value: str, p: str) -> Column:
+    """Value at row ``floor(n * p) + 1`` of the ordered group, from a ranked histogram; integers throughout."""
+    share = Fraction(p)
+    target = F.expr(f"n_total * {share.numerator} div {share.denominator}") + 1
     hit = (F.col("n_before") < target) & (target <= F.col("n_before") + F.col("n"))
     return F.max(F.when(hit, F.col(value)))
 
@@ -187,7 +188,7 @@ def discrete_percentile(
     Not ``percentile_disc``: of 1..4 this rule picks 2 for 0.25. Rows collapse to distinct values first.
     """
     ranked = ranked_histogram(df, group, col, chunk_width)
-    return ranked.groupBy(*group).agg(*[_percentile(col, Decimal(p)).alias(name) for name, p in ps.items()])
+    return ranked.groupBy(*group).agg(*[_percentile(col, p).alias(name) for name, p in ps.items()])
 
 
 def mart_compensation(
@@ -205,7 +206,7 @@ def mart_compensation(
         F.min(s).alias("low"),
         F.max(s).alias("high"),
         total.alias("total"),
-        *[_percentile("salary_amount", Decimal(p)).alias(f"p{p[2:]}") for p in ("0.25", "0.50", "0.75")],
+        *[_percentile("salary_amount", p).alias(f"p{p[2:]}") for p in ("0.25", "0.50", "0.75")],
     )
 
     def whole(column, name):

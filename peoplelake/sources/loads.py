@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -141,52 +142,50 @@ def read_watermarks(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(WATERMARKS).parquet(path)
 
 
+def _load_table(spark: SparkSession, config: LoadConfig, table: TableConfig, marks: DataFrame, full_load: bool):
+    """Load one table; returns (rows loaded, watermark update or None)."""
+    path, staged = raw_path(config.root, table.target), raw_path(config.root, f"_staged/{table.target}")
+    source = add_lineage(config.read(table.source), config.source_prefix + table.source, config.loaded_at)
+    columns = [f.name for f in raw_schema(table).fields]
+    incremental = table.mode == "incremental_pk"
+    if incremental and not full_load:
+        wm = watermark_get(marks, table.source)
+        # The source is read once: mark and rows both come from the staged copy of its new rows.
+        fresh = materialize(source.select(*columns).filter(F.col(table.key) > F.lit(wm)), staged)
+        result = load_incremental_pk(fresh, read_raw(spark, config.root, table), table.key, wm)
+        mark = result.watermark.first()
+        if mark is None:
+            return 0, None
+        result.rows.write.mode("append").parquet(path)
+        return mark["rows_loaded"], (table.source, mark["last_loaded_id"], config.loaded_at, mark["rows_loaded"])
+    rows = load_full(source, columns)
+    if table.mode == "replace" and not full_load:
+        rows = load_replace(rows, read_raw(spark, config.root, table), table.key)
+    totals = [F.count(F.lit(1)).alias("n")] + ([F.max(table.key).alias("last_id")] if incremental else [])
+    total = materialize(rows, staged).agg(*totals).first()
+    _swap(spark, staged, path)
+    marked = incremental and total["n"] > 0
+    return total["n"], (table.source, total["last_id"], config.loaded_at, total["n"]) if marked else None
+
+
 def run_load(
     spark: SparkSession, config: LoadConfig, *, tables: Iterable[str] | None = None, full_load: bool = False
 ) -> dict[str, int]:
     """Load the configured tables into the raw layer and return rows loaded per table.
 
-    Tables are rewritten into a staging folder and then swapped, or appended to. Watermarks are written last: after
-    a crash the next run starts from the old marks and skips rows that already arrived. A full load sets the mark
-    to the highest key it loaded.
+    Tables are independent, so their jobs are submitted together. Each is rewritten into a staging folder and then
+    swapped, or appended to. Watermarks are written last, once all tables arrived: after a crash the next run starts
+    from the old marks and skips rows that are already there. A full load sets the mark to the highest key it loaded.
     """
     wanted = None if tables is None else set(tables)
-    marks, updates, loaded = read_watermarks(spark, config.root), [], {}
-    for table in config.tables:
-        if wanted is not None and table.source not in wanted:
-            continue
-        path = raw_path(config.root, table.target)
-        source = add_lineage(config.read(table.source), config.source_prefix + table.source, config.loaded_at)
-        columns = [f.name for f in raw_schema(table).fields]
-        incremental = table.mode == "incremental_pk"
-        if incremental and not full_load:
-            wm = watermark_get(marks, table.source)
-            # The source is read once: mark and rows both come from the staged copy of its new rows.
-            fresh = source.select(*columns).filter(F.col(table.key) > F.lit(wm))
-            fresh = materialize(fresh, raw_path(config.root, f"_staged/{table.target}"))
-            result = load_incremental_pk(fresh, read_raw(spark, config.root, table), table.key, wm)
-            mark = result.watermark.first()
-            if mark is None:
-                loaded[table.source] = 0
-                continue
-            result.rows.write.mode("append").parquet(path)
-            loaded[table.source] = mark["rows_loaded"]
-            updates.append((table.source, mark["last_loaded_id"], config.loaded_at, mark["rows_loaded"]))
-            continue
-        rows = load_full(source, columns)
-        if table.mode == "replace" and not full_load:
-            rows = load_replace(rows, read_raw(spark, config.root, table), table.key)
-        staged = raw_path(config.root, f"_staged/{table.target}")
-        written = materialize(rows, staged)
-        totals = [F.count(F.lit(1)).alias("n")] + ([F.max(table.key).alias("last_id")] if incremental else [])
-        total = written.agg(*totals).first()
-        _swap(spark, staged, path)
-        loaded[table.source] = total["n"]
-        if incremental and total["n"]:
-            updates.append((table.source, total["last_id"], config.loaded_at, total["n"]))
+    chosen = [t for t in config.tables if wanted is None or t.source in wanted]
+    marks = read_watermarks(spark, config.root)
+    with ThreadPoolExecutor(max_workers=max(len(chosen), 1)) as pool:
+        results = list(pool.map(lambda t: _load_table(spark, config, t, marks, full_load), chosen))
+    updates = [mark for _, mark in results if mark is not None]
     if updates:
         staged = raw_path(config.root, "_staged/_load_watermarks")
         merged = watermark_merge(marks, spark.createDataFrame(updates, WATERMARKS))
         materialize(merged.coalesce(1), staged)
         _swap(spark, staged, raw_path(config.root, "_load_watermarks"))
-    return loaded
+    return {table.source: n for table, (n, _) in zip(chosen, results)}
