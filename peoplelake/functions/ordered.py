@@ -165,12 +165,21 @@ def ranked_histogram(df: DataFrame, group: Sequence[str], value: str, width) ->
     return running_totals(hist, group, "_chunk", [value], ["n"]).drop("_chunk")
 
 
+def _first_row(df: DataFrame, key: Sequence[str], order: Sequence) -> DataFrame:
+    """First row per key. Keeping rank 1 only lets the planner cut every key to one row per task before the
+    exchange (window group limit), so a key with very many rows costs no more than any other."""
+    w = Window.partitionBy(*key).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
+
+
+def first_by_key(df: DataFrame, key: Sequence[str] | str, order: Sequence[str]) -> DataFrame:
+    """Row with the lowest ``order`` per key."""
+    return _first_row(df, [key] if isinstance(key, str) else list(key), [F.asc(c) for c in order])
+
+
 def last_by_key(df: DataFrame, key: Sequence[str] | str, order: Sequence[str]) -> DataFrame:
-    """Row with the highest ``order`` per key, as one partially aggregated pass instead of a window."""
-    key = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in key]
-    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(*key).agg(best).select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+    """Row with the highest ``order`` per key."""
+    return _first_row(df, [key] if isinstance(key, str) else list(key), [F.desc(c) for c in order])
 
 
 def rolling_mean(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peoplelake.functions.scalar import ratio
+from peoplelake.functions.scalar import quarter_key, ratio
 from peoplelake.operators.dims import current
 
 # Readable labels of the model features.
@@ -185,7 +185,9 @@ def risk_detail(
     fct_performance: DataFrame,
 ) -> DataFrame:
     """Every scored employee with labels, place, tenure and the quarter of the last review, by score."""
-    last_review = fct_performance.groupBy("employee_id").agg(F.max("year_quarter").alias("last_review_quarter"))
+    # Quarters follow dates, and the latest date is a hash aggregate where the latest text would be a sort.
+    in_calendar = fct_performance.filter(F.col("year_quarter").isNotNull())
+    last_review = in_calendar.groupBy("employee_id").agg(quarter_key(F.max("review_date")).alias("last_review_quarter"))
     rows = (
         _scored(scores, dim_employee)
         .join(dim_department.select("department_id", "department_name"), "department_id")

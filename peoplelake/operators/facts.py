@@ -61,28 +61,22 @@ def fct_salary(salaries: DataFrame, dim_date: DataFrame, hot_rows: int = HOT_ROW
 
 
 def fct_attrition(
-    changes: DataFrame, employees: DataFrame, salaries: DataFrame, fct_performance_df: DataFrame, dim_date: DataFrame
+    changes: DataFrame, employees: DataFrame, fct_salary_df: DataFrame, fct_performance_df: DataFrame, dim_date: DataFrame
 ) -> DataFrame:
     """One row per termination with the last salary and the last review of the employee.
 
-    Equal last salary dates are decided by the highest ``salary_id``. The last rows are aggregates, so the four
-    inputs meet on ``employee_id`` with one row per employee on three sides.
+    The position of an event within its employee decides which one is last, so equal salary dates go to the highest
+    ``salary_id``. The last values are hash aggregates over plain numbers, and the four inputs meet on
+    ``employee_id`` with one row per employee on three sides.
     """
     exits = changes.filter(F.col("change_type") == "termination").select(
         F.col("change_id").alias("attrition_id"), "employee_id", F.col("change_date").alias("exit_date"), "exit_type"
     )
     person = employees.select("employee_id", "department_id", "level_id", "hire_date")
-    last_salary = salaries.groupBy("employee_id").agg(
-        F.max_by("salary_amount", F.struct("effective_date", "salary_id")).alias("last_salary")
-    )
-    last_review = (
-        fct_performance_df.groupBy("employee_id")
-        .agg(F.max(F.struct("review_seq", "score", "score_4q_avg")).alias("r"))
-        .select(
-            "employee_id",
-            F.col("r.score").alias("last_perf_score"),
-            F.col("r.score_4q_avg").alias("last_4q_avg_score"),
-        )
+    last_salary = fct_salary_df.groupBy("employee_id").agg(F.max_by("salary_amount", "salary_seq").alias("last_salary"))
+    last_review = fct_performance_df.groupBy("employee_id").agg(
+        F.max_by("score", "review_seq").alias("last_perf_score"),
+        F.max_by("score_4q_avg", "review_seq").alias("last_4q_avg_score"),
     )
     days = F.datediff("exit_date", "hire_date")
     rows = (

@@ -33,7 +33,6 @@ def feat_population(dim_employee: DataFrame, cutoff: dt.date | str) -> DataFrame
 
 def feat_performance(fct_performance: DataFrame, cutoff: dt.date | str) -> DataFrame:
     """Review features up to the cutoff in one grouping; the last review is an aggregate, not a second pass."""
-    last = F.max_by(F.struct("score", "score_4q_avg", "score_delta"), F.struct("review_date", "review_id"))
     return (
         fct_performance.filter(F.col("review_date") <= day(cutoff))
         .groupBy("employee_id")
@@ -44,35 +43,24 @@ def feat_performance(fct_performance: DataFrame, cutoff: dt.date | str) -> DataF
             (F.sum((F.col("score") * 100).cast("long")).cast("double") / (F.count("score") * 100).cast("double")).alias(
                 "avg_score"
             ),
-            last.alias("_last"),
-        )
-        .select(
-            "employee_id",
-            "num_reviews",
-            "num_managers",
-            "avg_score",
-            F.col("_last.score").cast("double").alias("last_score"),
-            F.col("_last.score_4q_avg").cast("double").alias("last_4q_avg"),
-            F.col("_last.score_delta").cast("double").alias("last_score_delta"),
+            # Plain numbers by the review's position keep this a hash aggregate; a struct would force a sort.
+            F.max_by("score", "review_seq").cast("double").alias("last_score"),
+            F.max_by("score_4q_avg", "review_seq").cast("double").alias("last_4q_avg"),
+            F.max_by("score_delta", "review_seq").cast("double").alias("last_score_delta"),
         )
     )
 
 
 def feat_salary(fct_salary: DataFrame, cutoff: dt.date | str) -> DataFrame:
     c = day(cutoff)
-    last = F.max_by(
-        F.struct("salary_amount", "salary_delta_pct", "effective_date"), F.struct("effective_date", "salary_id")
-    )
     return (
         fct_salary.filter(F.col("effective_date") <= c)
         .groupBy("employee_id")
-        .agg(F.count(F.lit(1)).alias("num_salary_changes"), last.alias("_last"))
-        .select(
-            "employee_id",
-            "num_salary_changes",
-            F.col("_last.salary_amount").cast("double").alias("current_salary"),
-            F.col("_last.salary_delta_pct").cast("double").alias("last_salary_delta_pct"),
-            F.datediff(c, F.col("_last.effective_date")).alias("days_since_last_raise"),
+        .agg(
+            F.count(F.lit(1)).alias("num_salary_changes"),
+            F.max_by("salary_amount", "salary_seq").cast("double").alias("current_salary"),
+            F.max_by("salary_delta_pct", "salary_seq").cast("double").alias("last_salary_delta_pct"),
+            F.datediff(c, F.max("effective_date")).alias("days_since_last_raise"),
         )
     )
 

@@ -76,7 +76,7 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "fct_attrition": lambda w: facts.fct_attrition(
         w.view("stg_job_changes"),
         w.view("stg_employees"),
-        w.view("stg_salary_history"),
+        w.table("fct_salary"),
         w.table("fct_performance"),
         w.table("dim_date"),
     ),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from peoplelake.functions.ordered import first_by_key
 from peoplelake.schemas import SOURCES, TABLES, WATERMARKS, TableConfig
 from peoplelake.sources.sinks import materialize
 
@@ -40,12 +41,10 @@ def load_full(source: DataFrame, target_cols: Sequence[str] | None = None) -> Da
 def insert_ignore(batch: DataFrame, target: DataFrame, pk: str, order: Sequence[str]) -> DataFrame:
     """New rows of ``batch``: the first row per key in ``order``, without keys the target already holds.
 
-    First-wins is an aggregate, so copies of one key combine before they are exchanged.
+    Copies of one key are cut to one per task before they are exchanged.
     """
-    rest = [c for c in batch.columns if c != pk]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    once = batch.groupBy(pk).agg(first).select(pk, *[F.col(f"_row.{c}").alias(c) for c in rest])
-    return once.select(*batch.columns).join(target.select(pk), pk, "left_anti").select(*batch.columns)
+    once = first_by_key(batch, pk, order)
+    return once.join(target.select(pk), pk, "left_anti").select(*batch.columns)
 
 
 def load_incremental_pk(

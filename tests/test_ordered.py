@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from peoplelake.functions.ordered import hot_keys, ranked_histogram, running_totals, with_neighbours
+from peoplelake.functions.ordered import first_by_key, hot_keys, last_by_key, ranked_histogram, running_totals, with_neighbours
 from peoplelake.operators.facts import fct_performance, fct_salary
 from peoplelake.operators.dims import dim_employee
 from peoplelake.operators.features import stratified_kfold, stratified_split
@@ -98,6 +98,16 @@ def test_no_single_partition_window_over_rows(spark, sf_dir):
     assert "_chunk" in plan
 
 
+def test_keys_are_cut_before_the_exchange(spark):
+    df = spark.createDataFrame([("a", 1, 5), ("a", 2, 4), ("b", None, 1)], "k string, o long, v long")
+    last = last_by_key(df, "k", ["o"])
+    assert sorted(tuple(r) for r in last.collect()) == [("a", 2, 4), ("b", None, 1)]
+    assert sorted(tuple(r) for r in first_by_key(df, "k", ["o"]).collect()) == [("a", 1, 5), ("b", None, 1)]
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange hashpartitioning(k")
+    assert "WindowGroupLimit" in plan[exchange:] and "Partial" in plan[exchange:]
+
+
 def test_running_totals(spark):
     rng = random.Random(3)
     rows = [(rng.choice(["x", None]), i, rng.randrange(5)) for i in rng.sample(range(1000), 200)]
