@@ -126,10 +126,12 @@ def running_totals(
 ) -> DataFrame:
     """Add ``m_before`` (sum over earlier rows of the group) and ``m_total`` for each integer measure m.
 
-    ``chunk`` must be non-NULL and rise with ``order``; callers choose it so that the number of chunks is bounded
-    and each chunk is small. Callers pass pre-aggregated rows.
+    ``chunk`` is an integer that rises with ``order``; callers choose it so that the number of chunks is bounded and
+    each chunk is small. Callers pass pre-aggregated rows.
     """
     group = list(group)
+    # Without a NULL to filter, rows and offsets have the same plan below and share its exchange.
+    df = df.withColumn(chunk, F.coalesce(F.col(chunk), F.lit(0)))
     steps = Window.partitionBy(*group).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
     offsets = df.groupBy(*group, chunk).agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from peoplelake.functions.scalar import day, risk_band
 from peoplelake.operators.features import LABEL, class_weight, stratified_kfold
 from peoplelake.operators.metrics import average_precision, average_precision_by, roc_auc, roc_auc_by
-from peoplelake.sources.sinks import materialize, run_dir
+from peoplelake.sources.sinks import ensure_checkpoints, materialize, run_dir
 
 # The published training parameters.
 TREE_PARAMS = {"maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
@@ -31,7 +31,11 @@ def with_weight(df: DataFrame, label: str = LABEL) -> DataFrame:
 def train_gbt(
     df: DataFrame, columns: Sequence[str], label: str = LABEL, weight: str | None = "weight", seed: int = 42, **params
 ) -> PipelineModel:
-    """Boosted trees. Split statistics are aggregated over executors; columns are sampled per node."""
+    """Boosted trees. Split statistics are aggregated over executors; columns are sampled per node.
+
+    Each round depends on the one before, so the lineage is cut every ten rounds.
+    """
+    ensure_checkpoints(df.sparkSession)
     trees = GBTClassifier(labelCol=label, featuresCol="features", seed=seed, **{**TREE_PARAMS, **params})
     if weight is not None:
         trees = trees.setWeightCol(weight)
