@@ -68,7 +68,7 @@ _CTE: dict[str, str] = {
     "people": f"""
         SELECT k, c_name, c_mktsegment, hire_date, department_id, level_id,
                CASE WHEN c_acctbal < 5000 AND planned <= {AS_OF} THEN planned END AS exit_date
-        FROM (SELECT c_custkey AS k, c_name, c_mktsegment, c_acctbal, h.hire_date, n_regionkey + 1 AS department_id,
+        FROM (SELECT c_custkey AS k, c_name, c_mktsegment, c_acctbal, h.hire_date, (n_regionkey + 1)::BIGINT AS department_id,
                      c_custkey % 6 + 1 AS level_id,
                      h.hire_date + (90 + c_custkey * 97 % 1400)::INT AS planned
               FROM customer JOIN nation ON c_nationkey = n_nationkey
@@ -132,7 +132,7 @@ _CTE: dict[str, str] = {
                birth_date, hire_date, department_id, trim(job_title) AS job_title, level_id, manager_id,
                lower(employment_type) AS employment_type, lower(status) AS status
         FROM raw_employees WHERE hire_date IS NOT NULL""",
-    "stg_departments": "SELECT r_regionkey + 1 AS department_id, r_name AS department_name, NULL::BIGINT AS parent_id FROM region",
+    "stg_departments": "SELECT (r_regionkey + 1)::BIGINT AS department_id, r_name AS department_name, NULL::BIGINT AS parent_id FROM region",
     "stg_job_levels": f"""
         SELECT DISTINCT c_custkey % 6 + 1 AS level_id,
                {case('c_custkey % 6', {i: n.capitalize() for i, n in enumerate(LEVELS)})} AS level_name,
@@ -157,8 +157,8 @@ _CTE: dict[str, str] = {
         FROM raw_events""",
     # dimensions
     "dim_date": f"""
-        SELECT d AS date_day, year(d) AS year, month(d) AS month, day(d) AS day, quarter(d) AS quarter,
-               weekofyear(d) AS week_of_year, dayofweek(d) + 1 AS day_of_week, dayname(d) AS day_name,
+        SELECT d AS date_day, year(d)::INT AS year, month(d)::INT AS month, day(d)::INT AS day, quarter(d)::INT AS quarter,
+               weekofyear(d)::INT AS week_of_year, (dayofweek(d) + 1)::INT AS day_of_week, dayname(d) AS day_name,
                monthname(d) AS month_name, {quarter('d')} AS year_quarter, strftime(d, '%Y-%m') AS year_month_key,
                (dayofweek(d) IN (0, 6))::INT AS is_weekend, last_day(d) AS last_day_of_month
         FROM (SELECT unnest(generate_series(date_trunc('year', low), date_trunc('year', high) + INTERVAL 1 YEAR - INTERVAL 1 DAY,
@@ -187,7 +187,7 @@ _CTE: dict[str, str] = {
                CASE WHEN next_from IS NOT NULL THEN greatest(next_from - 1, valid_from)
                     WHEN status = 'terminated' AND exit_date IS NOT NULL THEN greatest(exit_date, valid_from) END AS valid_to,
                (next_from IS NULL)::INT AS is_current,
-               coalesce(exit_date, {AS_OF}) - hire_date AS tenure_days, exit_date, exit_type
+               (coalesce(exit_date, {AS_OF}) - hire_date)::INT AS tenure_days, exit_date, exit_type
         FROM numbered LEFT JOIN gone USING (employee_id)""",
     # facts
     "fct_performance": f"""
@@ -211,7 +211,7 @@ _CTE: dict[str, str] = {
         SELECT employee_id, score AS last_score, score_4q_avg AS last_4q FROM fct_performance
         QUALIFY row_number() OVER (PARTITION BY employee_id ORDER BY review_seq DESC) = 1""",
     "exit_days": """
-        SELECT x.*, e.department_id, e.level_id, e.hire_date, change_date - e.hire_date AS tenure_days
+        SELECT x.*, e.department_id, e.level_id, e.hire_date, (change_date - e.hire_date)::INT AS tenure_days
         FROM stg_changes x JOIN stg_employees e USING (employee_id) WHERE change_type = 'termination'""",
     "fct_attrition": f"""
         SELECT x.*, {rdiv('400 * x.tenure_days', '1461', 0)}::BIGINT AS tenure_h, last_salary, last_score, last_4q
@@ -239,8 +239,8 @@ _CTE: dict[str, str] = {
                count(DISTINCT year_month_key) AS months
         FROM headcount_base GROUP BY 1, 2""",
     "exit_sums": f"""
-        SELECT {quarter('change_date')} AS exit_year_quarter, year(change_date) AS exit_year, quarter(change_date) AS exit_quarter,
-               department_id, count(*) AS exits_total, count(*) FILTER (exit_type = 'voluntary') AS exits_voluntary,
+        SELECT {quarter('change_date')} AS exit_year_quarter, year(change_date)::INT AS exit_year,
+               quarter(change_date)::INT AS exit_quarter, department_id, count(*) AS exits_total, count(*) FILTER (exit_type = 'voluntary') AS exits_voluntary,
                count(*) FILTER (exit_type = 'involuntary') AS exits_involuntary,
                count(*) FILTER (exit_type = 'retirement') AS exits_retirement,
                sum(tenure_h) AS tenure, sum(last_score) AS scores, count(last_score) AS n_scores,
@@ -283,7 +283,7 @@ _CTE: dict[str, str] = {
                    count(DISTINCT candidate_id) FILTER (stage = 'interview') AS interview,
                    count(DISTINCT candidate_id) FILTER (stage = 'offer') AS offer
             FROM stg_events GROUP BY 1, 2)
-        SELECT {quarter('started')} AS year_quarter, year(started) AS year, quarter(started) AS quarter, department_id,
+        SELECT {quarter('started')} AS year_quarter, year(started)::INT AS year, quarter(started)::INT AS quarter, department_id,
                count(DISTINCT requisition_id) AS total_requisitions, sum(applied)::BIGINT AS cnt_applied,
                sum(screening)::BIGINT AS cnt_screening, sum(interview)::BIGINT AS cnt_interview,
                sum(offer)::BIGINT AS cnt_offer, sum(was_hired)::BIGINT AS cnt_hired,
@@ -320,7 +320,7 @@ def _features(name: str, cutoff: str) -> None:
         FROM fct_performance WHERE review_date <= {cutoff} GROUP BY 1"""
     _CTE[f"sal_{name}"] = f"""
         SELECT employee_id, count(*) OVER (PARTITION BY employee_id) AS num_salary_changes, amount AS current_salary,
-               change_pct AS last_salary_delta_pct, {cutoff} - effective_date AS days_since_last_raise
+               change_pct AS last_salary_delta_pct, ({cutoff} - effective_date)::INT AS days_since_last_raise
         FROM fct_salary WHERE effective_date <= {cutoff}
         QUALIFY row_number() OVER (PARTITION BY employee_id ORDER BY salary_seq DESC) = 1"""
     _CTE[f"rate_{name}"] = f"""
@@ -338,7 +338,7 @@ def _features(name: str, cutoff: str) -> None:
                coalesce(current_salary, 0) AS current_salary, coalesce(last_salary_delta_pct, 0) AS last_salary_delta_pct,
                coalesce(days_since_last_raise, 9999) AS days_since_last_raise,
                coalesce({rdiv(f"4 * ({cutoff} - birth_date)", '1461', 1)}, 0) AS age,
-               {cutoff} - hire_date AS tenure_days_at_cutoff, coalesce(dept_attrition_rate, 0) AS dept_attrition_rate,
+               ({cutoff} - hire_date)::INT AS tenure_days_at_cutoff, coalesce(dept_attrition_rate, 0) AS dept_attrition_rate,
                (exit_date IS NOT NULL AND exit_date > {cutoff} AND exit_date <= {cutoff} + 180)::INT AS left_180d
         FROM pop_{name} LEFT JOIN perf_{name} USING (employee_id) LEFT JOIN sal_{name} USING (employee_id)
         LEFT JOIN rate_{name} USING (department_id)"""
@@ -494,7 +494,7 @@ _add(
 )
 _add(
     "quarters_between",
-    f"""SELECT employee_id, q::DATE AS quarter_start, year(q) AS year, quarter(q) AS quarter
+    f"""SELECT employee_id, q::DATE AS quarter_start, year(q)::INT AS year, quarter(q)::INT AS quarter
         FROM (SELECT employee_id, unnest(generate_series(date_trunc('quarter', hire_date), coalesce(exit_date, {AS_OF}),
                                                          INTERVAL 3 MONTH)) AS q
               FROM dim_employee WHERE is_current = 1)""",
@@ -522,8 +522,8 @@ _add(
     f"""SELECT change_id AS attrition_id, employee_id, change_date AS exit_date, exit_type, department_id, level_id,
                hire_date, tenure_days, tenure_h::DOUBLE / 100 AS tenure_years, {cents('last_salary')} AS last_salary,
                {cents('last_score')} AS last_perf_score, last_4q AS last_4q_avg_score,
-               {quarter('change_date')} AS exit_year_quarter, year(change_date) AS exit_year,
-               quarter(change_date) AS exit_quarter
+               {quarter('change_date')} AS exit_year_quarter, year(change_date)::INT AS exit_year,
+               quarter(change_date)::INT AS exit_quarter
         FROM fct_attrition""",
 )
 _add(
@@ -768,7 +768,7 @@ _add(
 )
 _add(
     "attrition_rank",
-    f"""SELECT *, {status('attrition', 'mean_rate')} AS status, dense_rank() OVER (ORDER BY mean_rate DESC) AS rank
+    f"""SELECT *, {status('attrition', 'mean_rate')} AS status, (dense_rank() OVER (ORDER BY mean_rate DESC))::INT AS rank
         FROM (SELECT department_name, {_MEAN_RATE} AS mean_rate FROM mart_attrition
               WHERE exit_year_quarter {_IN_QUARTERS} AND attrition_rate_pct IS NOT NULL GROUP BY 1)""",
 )
@@ -1122,7 +1122,7 @@ _add(
 _add(
     "calibration_curve",
     """WITH e AS (SELECT quantile_cont(risk_score, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges FROM labelled),
-       b AS (SELECT risk_score, y, len(list_filter(edges, lambda q: q < risk_score)) AS bin FROM labelled, e)
+       b AS (SELECT risk_score, y, len(list_filter(edges, lambda q: q < risk_score))::INT AS bin FROM labelled, e)
        SELECT bin, round(avg(risk_score), 4) AS mean_pred, round(avg(y), 4) AS frac_pos, count(*) AS n FROM b GROUP BY 1""",
 )
 _add(
