@@ -4,7 +4,8 @@ A plain window sorts all rows of a key in one task. That is the right plan for o
 hold a large share of all rows. Two primitives here give the same results without that limit:
 
 ``with_neighbours``  row number and the nearest rows before and after, per key. Keys above ``hot_rows`` rows are
-                     cut into one piece per chunk (a date); the pieces are stitched with a per-piece summary.
+                     cut into one piece per chunk (a date), and a chunk above ``hot_rows`` rows further by ranges of
+                     its integer tie-breaker; the pieces are stitched with a per-piece summary.
 ``running_totals``   totals over all strictly earlier rows of a group, computed as the offset of the row's chunk
                      plus a window inside the chunk.
 """
@@ -15,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_ROWS = 5_000_000
 
@@ -42,7 +44,7 @@ def with_neighbours(
     """
     hot = F.broadcast(hot_keys(df, key, hot_rows))
     ordinary = _window_neighbours(df.join(hot, key, "left_anti"), key, chunk, tie, carry, back, ahead)
-    heavy = _chunked_neighbours(df.join(hot, key, "left_semi"), key, chunk, tie, carry, back, ahead)
+    heavy = _chunked_neighbours(df.join(hot, key, "left_semi"), key, chunk, tie, carry, back, ahead, hot_rows)
     return ordinary.unionByName(heavy)
 
 
@@ -56,10 +58,32 @@ def _window_neighbours(df, key, chunk, tie, carry, back, ahead):
     )
 
 
-def _chunked_neighbours(df, key, chunk, tie, carry, back, ahead):
+def with_pieces(df: DataFrame, key: str, chunk: str, tie: Sequence[str], hot_rows: int) -> DataFrame:
+    """Add ``_piece``, which orders the rows of a key coarsely: chunk, leading ties, range of the last tie.
+
+    Only chunks above ``hot_rows`` rows get more than one range. There are at most ``rows / hot_rows`` of them, which
+    bounds the broadcast; their ranges have equal width between the exact smallest and largest tie.
+    """
+    *lead, last = tie
+    place = F.coalesce(F.col(chunk).cast("string"), F.lit(""))
+    if not isinstance(df.schema[last].dataType, T.IntegralType):
+        return df.withColumn("_piece", F.struct(place.alias("c"), *lead))
+    crowded = (
+        df.groupBy(F.col(key).alias("_wide_key"), place.alias("_wide_chunk"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(last).alias("_low"), F.max(last).alias("_high"))
+        .filter(F.col("_n") > hot_rows)
+        .select("_wide_key", "_wide_chunk", "_low", F.expr(f"(_high - _low) div (_n div {max(hot_rows, 1)} + 1) + 1").alias("_width"))
+    )
+    marked = df.withColumn("_place", place)
+    match = (F.col(key) == F.col("_wide_key")) & (F.col("_place") == F.col("_wide_chunk"))
+    block = F.coalesce(F.expr(f"({last} - _low) div _width"), F.lit(0))
+    rows = marked.join(F.broadcast(crowded), match, "left")
+    return rows.select(*df.columns, F.struct(F.col("_place").alias("c"), *lead, block.alias("b")).alias("_piece"))
+
+
+def _chunked_neighbours(df, key, chunk, tie, carry, back, ahead, hot_rows):
     columns = df.columns
-    piece = F.coalesce(F.col(chunk).cast("string"), F.lit(""))
-    rows = df.withColumn("_piece", piece)
+    rows = with_pieces(df, key, chunk, tie, hot_rows)
     local = Window.partitionBy(key, "_piece").orderBy(*tie)
     whole = Window.partitionBy(key, "_piece")
     rows = rows.select(
@@ -86,7 +110,7 @@ def _chunked_neighbours(df, key, chunk, tie, carry, back, ahead):
             F.reverse(F.filter("_edge", lambda r: r["_rn"] > F.col("_size") - back)).alias("_tail"),
         )
     )
-    # One row per (key, date): bounded by the calendar for any key.
+    # One row per piece: about one per day, plus one per ``hot_rows`` rows of a crowded day.
     steps = Window.partitionBy(key).orderBy("_piece")
     empty = F.slice("_head", 1, 0)
 

@@ -16,6 +16,9 @@ from peoplelake.schemas import SOURCES, TABLES, WATERMARKS, TableConfig
 from peoplelake.sources.sinks import materialize
 
 
+WATERMARK_TABLE = "_load_watermarks"
+
+
 @dataclass(frozen=True)
 class LoadResult:
     """``rows`` to append and a watermark frame (last_loaded_id, rows_loaded), empty when nothing was new."""
@@ -106,6 +109,14 @@ def raw_path(root: str, target: str) -> str:
     return f"{root.rstrip('/')}/{target}"
 
 
+def _staged(root: str, target: str) -> str:
+    return raw_path(root, f"_staged/{target}")
+
+
+def _aside(root: str, target: str) -> str:
+    return raw_path(root, f"_replaced/{target}")
+
+
 def raw_schema(config: TableConfig) -> T.StructType:
     return T.StructType(
         [*SOURCES[config.source].fields, T.StructField("_loaded_at", T.TimestampNTZType()), T.StructField("_source", T.StringType())]
@@ -117,33 +128,61 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def _swap(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a completely written folder in place of the old one."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    new, old = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
-    fs = old.getFileSystem(conf)
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"could not move {staged} to {path}")
+def _swap(spark: SparkSession, root: str, name: str) -> None:
+    """Put a completely written folder in place of the old one.
+
+    The old folder is kept aside until the new one is in place; readers fall back to it in between.
+    """
+
+    def place(folder):
+        return spark._jvm.org.apache.hadoop.fs.Path(folder)
+
+    new, current, aside = place(_staged(root, name)), place(raw_path(root, name)), place(_aside(root, name))
+    fs = current.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(current):
+        fs.delete(aside, True)
+        fs.mkdirs(aside.getParent())
+        if not fs.rename(current, aside):
+            raise OSError(f"could not set {current} aside")
+    if not fs.rename(new, current):
+        raise OSError(f"could not move {new} to {current}")
+    fs.delete(aside, True)
+
+
+def _recover(spark: SparkSession, root: str, name: str) -> None:
+    """Move a table back that a stopped run left aside, before anything is added to it."""
+    if not _exists(spark, raw_path(root, name)) and _exists(spark, _aside(root, name)):
+        aside = spark._jvm.org.apache.hadoop.fs.Path(_aside(root, name))
+        current = spark._jvm.org.apache.hadoop.fs.Path(raw_path(root, name))
+        aside.getFileSystem(spark._jsc.hadoopConfiguration()).rename(aside, current)
+
+
+def _readable(spark: SparkSession, root: str, name: str) -> str | None:
+    """Folder of a table: the current one, or the one set aside by a run that stopped between the two moves."""
+    for path in (raw_path(root, name), _aside(root, name)):
+        if _exists(spark, path):
+            return path
+    return None
 
 
 def read_raw(spark: SparkSession, root: str, config: TableConfig) -> DataFrame:
-    path, schema = raw_path(root, config.target), raw_schema(config)
-    if not _exists(spark, path):
+    path, schema = _readable(spark, root, config.target), raw_schema(config)
+    if path is None:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
 
 def read_watermarks(spark: SparkSession, root: str) -> DataFrame:
-    path = raw_path(root, "_load_watermarks")
-    if not _exists(spark, path):
+    path = _readable(spark, root, WATERMARK_TABLE)
+    if path is None:
         return spark.createDataFrame([], WATERMARKS)
     return spark.read.schema(WATERMARKS).parquet(path)
 
 
 def _load_table(spark: SparkSession, config: LoadConfig, table: TableConfig, marks: DataFrame, full_load: bool):
     """Load one table; returns (rows loaded, watermark update or None)."""
-    path, staged = raw_path(config.root, table.target), raw_path(config.root, f"_staged/{table.target}")
+    path, staged = raw_path(config.root, table.target), _staged(config.root, table.target)
+    _recover(spark, config.root, table.target)
     source = add_lineage(config.read(table.source), config.source_prefix + table.source, config.loaded_at)
     columns = [f.name for f in raw_schema(table).fields]
     incremental = table.mode == "incremental_pk"
@@ -162,7 +201,7 @@ def _load_table(spark: SparkSession, config: LoadConfig, table: TableConfig, mar
         rows = load_replace(rows, read_raw(spark, config.root, table), table.key)
     totals = [F.count(F.lit(1)).alias("n")] + ([F.max(table.key).alias("last_id")] if incremental else [])
     total = materialize(rows, staged).agg(*totals).first()
-    _swap(spark, staged, path)
+    _swap(spark, config.root, table.target)
     marked = incremental and total["n"] > 0
     return total["n"], (table.source, total["last_id"], config.loaded_at, total["n"]) if marked else None
 
@@ -178,13 +217,13 @@ def run_load(
     """
     wanted = None if tables is None else set(tables)
     chosen = [t for t in config.tables if wanted is None or t.source in wanted]
+    _recover(spark, config.root, WATERMARK_TABLE)
     marks = read_watermarks(spark, config.root)
     with ThreadPoolExecutor(max_workers=max(len(chosen), 1)) as pool:
         results = list(pool.map(lambda t: _load_table(spark, config, t, marks, full_load), chosen))
     updates = [mark for _, mark in results if mark is not None]
     if updates:
-        staged = raw_path(config.root, "_staged/_load_watermarks")
         merged = watermark_merge(marks, spark.createDataFrame(updates, WATERMARKS))
-        materialize(merged.coalesce(1), staged)
-        _swap(spark, staged, raw_path(config.root, "_load_watermarks"))
+        materialize(merged.coalesce(1), _staged(config.root, WATERMARK_TABLE))
+        _swap(spark, config.root, WATERMARK_TABLE)
     return {table.source: n for table, (n, _) in zip(chosen, results)}

@@ -120,6 +120,29 @@ def test_a_failed_table_leaves_the_marks(spark, sf_dir, tmp_path):
         assert raw.count() == raw.select(t.key).distinct().count() == good.read(t.source).count()
 
 
+def test_a_table_set_aside_is_still_read(spark, sf_dir, tmp_path):
+    employees = next(t for t in TABLES if t.source == "employees")
+    load = config(spark, sf_dir, tmp_path)
+    loads.run_load(spark, load, tables=["employees"])
+    # A run that stopped between the two moves of a swap.
+    (tmp_path / "_replaced").mkdir(exist_ok=True)
+    (tmp_path / "raw_employees").rename(tmp_path / "_replaced" / "raw_employees")
+    assert loads.read_raw(spark, str(tmp_path), employees).count() == 150
+    loads.run_load(spark, load, tables=["employees"])
+    assert (tmp_path / "raw_employees").exists() and not (tmp_path / "_replaced" / "raw_employees").exists()
+    assert loads.read_raw(spark, str(tmp_path), employees).count() == 150
+
+
+def test_appending_starts_from_the_table_set_aside(spark, sf_dir, tmp_path):
+    salaries = next(t for t in TABLES if t.source == "salary_history")
+    loads.run_load(spark, config(spark, sf_dir, tmp_path, until=700), tables=["salary_history"])
+    (tmp_path / "_replaced").mkdir(exist_ok=True)
+    (tmp_path / "raw_salary_history").rename(tmp_path / "_replaced" / "raw_salary_history")
+    loads.run_load(spark, config(spark, sf_dir, tmp_path), tables=["salary_history"])
+    want = binding.source_table(spark, sf_dir, "salary_history").count()
+    assert loads.read_raw(spark, str(tmp_path), salaries).count() == want
+
+
 class Reader:
     """Stands in for spark.read: no database is started."""
 

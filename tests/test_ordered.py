@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from peoplelake.functions.ordered import first_by_key, hot_keys, last_by_key, ranked_histogram, running_totals, with_neighbours
+from peoplelake.functions.ordered import first_by_key, hot_keys, last_by_key, ranked_histogram, running_totals, with_neighbours, with_pieces
 from peoplelake.operators.facts import fct_performance, fct_salary
 from peoplelake.operators.dims import dim_employee
 from peoplelake.operators.features import stratified_kfold, stratified_split
@@ -65,6 +65,14 @@ def test_hot_key_property(spark, drawn):
     assert computed(spark, rows, 3, 1, hot_rows=0) == plain(rows, 3, 1)
 
 
+def test_a_crowded_day_is_split(spark):
+    rows = [("hot", BASE, i, i % 7) for i in range(0, 3000, 3)] + [("hot", BASE + dt.timedelta(days=1), 1, 5)]
+    pieces = with_pieces(spark.createDataFrame(rows, SCHEMA), "k", "d", ["i"], hot_rows=100)
+    sizes = [r["count"] for r in pieces.groupBy("_piece").count().collect()]
+    assert len(sizes) > 10 and max(sizes) <= 100 and sum(sizes) == len(rows)
+    assert computed(spark, rows[:-1], 3, 1, hot_rows=100) == plain(rows[:-1], 3, 1)
+
+
 def test_hot_keys_are_few(spark):
     df = spark.createDataFrame(events(300, ["a", "b", "c"], 10, seed=1), SCHEMA)
     assert [r["k"] for r in hot_keys(df, "k", 100).collect()] == ["hot"]
