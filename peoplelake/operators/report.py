@@ -155,18 +155,22 @@ def hc_kpis(headcount: DataFrame, f: ReportFilter) -> DataFrame:
 
 
 def hc_trend(headcount: DataFrame, f: ReportFilter) -> DataFrame:
-    """Headcount per department by month, or by quarter as the last selected month of the quarter."""
-    rows = filter_headcount(headcount, f).groupBy("year_month_key", "department_id", "department_name").agg(
+    """Headcount per department by month, or by quarter as the last selected month of the quarter; 0 without rows."""
+    sums = filter_headcount(headcount, f).groupBy("year_month_key", "department_id").agg(
         F.sum("headcount").alias("headcount")
     )
+    axis = months_in_range(headcount, f)
     if f.granularity == "month":
-        return rows.withColumnRenamed("year_month_key", "period")
-    last = (
-        months_in_range(headcount, f)
-        .groupBy(month_to_quarter("year_month_key").alias("period"))
-        .agg(F.max("year_month_key").alias("year_month_key"))
-    )
-    return rows.join(last, "year_month_key").select("period", "department_id", "department_name", "headcount")
+        axis = axis.withColumn("period", F.col("year_month_key"))
+    else:
+        axis = axis.groupBy(month_to_quarter("year_month_key").alias("period")).agg(
+            F.max("year_month_key").alias("year_month_key")
+        )
+    # The departments in view, one array for the whole axis.
+    names = filter_dept(headcount, f).agg(F.collect_set(F.struct("department_id", "department_name"))).scalar()
+    grid = axis.select("period", "year_month_key", F.inline(names))
+    filled = grid.join(sums, ["year_month_key", "department_id"], "left").fillna(0, ["headcount"])
+    return filled.select("period", "department_id", "department_name", "headcount")
 
 
 def hc_change(headcount: DataFrame, f: ReportFilter) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Temporary folders of local sessions without a configured one; the setting itself is fixed once a session runs.
+_LOCAL_DIRS: dict[str, str] = {}
 BYTE_ORDER_MARK = "﻿"
 
 
@@ -18,11 +20,12 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    path = tempfile.mkdtemp(prefix="peoplelake-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="peoplelake-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:

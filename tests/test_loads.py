@@ -232,6 +232,24 @@ def test_scores_of_a_day_are_replaced(spark, tmp_path):
     assert got == [("2024-01-01", "c"), ("2024-01-02", "a")]
 
 
+class Conf:
+    def __init__(self, master, path):
+        self.conf, self.sparkContext, self.master, self.applicationId = self, self, master, f"app-{master}"
+        self.path = path
+
+    def get(self, key, default):
+        assert key == "spark.checkpoint.dir"
+        return self.path or default
+
+
+def test_shared_folder():
+    assert sinks.shared_dir(Conf("yarn", "hdfs://x")) == "hdfs://x"
+    local = Conf("local[2]", None)
+    assert sinks.shared_dir(local) == sinks.shared_dir(local)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        sinks.shared_dir(Conf("yarn", None))
+
+
 def test_materialize_cuts_the_plan(spark, tmp_path):
     df = spark.range(10).groupBy((F.col("id") % 3).alias("k")).count()
     plan = sinks.materialize(df, str(tmp_path / "m"))._jdf.queryExecution().executedPlan().toString()

@@ -709,16 +709,19 @@ _add("hc_yoy", _hc_yoy(_SOME))
 _add("hc_yoy_range", _hc_yoy("true"))
 _add(
     "hc_trend",
-    f"""SELECT {month_quarter('year_month_key')} AS period, department_id, department_name, sum(headcount)::BIGINT AS headcount
-        FROM mart_headcount
-        WHERE {_SOME} AND year_month_key IN (SELECT max(year_month_key) FROM mart_headcount WHERE {_MONTHS}
-                                             GROUP BY {month_quarter('year_month_key')})
+    f"""SELECT q.period, d.department_id, d.department_name, coalesce(sum(h.headcount), 0)::BIGINT AS headcount
+        FROM (SELECT {month_quarter('year_month_key')} AS period, max(year_month_key) AS m FROM mart_headcount
+              WHERE {_MONTHS} GROUP BY 1) q
+        CROSS JOIN (SELECT * FROM dim_department WHERE department_id = 2) d
+        LEFT JOIN (SELECT * FROM mart_headcount WHERE {_SOME}) h ON h.year_month_key = q.m AND h.department_id = d.department_id
         GROUP BY ALL""",
 )
 _add(
     "hc_trend_range",
-    f"""SELECT year_month_key AS period, department_id, department_name, sum(headcount)::BIGINT AS headcount
-        FROM mart_headcount WHERE {_MONTHS} GROUP BY ALL""",
+    f"""SELECT m.year_month_key AS period, d.department_id, d.department_name, coalesce(sum(h.headcount), 0)::BIGINT AS headcount
+        FROM (SELECT DISTINCT year_month_key FROM mart_headcount WHERE {_MONTHS}) m CROSS JOIN dim_department d
+        LEFT JOIN mart_headcount h ON h.year_month_key = m.year_month_key AND h.department_id = d.department_id
+        GROUP BY ALL""",
 )
 _add(
     "hc_breakdown",
