@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peoplelake.llm import mixing
+from peoplelake.llm import mixing, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +19,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_amounts(mixing.mix_sources(table(spark, sf_dir, "documents")))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokens.read_tokens(tokens.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
+    "op4_token_files": op4_token_files,
 }
 ORACLE: dict[str, str] = {}
