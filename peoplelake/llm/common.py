@@ -70,3 +70,9 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     parts = parts.select("_part", (F.sum("_n").over(ahead) - F.col("_n")).alias("_base"))
     place = F.col("_base") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     return rows.join(parts, "_part").withColumn(name, place).drop("_part", "_at", "_base")
+
+
+def set_aside(df: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with all but the used columns renamed, so that no name clashes, and the columns that bring it back."""
+    names = {c: c if c in used else f"_aside_{i}" for i, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), [F.col(n).alias(c) for c, n in names.items()]
