@@ -76,3 +76,28 @@ def set_aside(df: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, list[Col
     """``df`` with all but the used columns renamed, so that no name clashes, and the columns that bring it back."""
     names = {c: c if c in used else f"_aside_{i}" for i, c in enumerate(df.columns)}
     return df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), [F.col(n).alias(c) for c, n in names.items()]
+
+
+def components(edges: DataFrame, u: str, v: str) -> DataFrame:
+    """(node, root): the smallest node that every node of an edge reaches.
+
+    Alternating stars: each round links a node's larger neighbours, then its smaller ones, to the smallest of them.
+    Minima are hash aggregates with a partial step and the joins can be split by adaptive execution, so a node with very
+    many neighbours is no task of its own. Every round is written; it ends when a round changes nothing.
+    """
+    links = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).filter("u <> v").distinct()
+    links, before = written(links, "links"), None
+    while True:
+        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if state == before:
+            return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+                links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+            )
+        before = state
+        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = written(large, "links")
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        links = written(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "links")
