@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peoplelake.llm import mixing, quality, simhash, tokens
+from peoplelake.llm import decontaminate, mixing, quality, simhash, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_tokens(tokens.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 def op8_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_hex(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
@@ -36,6 +41,7 @@ def op9_document_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op4_token_files": op4_token_files,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op8_simhash_components": op8_simhash_components,
     "op9_document_quality": op9_document_quality,
 }
