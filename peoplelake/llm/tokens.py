@@ -14,6 +14,7 @@ that wrote them; only attempts that the manifest names belong to the data set, s
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 import uuid
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 
 from peoplelake.llm.common import shared_dir
 
-PIECE = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+#: White space with the letters or other characters after it. Letters are taken alone only before white space, ASCII
+#: punctuation or digits, where the tokenizer splits as well.
+PIECE = re.compile(r"[ \t-\r]*(?:[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+(?=[ \t-\r!-@\[-`{-~]|$)|[^ \t-\r]+)|[ \t-\r]+")
 #: White space to some regular expression engines; texts that hold any are encoded in one piece.
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Pieces in each of the two generations that a Python worker remembers, about 100 MB in all.
@@ -63,8 +66,8 @@ def _mapped(uri: str, kind) -> np.ndarray:
 class Encoder:
     """Token ids of whole texts as bytes.
 
-    The byte-level tokenizer splits a text before every run of white space that follows something else, whatever comes
-    later; so each piece from such a point to the next has the ids it has inside the text, and a piece that comes again
+    The byte-level tokenizer splits a text before every run of white space that follows something else and between
+    letters and punctuation or digits, whatever comes later; so each piece from such a point to the next has the ids it has inside the text, and a piece that comes again
     is looked up. Two generations are kept: pieces that come again move to the young one, and when it is full it becomes
     the old one, whose pieces are forgotten.
     """
@@ -80,7 +83,10 @@ class Encoder:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in encoded]
+        ids = [e.ids for e in encoded]
+        ends = np.cumsum([len(i) for i in ids], dtype=np.int64) * self.kind.itemsize
+        flat = np.fromiter(itertools.chain.from_iterable(ids), dtype=self.kind).tobytes()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [[t] if OTHER_SPACE.search(t) else PIECE.findall(t) for t in texts]

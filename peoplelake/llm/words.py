@@ -40,9 +40,9 @@ def text_chunks(batch: pa.RecordBatch, name: str = "text", chunk_bytes: int = CH
         row = stop
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of words, and for each row the index of its first word (one more entry at the end)."""
-    inside = IS_WORD[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of runs of bytes in ``table``, and for each row the index of its first one (one more at the end)."""
+    inside = table[data]
     if not len(inside):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
