@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peoplelake.llm import decontaminate, mixing, pages, quality, simhash, tokens, topk, toxicity
+from peoplelake.llm import decontaminate, mixing, pages, privacy, quality, simhash, tokens, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,10 @@ def op9_document_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.document_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.with_surrogates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_main_text": op3_main_text,
@@ -60,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op7_toxicity": op7_toxicity,
     "op8_simhash_components": op8_simhash_components,
     "op9_document_quality": op9_document_quality,
+    "op10_surrogates": op10_surrogates,
 }
 ORACLE: dict[str, str] = {
     "op6_exact_top_k": """
