@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peoplelake.llm import decontaminate, mixing, pages, privacy, quality, simhash, tokens, topk, toxicity
+from peoplelake.llm import decontaminate, mixing, pages, privacy, quality, simhash, substrings, tokens, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_amounts(mixing.mix_sources(table(spark, sf_dir, "documents")))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extracted(table(spark, sf_dir, "pages"))
 
@@ -57,6 +61,7 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_main_text": op3_main_text,
     "op4_token_files": op4_token_files,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,

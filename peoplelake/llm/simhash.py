@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peoplelake.llm.common import components, written
-from peoplelake.llm.words import LOWER, text_chunks, word_bounds
+from peoplelake.llm.words import LOWER, joined_words, text_chunks, word_bounds
 
 BITS = 64
 SHINGLE = 4
@@ -32,16 +32,6 @@ SEED = 42
 ROW_COST = 10.0
 
 
-def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """All words with one space after each, and where they start and end there."""
-    lengths = ends - starts
-    to = np.cumsum(lengths + 1) - (lengths + 1)
-    out = np.full(int((lengths + 1).sum()), 0x20, np.uint8)
-    place = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    out[np.repeat(to, lengths) + place] = data[np.repeat(starts, lengths) + place]
-    return out.tobytes(), to, to + lengths
-
-
 def majority(hashes: np.ndarray) -> int:
     """The 64-bit number whose bits are set in over half the hashes."""
     ones = np.zeros(BITS, np.int64)
@@ -58,7 +48,7 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGL
     out = np.zeros(len(offsets) - 1, np.uint64)
     if not len(starts):
         return out
-    text, a, z = _joined(data, starts, ends)
+    text, a, z = joined_words(data, starts, ends)
     digest = xxhash.xxh64_intdigest
     for i, (low, high) in enumerate(itertools.pairwise(first.tolist())):
         if high == low:

@@ -101,3 +101,13 @@ def window_hashes(words: np.ndarray, size: int, multiplier: int = MULTIPLIERS[0]
     for i in range(size):
         out = out * np.uint64(multiplier) + words[i : i + n]
     return mixed(out)
+
+
+def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """All words with one space after each, and where they start and end there."""
+    lengths = ends - starts
+    to = np.cumsum(lengths + 1) - (lengths + 1)
+    out = np.full(int((lengths + 1).sum()), 0x20, np.uint8)
+    place = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out[np.repeat(to, lengths) + place] = data[np.repeat(starts, lengths) + place]
+    return out.tobytes(), to, to + lengths
