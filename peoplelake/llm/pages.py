@@ -154,14 +154,13 @@ def container_scores(page: Page) -> list[float]:
 
 
 def best_paths(page: Page) -> list[tuple[str, float]]:
-    """Up to VOTES paths, best first, with their parts of the page's votes."""
+    """Up to VOTES paths, best first, with the page's votes for them: one, a half, a quarter."""
     by_path: dict[str, float] = {}
     for path, score in zip(page.paths, container_scores(page), strict=True):
         if score > 0:
             by_path[path] = max(by_path.get(path, 0.0), score)
     best = sorted(by_path.items(), key=lambda x: (-x[1], x[0]))[:VOTES]
-    total = sum(s for _, s in best)
-    return [(p, s / total) for p, s in best]
+    return [(p, 0.5**i) for i, (p, _) in enumerate(best)]
 
 
 def main_text(page: Page, path: str | None) -> str:
@@ -223,7 +222,7 @@ def extracted(pages: DataFrame) -> DataFrame:
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-    rows = pages.withColumn("_at", host_of(F.col("url"))).join(paths, F.col("_at") == F.col("_host"), "left")
+    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("_at")).join(paths, F.col("_at") == F.col("_host"), "left")
     return rows.select(F.col("page_id").cast("long").alias("page_id"), "url", "path", "html").mapInArrow(
         read, "page_id long, url string, text string, n_chars long"
     )
