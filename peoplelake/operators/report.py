@@ -23,10 +23,6 @@ from peoplelake.functions.scalar import (
     year_before,
 )
 
-# Level names in display order, and the row limit of the on-screen risk table.
-LEVEL_ORDER = ("Junior", "Mid", "Senior", "Lead", "Manager", "Director")
-RISK_TABLE_ROWS = 500
-
 
 @dataclass(frozen=True)
 class ReportFilter:
@@ -136,10 +132,10 @@ def _monthly(headcount: DataFrame, f: ReportFilter) -> DataFrame:
 
 def hc_kpis(headcount: DataFrame, f: ReportFilter) -> DataFrame:
     """Latest month against the one before, share of women and headcount-weighted tenure."""
-    months = F.sort_array(
-        F.collect_list(F.struct("year_month_key", "headcount", "headcount_female", "headcount_male", "tenure")), False
-    )
-    both = _monthly(headcount, f).agg(months.alias("m")).select(F.get("m", F.lit(0)).alias("c"), F.get("m", F.lit(1)).alias("p"))
+    monthly = _monthly(headcount, f)
+    month, row = F.col("year_month_key"), F.struct("year_month_key", "headcount", "headcount_female", "headcount_male", "tenure")
+    earlier = month < monthly.agg(F.max("year_month_key")).scalar()
+    both = monthly.agg(F.max_by(row, month).alias("c"), F.max_by(row, F.when(earlier, month)).alias("p"))
     cur, prev = F.col("c.headcount"), F.coalesce("p.headcount", F.lit(0))
     return both.select(
         F.col("c.year_month_key").alias("latest_month"),
@@ -154,8 +150,8 @@ def hc_kpis(headcount: DataFrame, f: ReportFilter) -> DataFrame:
     )
 
 
-def hc_trend(headcount: DataFrame, f: ReportFilter) -> DataFrame:
-    """Headcount per department by month, or by quarter as the last selected month of the quarter; 0 without rows."""
+def hc_trend(headcount: DataFrame, dim_department: DataFrame, f: ReportFilter) -> DataFrame:
+    """Headcount of every department by month, or by quarter as the last selected month of the quarter; 0 without rows."""
     sums = filter_headcount(headcount, f).groupBy("year_month_key", "department_id").agg(
         F.sum("headcount").alias("headcount")
     )
@@ -166,9 +162,9 @@ def hc_trend(headcount: DataFrame, f: ReportFilter) -> DataFrame:
         axis = axis.groupBy(month_to_quarter("year_month_key").alias("period")).agg(
             F.max("year_month_key").alias("year_month_key")
         )
-    # The departments in view, one array for the whole axis.
-    names = filter_dept(headcount, f).agg(F.collect_set(F.struct("department_id", "department_name"))).scalar()
-    grid = axis.select("period", "year_month_key", F.inline(names))
+    # Every period meets every department: one equal key for both small dimensions.
+    names = filter_dept(dim_department.select("department_id", "department_name"), f).withColumn("_all", F.lit(1))
+    grid = axis.select("period", "year_month_key", F.lit(1).alias("_all")).join(names, "_all").drop("_all")
     filled = grid.join(sums, ["year_month_key", "department_id"], "left").fillna(0, ["headcount"])
     return filled.select("period", "department_id", "department_name", "headcount")
 
@@ -461,23 +457,28 @@ def risk_selection(risk_detail: DataFrame, f: ReportFilter) -> DataFrame:
     return out
 
 
-def risk_filtered(risk_detail: DataFrame, f: ReportFilter, top: int = RISK_TABLE_ROWS) -> DataFrame:
-    """The on-screen table: the ``top`` highest scores of the selection. Exports take the whole selection."""
-    return risk_selection(risk_detail, f).orderBy(F.desc("risk_score"), "employee_id").limit(top)
+def risk_filtered(risk_detail: DataFrame, f: ReportFilter, top: int | None = None) -> DataFrame:
+    """The selection, highest scores first: all of it, or its first ``top`` rows for a screen."""
+    rows = risk_selection(risk_detail, f).orderBy(F.desc("risk_score"), "employee_id")
+    return rows if top is None else rows.limit(top)
+
 
+def risk_heatmap(risk_detail: DataFrame, dim_department: DataFrame, dim_job_level: DataFrame, f: ReportFilter) -> DataFrame:
+    """High-risk counts of every department and level, zero filled, with the largest cell (at least 1).
 
-def risk_heatmap(risk_detail: DataFrame, dim_department: DataFrame, f: ReportFilter) -> DataFrame:
-    """High-risk counts, department x level, zero filled, with the largest cell (at least 1)."""
+    One row per department and level of the dimensions; a high-risk row at a level that the dimension lacks keeps its
+    own row.
+    """
     high = filter_dept_level(risk_detail, f).filter(F.col("risk_band") == "high")
-    cells = high.groupBy("department_id").agg(
-        *[F.count_if(F.col("level_name") == name).alias(name.lower()) for name in LEVEL_ORDER]
-    )
-    names = [name.lower() for name in LEVEL_ORDER]
-    grid = filter_dept(dim_department.select("department_id", "department_name"), f).join(cells, "department_id", "left")
-    grid = grid.fillna(0, names)
-    # One row per department.
-    largest = F.max(F.greatest(*names)).over(Window.partitionBy())
-    return grid.withColumn("max_cell", F.greatest(largest, F.lit(1)))
+    cells = high.groupBy("department_id", "level_name").agg(F.count(F.lit(1)).alias("high_risk"))
+    departments = filter_dept(dim_department.select("department_id", "department_name"), f).withColumn("_all", F.lit(1))
+    levels = dim_job_level.select("level_name", F.lit(1).alias("_all")).distinct()
+    grid = departments.join(levels, "_all").select("department_id", "level_name")
+    known = departments.select("department_id", "department_name")
+    grid = grid.unionByName(cells.select("department_id", "level_name")).distinct().join(known, "department_id")
+    grid = grid.join(cells, ["department_id", "level_name"], "left").fillna(0, ["high_risk"])
+    largest = F.max("high_risk").over(Window.partitionBy())
+    return grid.select("department_id", "department_name", "level_name", "high_risk", F.greatest(largest, F.lit(1)).alias("max_cell"))
 
 
 def risk_hotspot(risk_detail: DataFrame, f: ReportFilter) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peoplelake.functions.ordered import first_by_key
+from peoplelake.functions.ordered import first_by_key, last_by_key
 from peoplelake.schemas import SOURCES, TABLES, WATERMARKS, TableConfig
 from peoplelake.sources.sinks import materialize
 
@@ -36,9 +36,13 @@ def add_lineage(df: DataFrame, source_name: str, loaded_at: dt.datetime) -> Data
     )
 
 
-def load_full(source: DataFrame, target_cols: Sequence[str] | None = None) -> DataFrame:
-    """All source rows, in the target's column order; the caller replaces the table with them."""
-    return source if target_cols is None else source.select(*target_cols)
+def load_full(source: DataFrame, pk: str | None = None, target_cols: Sequence[str] | None = None) -> DataFrame:
+    """All source rows, in the target's column order; the caller replaces the table with them.
+
+    With a primary key the first row per key stays, in the order of the other columns.
+    """
+    rows = source if target_cols is None else source.select(*target_cols)
+    return rows if pk is None else first_by_key(rows, pk, [c for c in rows.columns if c != pk]).select(*rows.columns)
 
 
 def insert_ignore(batch: DataFrame, target: DataFrame, pk: str, order: Sequence[str]) -> DataFrame:
@@ -66,9 +70,13 @@ def load_incremental_pk(
 
 
 def load_replace(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Upsert all source rows. Target rows without a source row are kept, also when deleted at the source."""
+    """Upsert all source rows. Target rows without a source row are kept, also when deleted at the source.
+
+    Of source rows with the same key the last one stays, in the order of the other columns.
+    """
+    rows = last_by_key(source.select(*target.columns), key, [c for c in target.columns if c != key])
     kept = target.join(source.select(key), key, "left_anti").select(*target.columns)
-    return source.select(*target.columns).unionByName(kept)
+    return rows.select(*target.columns).unionByName(kept)
 
 
 def watermark_get(watermarks: DataFrame, table: str) -> int:
@@ -196,9 +204,10 @@ def _load_table(spark: SparkSession, config: LoadConfig, table: TableConfig, mar
             return 0, None
         result.rows.write.mode("append").parquet(path)
         return mark["rows_loaded"], (table.source, mark["last_loaded_id"], config.loaded_at, mark["rows_loaded"])
-    rows = load_full(source, columns)
     if table.mode == "replace" and not full_load:
-        rows = load_replace(rows, read_raw(spark, config.root, table), table.key)
+        rows = load_replace(source.select(*columns), read_raw(spark, config.root, table), table.key)
+    else:
+        rows = load_full(source, table.key, columns)
     totals = [F.count(F.lit(1)).alias("n")] + ([F.max(table.key).alias("last_id")] if incremental else [])
     total = materialize(rows, staged).agg(*totals).first()
     _swap(spark, config.root, table.target)
@@ -209,7 +218,7 @@ def _load_table(spark: SparkSession, config: LoadConfig, table: TableConfig, mar
 def run_load(
     spark: SparkSession, config: LoadConfig, *, tables: Iterable[str] | None = None, full_load: bool = False
 ) -> dict[str, int]:
-    """Load the configured tables into the raw layer and return rows loaded per table.
+    """Load the configured tables into the raw layer and return rows loaded per table; a key lands once in every mode.
 
     Tables are independent, so their jobs are submitted together. Each is rewritten into a staging folder and then
     swapped, or appended to. Watermarks are written last, once all tables arrived: after a crash the next run starts

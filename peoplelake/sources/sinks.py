@@ -81,9 +81,14 @@ def export_csv(df: DataFrame, path: str, *, bom: bool = False, single_file: bool
 
 
 def _plain_number(c: Column) -> Column:
-    """Whole numbers without a fraction, others without trailing zeros."""
-    text = F.trim(c.cast("decimal(38,10)").cast("string"))
-    return F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    """Whole numbers without a fraction, others without trailing zeros: the shortest text that reads back as the value.
+
+    Only beyond 20 digits before or 18 behind the point it keeps an exponent.
+    """
+    short = c.cast("string")
+    text = F.when(short.contains("E"), F.coalesce(short.try_cast("decimal(38,18)").cast("string"), short)).otherwise(short)
+    plain = text.contains(".") & ~text.contains("E")
+    return F.when(plain, F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")).otherwise(text)
 
 
 def _csv_text(field: T.StructField) -> Column:

@@ -54,6 +54,13 @@ def test_replace_upserts_and_keeps_missing(spark):
     assert rows(got) == [(1, "new"), (2, "kept"), (4, "x")]
 
 
+def test_full_and_replace_keep_one_row_per_key(spark):
+    source = frame(spark, (1, "b"), (1, "a"), (2, "x"), (2, "x"))
+    assert rows(loads.load_full(source, "id")) == [(1, "a"), (2, "x")]
+    assert rows(loads.load_full(source)) == [(1, "a"), (1, "b"), (2, "x"), (2, "x")]
+    assert rows(loads.load_replace(source, frame(spark, (2, "old"), (3, "kept")), "id")) == [(1, "b"), (2, "x"), (3, "kept")]
+
+
 def test_watermarks(spark):
     marks = spark.createDataFrame([("t", 5, None, 10)], WATERMARKS)
     assert loads.watermark_get(marks, "t") == 5 and loads.watermark_get(marks, "other") == 0

@@ -16,60 +16,64 @@ def num(x):
     return F.lit(None).cast("double") if x is None else F.lit(float(x))
 
 
-@pytest.mark.parametrize(
-    ("kind", "v", "want"),
-    [
-        ("attrition", 5, "ok"), ("attrition", 8, "warn"), ("attrition", 12, "bad"), ("attrition", float("nan"), "neutral"),
-        ("attrition", None, "neutral"), ("perf", 4.0, "ok"), ("perf", 3.2, "warn"), ("perf", 2.5, "bad"),
-        ("hire", 5, "ok"), ("tth", 35, "warn"), ("spread", 80.1, "bad"), ("female", 25, "warn"), ("other", 1, "neutral"),
-    ],
-)
-def test_status(spark, kind, v, want):
-    assert value(spark, s.status_of(kind, num(v))) == want
+STEP = 0.001
+
+
+@pytest.mark.parametrize("kind", sorted(s.STATUS_LIMITS))
+def test_status_changes_at_its_limits(spark, kind):
+    good, warn, direction = s.STATUS_LIMITS[kind]
+    away = STEP if direction == "low" else -STEP
+    cases = [(good, "ok"), (float(good) - away, "ok"), (float(good) + away, "warn"), (warn, "warn"), (float(warn) + away, "bad")]
+    for v, want in [*cases, (None, "neutral"), (float("nan"), "neutral")]:
+        assert value(spark, s.status_of(kind, num(v))) == want
+
 
+def test_status_of_an_unknown_kind(spark):
+    assert value(spark, s.status_of("no such kind", num(1))) == "neutral"
 
-@pytest.mark.parametrize(("days", "want"), [(365, "lt2"), (730, "2to5"), (1000, "2to5"), (1825, "gt5"), (2000, "gt5")])
-def test_tenure_group(spark, days, want):
-    assert value(spark, s.tenure_group(F.lit(days))) == want
+
+def test_tenure_groups_change_at_their_limits(spark):
+    low, high = s.TENURE_DAYS
+    for days, want in [(0, "lt2"), (low - 1, "lt2"), (low, "2to5"), (high - 1, "2to5"), (high, "gt5"), (10 * high, "gt5"), (None, None)]:
+        assert value(spark, s.tenure_group(F.lit(days).cast("int"))) == want
 
 
 def test_tenure_years(spark):
-    assert float(value(spark, s.tenure_years(F.lit(730)))) == 2.0
+    assert [float(value(spark, s.tenure_years(F.lit(d)))) for d in (0, 1461, 2 * 1461 + 37)] == [0.0, 4.0, 8.1]
 
 
-@pytest.mark.parametrize(
-    ("score", "want"), [(0.95, "high"), (0.60, "high"), (0.59, "medium"), (0.30, "medium"), (0.29, "low"), (0.0, "low")]
-)
-def test_risk_band(spark, score, want):
-    assert value(spark, s.risk_band(num(score))) == want
+def test_risk_bands_change_at_their_limits(spark):
+    high, medium = float(s.RISK_HIGH), float(s.RISK_MEDIUM)
+    for v, want in [(1, "high"), (high, "high"), (high - STEP, "medium"), (medium, "medium"), (medium - STEP, "low"), (0, "low")]:
+        assert value(spark, s.risk_band(num(v))) == want
 
 
-@pytest.mark.parametrize(
-    ("cur", "prev", "invert", "want"),
-    [
-        (120, 100, False, (20, 20.0, "up", 1)),
-        (120, 100, True, (20, 20.0, "up", 0)),
-        (100, 100, False, (0, 0.0, "flat", None)),
-        (5, 0, False, (5, 100.0, "up", 1)),
-        (0, 0, False, (0, 0.0, "flat", None)),
-        (5, None, False, (None, None, None, None)),
-    ],
-)
-def test_delta(spark, cur, prev, invert, want):
-    p = F.lit(prev).cast("long")
-    d = value(spark, s.delta(F.lit(cur).cast("long"), p, invert))
-    assert (d["diff"], None if d["pct"] is None else float(d["pct"]), d["direction"], d["good"]) == want
+def test_delta_against_plain_arithmetic(spark):
+    for cur in (None, 0, 3, 17, 250):
+        for prev in (None, 0, 3, 40):
+            for invert in (False, True):
+                d = value(spark, s.delta(F.lit(cur).cast("long"), F.lit(prev).cast("long"), invert))
+                if cur is None or prev is None:
+                    assert tuple(d) == (None, None, None, None)
+                    continue
+                diff = cur - prev
+                share = 100 * diff / prev if prev else 100.0 * (diff != 0)
+                assert d["diff"] == diff and float(d["pct"]) == pytest.approx(share, abs=1e-4)
+                assert d["direction"] == ("up" if diff > 0 else "down" if diff < 0 else "flat")
+                assert d["good"] == (None if diff == 0 else int((diff > 0) != invert))
 
 
-@pytest.mark.parametrize(("month", "want"), [("2025-01", "2025-Q1"), ("2025-06", "2025-Q2"), ("2025-12", "2025-Q4")])
-def test_month_to_quarter(spark, month, want):
-    assert value(spark, s.month_to_quarter(F.lit(month))) == want
+def test_month_to_quarter(spark):
+    for m in range(1, 13):
+        assert value(spark, s.month_to_quarter(F.lit(f"1999-{m:02d}"))) == f"1999-Q{(m + 2) // 3}"
 
 
 def test_years_between(spark):
-    ref = F.lit("2025-01-01").cast("date")
-    assert float(value(spark, s.years_between(F.lit("2000-01-01").cast("date"), ref))) == pytest.approx(25.0, abs=0.1)
-    assert float(value(spark, s.years_between(F.lit(None).cast("date"), ref))) == 0.0
+    ref = dt.date(2011, 3, 7)
+    for days in (0, 200, 366, 9000):
+        got = value(spark, s.years_between(F.lit(ref - dt.timedelta(days=days)), F.lit(ref)))
+        assert float(got) == pytest.approx(days / 365.25, abs=0.051)
+    assert float(value(spark, s.years_between(F.lit(None).cast("date"), F.lit(ref)))) == 0.0
 
 
 @pytest.mark.parametrize(

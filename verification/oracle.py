@@ -217,18 +217,30 @@ _CTE: dict[str, str] = {
         SELECT x.*, {rdiv('400 * x.tenure_days', '1461', 0)}::BIGINT AS tenure_h, last_salary, last_score, last_4q
         FROM exit_days x LEFT JOIN last_salary USING (employee_id) LEFT JOIN last_review USING (employee_id)""",
     # marts
-    "headcount_base": f"""
-        SELECT m.year_month_key, m.last_day_of_month AS snapshot_date, e.department_id, e.level_id,
-               count(DISTINCT e.employee_id) AS headcount,
-               count(DISTINCT CASE WHEN gender = 'female' THEN e.employee_id END) AS headcount_female,
-               count(DISTINCT CASE WHEN gender = 'male' THEN e.employee_id END) AS headcount_male,
-               count(DISTINCT CASE WHEN employment_type = 'full_time' THEN e.employee_id END) AS headcount_ft,
-               sum(tenure_days)::BIGINT AS tenure, count(*) AS n
-        FROM (SELECT DISTINCT year_month_key, last_day_of_month FROM dim_date
-              WHERE day = 1 AND date_day BETWEEN DATE '1995-01-01' AND {AS_OF}) m
-        JOIN dim_employee e ON is_current = 1 AND hire_date <= m.last_day_of_month
-         AND (exit_date IS NULL OR exit_date > m.last_day_of_month)
-        GROUP BY ALL""",
+    # Headcount by moves: whoever joins adds one from the first month end on, whoever leaves takes it back.
+    "headcount_months": f"""
+        SELECT last_day_of_month AS month_end, min(year_month_key) AS month_key FROM dim_date
+        WHERE date_day BETWEEN DATE '1995-01-01' AND {AS_OF} AND date_day = date_trunc('month', date_day) GROUP BY 1""",
+    "headcount_moves": """
+        SELECT unnest([hire_date, if(exit_date IS NULL, NULL, greatest(exit_date, hire_date))]) AS on_day, unnest([1, -1]) AS step,
+               department_id, level_id, gender, employment_type, tenure_days
+        FROM dim_employee WHERE is_current = 1""",
+    "headcount_steps": """
+        SELECT greatest(last_day(on_day), (SELECT min(month_end) FROM headcount_months)) AS month_end, department_id, level_id,
+               sum(step) AS heads, sum(step * (gender = 'female')::INT) AS women, sum(step * (gender = 'male')::INT) AS men,
+               sum(step * (employment_type = 'full_time')::INT) AS fulls, sum(step * tenure_days) AS days
+        FROM headcount_moves WHERE on_day IS NOT NULL GROUP BY 1, 2, 3""",
+    "headcount_base": """
+        SELECT month_key AS year_month_key, month_end AS snapshot_date, department_id, level_id, heads AS headcount,
+               women AS headcount_female, men AS headcount_male, fulls AS headcount_ft, days AS tenure, heads AS n
+        FROM (SELECT month_key, g.month_end, g.department_id, g.level_id,
+                           sum(s.heads) OVER upto::BIGINT AS heads, coalesce(sum(s.women) OVER upto, 0)::BIGINT AS women,
+                           coalesce(sum(s.men) OVER upto, 0)::BIGINT AS men, coalesce(sum(s.fulls) OVER upto, 0)::BIGINT AS fulls,
+                           sum(s.days) OVER upto::BIGINT AS days
+                    FROM (SELECT * FROM headcount_months, (SELECT DISTINCT department_id, level_id FROM headcount_steps)) g
+                    LEFT JOIN headcount_steps s USING (month_end, department_id, level_id)
+                    WINDOW upto AS (PARTITION BY g.department_id, g.level_id ORDER BY g.month_end))
+        WHERE heads > 0""",
     "mart_headcount": f"""
         SELECT year_month_key, snapshot_date, department_id, department_name, level_id, level_name, level_group, headcount,
                headcount_female, headcount_male, headcount_ft,
@@ -256,42 +268,45 @@ _CTE: dict[str, str] = {
                {rdiv('salaries', '100 * n_salaries', 0)} AS avg_last_salary
         FROM exit_sums LEFT JOIN quarter_hc USING (exit_year_quarter, department_id)
         JOIN dim_department USING (department_id)""",
-    "salary_ranks": """
-        SELECT department_id, level_id, amount,
-               row_number() OVER (PARTITION BY department_id, level_id ORDER BY amount) AS rn,
-               count(*) OVER (PARTITION BY department_id, level_id) AS n
-        FROM (SELECT employee_id, amount FROM fct_salary
-              QUALIFY row_number() OVER (PARTITION BY employee_id ORDER BY salary_seq DESC) = 1)
-        JOIN (SELECT * FROM dim_employee WHERE is_current = 1 AND status = 'active') USING (employee_id)""",
+    # Percentiles from the ordered list of a group's salaries.
+    "salary_lists": """
+        WITH latest AS (SELECT employee_id, arg_max(amount, salary_seq) AS amount FROM fct_salary GROUP BY 1)
+        SELECT department_id, level_id, list_sort(list(amount)) AS pay FROM latest JOIN dim_employee d USING (employee_id)
+        WHERE d.status = 'active' AND d.is_current = 1 GROUP BY 1, 2""",
     "mart_compensation": f"""
-        SELECT department_id, department_name, level_id, level_name, level_group, max(n) AS employee_count,
-               {rdiv('min(amount)', '100', 0)} AS salary_min, {rdiv('max(amount)', '100', 0)} AS salary_max,
-               {rdiv('sum(amount)', '100 * count(*)', 0)} AS salary_avg,
-               {rdiv('max(CASE WHEN rn = n // 4 + 1 THEN amount END)', '100', 0)} AS salary_p25,
-               {rdiv('max(CASE WHEN rn = n // 2 + 1 THEN amount END)', '100', 0)} AS salary_median,
-               {rdiv('max(CASE WHEN rn = n * 3 // 4 + 1 THEN amount END)', '100', 0)} AS salary_p75,
-               {pct('(max(amount) - min(amount)) * count(*)', 'sum(amount)', 1)} AS salary_spread_pct
-        FROM salary_ranks JOIN dim_department USING (department_id) JOIN dim_job_level USING (level_id)
-        GROUP BY ALL""",
-    "hiring_sums": f"""
-        WITH funnel AS (
-            SELECT department_id, requisition_id, min(stage_date) AS started,
-                   max(stage_date) FILTER (stage = 'hired') AS hired_on, max(stage_date) FILTER (stage = 'offer') AS offered_on,
-                   max((stage = 'hired')::INT) AS was_hired,
-                   count(DISTINCT candidate_id) FILTER (stage = 'applied') AS applied,
-                   count(DISTINCT candidate_id) FILTER (stage = 'screening') AS screening,
-                   count(DISTINCT candidate_id) FILTER (stage = 'interview') AS interview,
-                   count(DISTINCT candidate_id) FILTER (stage = 'offer') AS offer
-            FROM stg_events GROUP BY 1, 2)
-        SELECT {quarter('started')} AS year_quarter, year(started)::INT AS year, quarter(started)::INT AS quarter, department_id,
-               count(DISTINCT requisition_id) AS total_requisitions, sum(applied)::BIGINT AS cnt_applied,
-               sum(screening)::BIGINT AS cnt_screening, sum(interview)::BIGINT AS cnt_interview,
-               sum(offer)::BIGINT AS cnt_offer, sum(was_hired)::BIGINT AS cnt_hired,
-               sum(hired_on - started) FILTER (was_hired = 1) AS days_hire,
-               count(hired_on - started) FILTER (was_hired = 1) AS n_hire,
-               sum(offered_on - started) FILTER (was_hired = 1) AS days_offer,
-               count(offered_on - started) FILTER (was_hired = 1) AS n_offer
-        FROM funnel GROUP BY ALL""",
+        SELECT department_id, department_name, level_id, level_name, level_group, len(pay) AS employee_count,
+               {rdiv('pay[1]', '100', 0)} AS salary_min, {rdiv('pay[-1]', '100', 0)} AS salary_max,
+               {rdiv('list_sum(pay)', '100 * len(pay)', 0)} AS salary_avg,
+               {rdiv('pay[len(pay) // 4 + 1]', '100', 0)} AS salary_p25,
+               {rdiv('pay[len(pay) // 2 + 1]', '100', 0)} AS salary_median,
+               {rdiv('pay[len(pay) * 3 // 4 + 1]', '100', 0)} AS salary_p75,
+               {pct('(pay[-1] - pay[1]) * len(pay)', 'list_sum(pay)', 1)} AS salary_spread_pct
+        FROM salary_lists JOIN dim_department USING (department_id) JOIN dim_job_level USING (level_id)""",
+    # The funnel from the list of who reached which stage of which requisition.
+    "funnel_entries": """
+        SELECT department_id AS dep, requisition_id AS req, stage, candidate_id AS who, max(stage_date) AS late, min(stage_date) AS early
+        FROM stg_events GROUP BY ALL""",
+    "funnel_openings": f"""
+        SELECT dep, req, min(early) AS opened, {quarter('min(early)')} AS year_quarter FROM funnel_entries GROUP BY ALL""",
+    "funnel_stages": """
+        SELECT o.year_quarter, dep, sum((stage = 'applied')::INT) AS a, sum((stage = 'screening')::INT) AS s,
+               sum((stage = 'interview')::INT) AS i, sum((stage = 'offer')::INT) AS o
+        FROM funnel_entries JOIN funnel_openings o USING (dep, req) WHERE who IS NOT NULL GROUP BY 1, 2""",
+    "funnel_ends": """
+        SELECT dep, req, stage, max(late) AS ended FROM funnel_entries WHERE stage IN ('hired', 'offer') GROUP BY ALL""",
+    "hiring_sums": """
+        WITH reqs AS (
+            SELECT year_quarter, min(opened) AS any_day, dep, count(*) AS n, count(h.ended) AS hired,
+                   sum(date_diff('day', opened, h.ended)) AS wait, sum(date_diff('day', opened, f.ended)) FILTER (h.req IS NOT NULL) AS wait_offer,
+                   count(f.ended) FILTER (h.req IS NOT NULL) AS offers
+            FROM funnel_openings
+            LEFT JOIN (SELECT * FROM funnel_ends WHERE stage = 'hired') h USING (dep, req)
+            LEFT JOIN (SELECT * FROM funnel_ends WHERE stage = 'offer') f USING (dep, req) GROUP BY ALL)
+        SELECT r.year_quarter, year(any_day)::INT AS year, quarter(any_day)::INT AS quarter, r.dep AS department_id,
+               r.n AS total_requisitions, coalesce(a, 0)::BIGINT AS cnt_applied, coalesce(s, 0)::BIGINT AS cnt_screening,
+               coalesce(i, 0)::BIGINT AS cnt_interview, coalesce(o, 0)::BIGINT AS cnt_offer, hired::BIGINT AS cnt_hired,
+               wait AS days_hire, hired AS n_hire, wait_offer AS days_offer, offers AS n_offer
+        FROM reqs r LEFT JOIN funnel_stages USING (year_quarter, dep)""",
     "mart_hiring": f"""
         SELECT year_quarter, year, quarter, department_id, department_name, total_requisitions, cnt_applied, cnt_screening,
                cnt_interview, cnt_offer, cnt_hired, {pct('cnt_screening', 'cnt_applied', 1)} AS screening_rate_pct,
@@ -424,6 +439,18 @@ def _add(name: str, body: str) -> None:
 
 _add("src_files", "SELECT * FROM customer")
 _add("load_full", "SELECT event_id, event_type, value FROM events")
+_KEYS = {
+    "raw_departments": ("stg_departments", "department_id"), "raw_job_levels": ("stg_job_levels", "level_id"),
+    "raw_employees": ("raw_employees", "employee_id"), "raw_salary_history": ("raw_salary", "salary_id"),
+    "raw_performance_reviews": ("raw_reviews", "review_id"), "raw_job_changes": ("raw_changes", "change_id"),
+    "raw_recruitment_events": ("raw_events", "event_id"),
+}
+_add(
+    "run_load",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(DISTINCT {k}) AS n_rows, count(DISTINCT {k}) AS n_keys FROM {step}" for t, (step, k) in _KEYS.items()
+    ),
+)
 _MARK = "(SELECT coalesce(max(event_id), 0) FROM events WHERE ts < TIMESTAMP '2024-01-15')"
 _add(
     "load_incremental_pk",
@@ -858,15 +885,16 @@ _add(
 _RISKY = "department_id = 3 AND risk_band = 'high' AND coalesce(tenure_days, 0) >= 1825"
 _add(
     "risk_filtered",
-    f"SELECT * FROM risk_detail WHERE {_RISKY} ORDER BY risk_score DESC, employee_id LIMIT 500",
+    f"SELECT * FROM risk_detail WHERE {_RISKY} ORDER BY risk_score DESC, employee_id",
 )
 _add(
     "risk_heatmap",
-    f"""SELECT *, greatest(max(greatest({', '.join(LEVELS)})) OVER (), 1) AS max_cell
-        FROM (SELECT d.department_id, d.department_name,
-                     {', '.join(f"count(*) FILTER (level_name = '{n.capitalize()}') AS {n}" for n in LEVELS)}
-              FROM dim_department d LEFT JOIN (SELECT * FROM risk_detail WHERE risk_band = 'high') r USING (department_id)
-              GROUP BY 1, 2)""",
+    """SELECT *, greatest(max(high_risk) OVER (), 1) AS max_cell
+       FROM (SELECT d.department_id, d.department_name, l.level_name, count(r.employee_id) AS high_risk
+             FROM dim_department d CROSS JOIN (SELECT DISTINCT level_name FROM dim_job_level) l
+             LEFT JOIN (SELECT * FROM risk_detail WHERE risk_band = 'high') r
+               ON r.department_id = d.department_id AND r.level_name = l.level_name
+             GROUP BY ALL)""",
 )
 _add(
     "risk_hotspot",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,7 +86,8 @@ def _loaded_events(x: Lab) -> tuple[DataFrame, int]:
 
 @query("load_full")
 def _(x):
-    return loads.load_full(_events(x), ["event_id", "event_type", "value"])
+    twice = _events(x).unionByName(_events(x).withColumn("event_type", F.lit("zz")))
+    return loads.load_full(twice, "event_id", ["event_id", "event_type", "value"])
 
 
 @query("load_incremental_pk")
@@ -115,7 +117,24 @@ def _(x):
     columns = ["employee_id", "department_id", "status"]
     people = x.raw("raw_employees").select(*columns)
     hired = people.withColumn("status", F.lit("HIRED"))
-    return loads.load_replace(people.filter(F.col("status") == "TERMINATED"), hired, "employee_id")
+    twice = people.filter(F.col("status") == "TERMINATED")
+    twice = twice.unionByName(twice.withColumn("status", F.lit("OLDER")))
+    return loads.load_replace(twice, hired, "employee_id")
+
+
+@query("run_load")
+def _(x):
+    """Sources that hold every row twice, loaded in full and then once more by their modes: rows and keys per table."""
+    root = run_dir(x.spark, "keys")
+    config = loads.LoadConfig(lambda name: x.source(name).unionByName(x.source(name)), f"{root}/raw", binding.LOADED_AT)
+    loads.run_load(x.spark, config, full_load=True)
+    loads.run_load(x.spark, config)
+    counts = [
+        loads.read_raw(x.spark, config.root, t).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(t.key).alias("n_keys"))
+        .select(F.lit(t.target).alias("table_name"), "n_rows", "n_keys")
+        for t in config.tables
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query("insert_ignore")
@@ -364,8 +383,9 @@ def _report(name, build):
 
 
 for _key, _f in (("", SOME), ("_range", RANGE)):
-    for _name in ("hc_kpis", "hc_trend", "hc_change", "hc_yoy", "hc_breakdown"):
+    for _name in ("hc_kpis", "hc_change", "hc_yoy", "hc_breakdown"):
         _report(_name + _key, lambda x, n=_name, f=_f: getattr(report, n)(_hc(x), f))
+    _report("hc_trend" + _key, lambda x, f=_f: report.hc_trend(_hc(x), x.table("dim_department"), f))
 
 _report("filter_dept", lambda x: report.filter_dept(exports.exp_attrition(x.table("mart_attrition")), SOME))
 _report("filter_dept_level", lambda x: report.filter_dept_level(exports.exp_headcount(_hc(x)), SOME))
@@ -395,7 +415,7 @@ _report("hiring_trend", lambda x: report.hiring_trend(x.table("mart_hiring"), _h
 _report("hiring_yoy", lambda x: report.hiring_yoy(x.table("mart_hiring"), _hc(x), RANGE))
 _report("band_counts", lambda x: report.band_counts(x.risk_detail, ReportFilter(dept=2)))
 _report("risk_filtered", lambda x: report.risk_filtered(x.risk_detail, RISKY))
-_report("risk_heatmap", lambda x: report.risk_heatmap(x.risk_detail, x.table("dim_department"), ALL))
+_report("risk_heatmap", lambda x: report.risk_heatmap(x.risk_detail, x.table("dim_department"), x.table("dim_job_level"), ALL))
 _report("risk_hotspot", lambda x: report.risk_hotspot(x.risk_detail, ALL))
 _report("most_common_driver", lambda x: report.most_common_driver(x.risk_detail, ALL))
 _report("export_headcount_csv", lambda x: report.export_headcount_csv(_hc(x), SOME))
