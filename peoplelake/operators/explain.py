@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from decimal import Decimal
 
 import numpy as np
@@ -93,31 +93,24 @@ def _node_rows(model: PipelineModel, df: DataFrame) -> list:
         F.col("nodeData.rightChild").alias("right"),
         F.col("nodeData.split.featureIndex").alias("feature"),
         F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
+        F.col("nodeData.split.numCategories").alias("categories"),
     ).collect()
 
 
-def _shares(reach: Sequence[float], value: float) -> np.ndarray:
-    """Shapley values of one leaf for every pattern of fulfilled conditions.
+@dataclass(frozen=True)
+class LeafPath:
+    """One leaf: a row keeps to it while ``low < value <= high`` for each feature; ``reach`` is the share of training
+    rows that pass a condition, ``value`` what the leaf adds to the margin."""
 
-    ``reach[j]`` is the share of training rows that pass condition j when it is unknown. Row p of the result holds
-    the contribution of each condition when the bits of p say which conditions the row fulfils.
-    """
-    d = len(reach)
-    table = np.zeros((2**d, d))
-    for pattern in range(2**d):
-        met = [(pattern >> j) & 1 for j in range(d)]
-        for j in range(d):
-            others = [i for i in range(d) if i != j]
-            for size in range(d):
-                weight = math.factorial(size) * math.factorial(d - size - 1) / math.factorial(d)
-                for known in itertools.combinations(others, size):
-                    product = math.prod(met[i] if i in known else reach[i] for i in others)
-                    table[pattern, j] += weight * product * (met[j] - reach[j]) * value
-    return table
-
-
-def leaf_tables(nodes: Sequence, tree_weights: Sequence[float]) -> tuple[list, float]:
-    """Per leaf: its conditions (feature, low, high) and the table of contributions; and the mean margin."""
+    features: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    reach: np.ndarray
+    value: float
+
+
+def leaf_paths(nodes: Sequence, tree_weights: Sequence[float]) -> tuple[list[LeafPath], float]:
+    """Conditions of every leaf, several on one feature drawn together, and the mean margin; work in proportion to the nodes."""
     by_tree: dict[int, dict[int, object]] = {}
     for node in nodes:
         by_tree.setdefault(node["tree"], {})[node["id"]] = node
@@ -130,12 +123,13 @@ def leaf_tables(nodes: Sequence, tree_weights: Sequence[float]) -> tuple[list, f
             node_id, path = stack.pop()
             node = members[node_id]
             if node["left"] < 0:
-                reach = [share for _, _, share in path.values()]
+                low, high, reach = (np.array(v, dtype=np.float64) for v in zip(*path.values())) if path else (np.zeros(0),) * 3
                 base += scale * node["value"] * math.prod(reach)
                 if path:
-                    bounds = [(f, low, high) for f, (low, high, _) in path.items()]
-                    leaves.append((bounds, _shares(reach, scale * node["value"])))
+                    leaves.append(LeafPath(np.array(list(path)), low, high, reach, scale * node["value"]))
                 continue
+            if node["categories"] >= 0:
+                raise ValueError("trees with categorical splits can't be explained; use one column per value")
             low, high, share = path.get(node["feature"], (-math.inf, math.inf, 1.0))
             for child, left in ((node["left"], True), (node["right"], False)):
                 part = share * members[child]["cover"] / node["cover"] if node["cover"] else 0.0
@@ -144,26 +138,42 @@ def leaf_tables(nodes: Sequence, tree_weights: Sequence[float]) -> tuple[list, f
     return leaves, base
 
 
-def _contributions(x: np.ndarray, leaves: list) -> np.ndarray:
-    """Sum the leaf tables over a block of rows; trees send ``value <= threshold`` to the left."""
+def path_shares(leaf: LeafPath, met: np.ndarray) -> np.ndarray:
+    """Shapley values of one leaf for rows of fulfilled conditions (0 or 1).
+
+    The weights of a feature's coalitions are the integral over u of the product of ``reach * (1 - u) + met * u`` of all
+    other conditions. It is a polynomial of degree d - 1, for which d / 2 Gauss points are exact.
+    """
+    d = len(leaf.reach)
+    points, weights = np.polynomial.legendre.leggauss((d + 1) // 2)
+    u = (points + 1) / 2
+    factors = leaf.reach[None, :, None] * (1 - u) + met[:, :, None] * u
+    before = np.cumprod(np.concatenate([np.ones_like(factors[:, :1]), factors[:, :-1]], axis=1), axis=1)
+    after = np.cumprod(np.concatenate([np.ones_like(factors[:, :1]), factors[:, :0:-1]], axis=1), axis=1)[:, ::-1]
+    return leaf.value * (met - leaf.reach) * ((before * after) @ (weights / 2))
+
+
+def _contributions(x: np.ndarray, leaves: Sequence[LeafPath]) -> np.ndarray:
+    """Sum over the leaves for a block of rows; only patterns of conditions that occur in the block are worked out."""
     out = np.zeros_like(x)
-    for bounds, table in leaves:
-        pattern = np.zeros(len(x), dtype=np.int64)
-        for j, (feature, low, high) in enumerate(bounds):
-            pattern |= ((x[:, feature] > low) & (x[:, feature] <= high)).astype(np.int64) << j
-        out[:, [feature for feature, _, _ in bounds]] += table[pattern]
+    for leaf in leaves:
+        cells = x[:, leaf.features]
+        met = (cells > leaf.low) & (cells <= leaf.high)
+        code = met @ (1 << np.arange(len(leaf.features), dtype=np.int64))
+        found, first, back = np.unique(code, return_index=True, return_inverse=True)
+        out[:, leaf.features] += path_shares(leaf, met[first].astype(np.float64))[back]
     return out
 
 
 def explain_trees(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Exact Shapley values of the boosted trees per row, path-dependent, in margin (log odds) units.
 
-    ``base`` plus all contributions equals the margin. The leaf tables depend on the model only and travel as one
-    broadcast; rows stay where they are and are worked on in Arrow batches.
+    ``base`` plus all contributions equals the margin. The paths to the leaves depend on the model only and travel as one
+    broadcast of a few numbers per leaf; rows stay where they are and are worked on in Arrow batches.
     """
     columns = model_columns(model)
     trees = model.stages[-1]
-    leaves, base = leaf_tables(_node_rows(model, df), list(trees.treeWeights))
+    leaves, base = leaf_paths(_node_rows(model, df), list(trees.treeWeights))
     shared = df.sparkSession.sparkContext.broadcast(leaves)
     keep = [f for f in df.schema.fields if f.name != "contributions"]
     schema = T.StructType([*keep, T.StructField("_impacts", T.ArrayType(T.DoubleType()))])

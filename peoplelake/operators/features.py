@@ -116,10 +116,13 @@ def feature_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in ("employee_id", LABEL)]
 
 
-def observed_values(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> dict[str, list[str]]:
-    """Observed values per categorical column, sorted; the model keeps them. Codes, hence few."""
-    row = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in columns]).first()
-    return {c: list(row[c]) for c in columns}
+def observed_values(df: DataFrame, columns: Sequence[str] = CATEGORICAL, most: int = 1000) -> dict[str, list[str]]:
+    """Observed values per categorical column, sorted; the model keeps them. More than ``most`` in all are an error."""
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns])
+    rows = df.select(F.inline(cells)).filter("value IS NOT NULL").distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} values in {', '.join(columns)}: not codes, or raise the limit")
+    return {c: sorted(r["value"] for r in rows if r["name"] == c) for c in columns}
 
 
 def one_hot(df: DataFrame, values: Mapping[str, Sequence[str]]) -> DataFrame:

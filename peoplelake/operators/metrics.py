@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from peoplelake.functions.ordered import ranked_histogram, running_totals
 
 SCORE_CHUNK = 2.0**-16
+# Thresholds of the sweep; features tried alone, with the direction in which risk grows.
 THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.7)
-# Features tried alone, with the direction in which risk grows.
 SIGNED_FEATURES = {
     "last_score": -1, "days_since_last_raise": 1, "dept_attrition_rate": 1, "last_4q_avg": -1,
     "tenure_days_at_cutoff": -1,
@@ -23,8 +23,8 @@ SIGNED_FEATURES = {
 
 
 def _score_counts(df: DataFrame, group: Sequence[str], label: str, score: str, sign: int, width) -> DataFrame:
-    """Distinct scores with class counts, and the counts before them in ``sign`` order."""
-    counts = df.groupBy(*group, F.col(score).cast("double").alias("_s")).agg(
+    """Distinct scores with class counts, and the counts before them in ``sign`` order; rows without a score don't count."""
+    counts = df.filter(F.col(score).isNotNull()).groupBy(*group, F.col(score).cast("double").alias("_s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
     counts = counts.withColumn("_s", F.col("_s") * F.lit(float(sign)))
@@ -157,7 +157,7 @@ def calibration_curve(df: DataFrame, label: str, score: str, bins: int = 10, wid
     Edges are exact linear-interpolated quantiles. Each needs the scores at two ranks, read off the histogram of
     distinct scores, so the rows are never sorted as a whole.
     """
-    scored = df.select(F.col(score).cast("double").alias("_s"), F.col(label).alias("_y"))
+    scored = df.filter(F.col(score).isNotNull()).select(F.col(score).cast("double").alias("_s"), F.col(label).alias("_y"))
     hist = ranked_histogram(scored, [], "_s", width)
     position = [(F.col("n_total") - 1) * i / F.lit(bins) for i in range(bins + 1)]
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from peoplelake.functions.ordered import HOT_ROWS
 from peoplelake.operators import exports
 from peoplelake.operators.explain import linear_contributions, score_linear, score_rows, top_drivers
-from peoplelake.operators.features import build_features
+from peoplelake.operators.features import LABEL, align_features, build_features, feature_columns, observed_values, one_hot, stratified_split
+from peoplelake.operators.models import load_model, save_model, train_gbt, with_weight
 from peoplelake.plans import binding
 from peoplelake.plans.warehouse import Warehouse
 from peoplelake.schemas import TABLES
@@ -84,6 +86,27 @@ class Lab:
         """Training features with the linear score: the input of the metric queries."""
         return self.warehouse.put("labelled", linear_scores(self.features(binding.CUTOFF), binding.CUTOFF))
 
+    @cached_property
+    def codes(self) -> dict[str, list[str]]:
+        return observed_values(self.features(binding.CUTOFF))
+
+    @cached_property
+    def columns(self) -> list[str]:
+        return feature_columns(one_hot(self.features(binding.CUTOFF), self.codes))
+
+    @cached_property
+    def parts(self) -> DataFrame:
+        """Model matrix of the training cutoff with its split."""
+        rows = align_features(one_hot(self.features(binding.CUTOFF), self.codes), self.columns, ("employee_id", LABEL))
+        return self.warehouse.put("parts", stratified_split(rows, LABEL, "employee_id"))
+
+    @cached_property
+    def tree_model(self) -> PipelineModel:
+        """Boosted trees with all published settings on the training part: fitted once, stored and loaded again."""
+        path = f"{self.root}/tree_model"
+        save_model(train_gbt(with_weight(self.parts.filter("split = 'train'")), self.columns), path)
+        return load_model(path)
+
     @cached_property
     def scores(self) -> DataFrame:
         """Score table with two scoring days."""

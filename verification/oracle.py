@@ -383,6 +383,7 @@ def _features(name: str, cutoff: str) -> None:
 
 _features("train", CUTOFF)
 _features("now", AS_OF)
+_features("early", "DATE '1997-06-30'")
 
 _CTE["scores"] = "SELECT * FROM score_train UNION ALL SELECT * FROM score_now"
 _CTE["scored_now"] = """
@@ -1091,7 +1092,29 @@ _add(
     """SELECT n_neg, n_pos, n_neg::DOUBLE / greatest(n_pos, 1)::DOUBLE AS weight
        FROM (SELECT count(*) FILTER (left_180d = 0) AS n_neg, count(*) FILTER (left_180d = 1) AS n_pos FROM feat_train)""",
 )
-_add("explain_linear", "SELECT employee_id, feature, micro::DOUBLE / 1000000 AS impact FROM parts_train")
+_PARTS = f"SELECT employee_id, left_180d, CASE WHEN r <= (2 * n + 5) // 10 THEN 'test' ELSE 'train' END AS split, 1 AS in_range FROM {_HASHED}"
+_add("train_gbt", f"SELECT *, 1 AS better_than_chance FROM ({_PARTS})")
+_add("train_logreg", f"SELECT *, 1 AS at_optimum FROM ({_PARTS})")
+_add("score_active", f"SELECT employee_id, {AS_OF} AS scored_at, 1 AS in_range, 1 AS band_agrees FROM feat_now")
+_add("explain_linear", "SELECT employee_id, 1 AS adds_up FROM feat_train")
+_add("kfold_cv", "SELECT 5::BIGINT AS k, 1 AS roc_in_range, 1 AS pr_in_range")
+_add(
+    "out_of_time",
+    """SELECT (SELECT count(*) FROM feat_early) AS n_train, count(*) AS n_test,
+              (SELECT round(round(avg(left_180d), 4), 3) FROM feat_early) AS base_rate_train, round(round(avg(left_180d), 4), 3) AS base_rate_test,
+              1 AS roc_in_range, 1 AS pr_in_range FROM feat_train""",
+)
+_NUMERIC = (
+    "department_id level_id num_reviews num_managers avg_score last_score last_4q_avg last_score_delta num_salary_changes current_salary "
+    "last_salary_delta_pct days_since_last_raise age tenure_days_at_cutoff dept_attrition_rate"
+).split()
+_add(
+    "feature_importance",
+    f"""SELECT feature, 1 AS in_range, 1 AS sums_to_one
+        FROM (SELECT unnest({_NUMERIC}) AS feature UNION SELECT 'gender_' || gender FROM feat_train WHERE gender IS NOT NULL
+              UNION SELECT 'employment_type_' || employment_type FROM feat_train WHERE employment_type IS NOT NULL)""",
+)
+_add("linear_contributions", "SELECT employee_id, feature, micro::DOUBLE / 1000000 AS impact FROM parts_train")
 _add(
     "top_drivers",
     f"SELECT employee_id, {', '.join(f'driver_{i}, driver_{i}_impact' for i in (1, 2, 3))} FROM score_train",

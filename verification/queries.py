@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -511,9 +511,6 @@ def _(x):
     )
 
 
-CODES = {"gender": ["female", "male", "unknown"], "employment_type": ["contract", "full_time", "part_time"]}
-
-
 @query("one_hot")
 def _(x):
     rows = x.features(binding.CUTOFF).select("employee_id", "gender", "employment_type", "age")
@@ -538,7 +535,7 @@ def _(x):
 
 _report("class_weight", lambda x: features.class_weight(x.features(binding.CUTOFF), LABEL))
 _report(
-    "explain_linear",
+    "linear_contributions",
     lambda x: explain.linear_contributions(x.features(binding.CUTOFF), WEIGHTS, CENTERS)
     .select("employee_id", F.inline("contributions")),
 )
@@ -572,73 +569,83 @@ def _(x):
     return metrics.verdict(oot, cv, base)
 
 
-def _matrix(x, cutoff):
-    rows = features.one_hot(x.features(cutoff), CODES)
-    columns = features.feature_columns(rows)
-    return features.align_features(rows, columns, ("employee_id", LABEL)), columns
+# Models are fitted with their full settings. SQL can't repeat a fit, so these queries return what it must hold to: who is
+# in which part, class shares, and properties of the fit as 0 or 1.
 
 
-SMALL_TREES = {"maxIter": 10, "maxDepth": 4}
+def _in_range(c) -> Column:
+    return F.col(c).between(0.0, 1.0).cast("int")
 
 
 @query("train_gbt")
 def _(x):
-    rows, columns = _matrix(x, binding.CUTOFF)
-    model = models.train_gbt(models.with_weight(rows), columns, **SMALL_TREES)
-    return models.predict(model, rows).select("employee_id", LABEL, "probability")
+    scored = models.predict(x.tree_model, x.parts).withColumn("in_range", _in_range("probability"))
+    auc = metrics.roc_auc(scored.filter("split = 'train'"), LABEL, "probability").scalar()
+    return scored.select("employee_id", LABEL, "split", "in_range", (auc > 0.5).cast("int").alias("better_than_chance"))
 
 
 @query("train_logreg")
 def _(x):
-    rows, columns = _matrix(x, binding.CUTOFF)
-    model = models.train_logreg(models.with_weight(rows), columns, maxIter=50)
-    return models.predict(model, rows).select("employee_id", LABEL, "probability")
+    train = models.with_weight(x.parts.filter("split = 'train'"))
+    model = models.train_logreg(train, x.columns)
+    # At the optimum the weighted errors of the training rows cancel out.
+    error = F.col("weight") * (F.col("probability") - F.col(LABEL))
+    mean = models.predict(model, train).agg(F.sum(error) / F.sum("weight")).scalar()
+    scored = models.predict(model, x.parts).withColumn("in_range", _in_range("probability"))
+    return scored.select("employee_id", LABEL, "split", "in_range", (F.abs(mean) < 1e-4).cast("int").alias("at_optimum"))
 
 
 @query("feature_importance")
 def _(x):
-    rows, columns = _matrix(x, binding.CUTOFF)
-    return models.feature_importance(x.spark, models.train_gbt(models.with_weight(rows), columns, **SMALL_TREES))
-
-
-def _tree_scores(rows, columns, model, as_of):
-    scored = models.score_active(model, rows, as_of)
-    return explain.score_rows(explain.top_drivers(explain.explain_trees(model, scored)))
+    rows = models.feature_importance(x.spark, x.tree_model)
+    total = rows.agg(F.sum("importance")).scalar()
+    return rows.select("feature", _in_range("importance").alias("in_range"), (F.abs(total - 1) < 1e-9).cast("int").alias("sums_to_one"))
 
 
 @query("score_active")
 def _(x):
-    rows, columns = _matrix(x, binding.CUTOFF)
-    model = models.train_gbt(models.with_weight(rows), columns, **SMALL_TREES)
-    today = features.one_hot(x.features(binding.AS_OF, False), CODES)
-    return _tree_scores(features.align_features(today, columns), columns, model, binding.AS_OF)
+    today = features.align_features(features.one_hot(x.features(binding.AS_OF, False), x.codes), x.columns)
+    rows = models.score_active(x.tree_model, today, binding.AS_OF)
+    rows = explain.score_rows(explain.top_drivers(explain.explain_trees(x.tree_model, rows)))
+    half = number("0.00005")
+    agrees = F.col("risk_band").isin(risk_band(F.col("risk_score") - half), risk_band(F.col("risk_score") + half))
+    return rows.select("employee_id", "scored_at", _in_range("risk_score").alias("in_range"), agrees.cast("int").alias("band_agrees"))
 
 
 @query("explain_trees")
 def _(x):
-    rows, columns = _matrix(x, binding.CUTOFF)
-    model = models.train_gbt(models.with_weight(rows), columns, **SMALL_TREES)
-    shares = explain.explain_trees(model, explain.tree_margin(model, rows))
+    shares = explain.explain_trees(x.tree_model, explain.tree_margin(x.tree_model, x.parts))
     total = F.aggregate("contributions", F.lit(0.0), lambda acc, c: acc + c["impact"])
     gap = F.abs(F.col("base") + total - F.col("margin"))
-    return shares.select("employee_id", (gap < 1e-9).cast("int").alias("adds_up"))
+    return shares.select("employee_id", (gap < 1e-6).cast("int").alias("adds_up"))
 
 
-def _linear_fit(df, columns):
-    return models.train_logreg(df, columns, maxIter=20)
+@query("explain_linear")
+def _(x):
+    model = models.train_logreg(models.with_weight(x.parts), x.columns)
+    shares = explain.explain_linear(model, models.predict(model, x.parts))
+    total = F.aggregate("contributions", F.lit(0.0), lambda acc, c: acc + c["impact"])
+    gap = F.abs(1 / (1 + F.exp(-(F.col("base") + total))) - F.col("probability"))
+    return shares.select("employee_id", (gap < 1e-6).cast("int").alias("adds_up"))
 
 
 @query("kfold_cv")
 def _(x):
-    rows, columns = _matrix(x, binding.CUTOFF)
-    return models.kfold_cv(_linear_fit, rows, columns, k=3)
+    row = models.kfold_cv(models.train_gbt, x.parts.drop("split"), x.columns)
+    return row.select("k", _in_range("auc_roc_mean").alias("roc_in_range"), _in_range("auc_pr_mean").alias("pr_in_range"))
 
 
 @query("out_of_time")
 def _(x):
-    train, columns = _matrix(x, binding.EARLIER_CUTOFF)
-    test, _ = _matrix(x, binding.CUTOFF)
-    return models.out_of_time(_linear_fit, train, test, columns)
+    earlier = x.features(binding.EARLIER_CUTOFF)
+    codes = features.observed_values(earlier)
+    columns = features.feature_columns(features.one_hot(earlier, codes))
+    train, test = (
+        features.align_features(features.one_hot(rows, codes), columns, ("employee_id", LABEL)) for rows in (earlier, x.features(binding.CUTOFF))
+    )
+    row = models.out_of_time(models.train_gbt, train, test, columns)
+    rates = [F.round(c, 3).alias(c) for c in ("base_rate_train", "base_rate_test")]
+    return row.select("n_train", "n_test", *rates, _in_range("auc_roc").alias("roc_in_range"), _in_range("auc_pr").alias("pr_in_range"))
 
 
 # ---------------------------------------------------------------- data tests
