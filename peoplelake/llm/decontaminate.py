@@ -64,7 +64,7 @@ def item_shingles(items: DataFrame) -> DataFrame:
 
 def aligned_windows(docs: DataFrame, shingles: DataFrame) -> DataFrame:
     """doc_id, text hash, start and words of the item-sized windows of all documents that hold an item's shingle."""
-    sizes = sorted(r[0] for r in shingles.select(F.least("n", F.lit(SHINGLE))).distinct().collect())
+    sizes = sorted(r[0] for r in shingles.select(F.least("n", F.lit(SHINGLE))).distinct().collect()) or [SHINGLE]
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), words_of(F.col("text")).alias("words"))
     rows = rows.withColumn("many", F.size("words")).select("doc_id", "th", "words", "many", F.posexplode("words").alias("p", "_w"))
     at = lambda k: F.when(F.col("p") <= F.col("many") - k, shingle_at(F.col("words"), F.col("p"), k))
@@ -110,7 +110,8 @@ def hamming_pairs(items: DataFrame, windows: DataFrame) -> DataFrame:
     probe = probe.select("window", "wfp", "b.block", "b.value")
     distance = F.bit_count(F.col("ifp").bitwiseXOR(F.col("wfp")))
     close = (index["block"] == probe["block"]) & (index["value"] == probe["value"]) & (distance <= RADIUS)
-    return probe.join(index, close).select("item", "window", distance.alias("hamming")).distinct()
+    # merged: the index is many times the size that Spark estimates from the items, too much to broadcast
+    return probe.join(index.hint("merge"), close).select("item", "window", distance.alias("hamming")).distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
