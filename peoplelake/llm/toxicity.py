@@ -24,7 +24,7 @@ STEM_BYTES = 6
 #: Labelled rows to learn from at most: those with the smallest hashes of their ids.
 FIT_ROWS = 24_000
 #: One learner for so many rows; learners' weights are averaged.
-ROWS_PER_LEARNER = 12_000
+ROWS_PER_LEARNER = 6_000
 #: Coordinates in fewer of a learner's rows are left out: their gradients don't add up to L1.
 LEAST_ROWS = 3
 EPOCHS = 6
@@ -111,10 +111,11 @@ def threshold_shift(margins: np.ndarray, labels: np.ndarray) -> float:
 def learnt(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Coordinates, weights and intercept from (coordinates, values) rows; each half is scored by the other half's weights
     to place the threshold."""
-    every = np.concatenate([a for a, _ in rows]) if rows else np.zeros(0, np.int64)
-    found, counts = np.unique(every, return_counts=True)
-    found = found[counts >= LEAST_ROWS]
-    place = np.full(1 << HASH_BITS, -1, np.int64)
+    counts = np.zeros(1 << HASH_BITS, np.int32)
+    for at, _ in rows:
+        counts[at] += 1
+    found = np.flatnonzero(counts >= LEAST_ROWS)
+    place = np.full(1 << HASH_BITS, -1, np.int32)
     place[found] = np.arange(len(found))
     examples = []
     for (at, x), y in zip(rows, labels.tolist(), strict=True):
@@ -159,7 +160,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -
         for _, n, data, offsets in text_chunks(pa.RecordBatch.from_pandas(pdf[["text"]], preserve_index=False)):
             row, at, x = sparse_rows(data, offsets)
             cut = np.searchsorted(row, np.arange(n + 1))
-            examples += [(at[a:b], x[a:b].astype(np.float32)) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            at, x = at.astype(np.int32), x.astype(np.float32)
+            examples += [(at[a:b], x[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
         at, weights, bias = learnt(examples, pdf["label"].to_numpy())
         return pd.DataFrame({"at": np.append(at, -1), "weight": np.append(weights, bias)})
 
