@@ -28,6 +28,16 @@ def _row_tests(df: DataFrame, table: str, tests: Sequence[tuple[str, str, Column
     return counts.select(F.inline(rows)).select("test", F.lit(table).alias("table"), "column", "failures")
 
 
+def _keyed_tests(df: DataFrame, table: str, key: str, tests: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """Row tests and uniqueness of ``key`` in one pass: violations are counted per key while its rows are."""
+    keyed = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(bad).alias(f"_{i}") for i, (_, _, bad) in enumerate(tests)])
+    many = F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias("_many")
+    counts = keyed.agg(many, *[F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(tests))])
+    cells = [("unique", key, "_many"), *[(test, column, f"_{i}") for i, (test, column, _) in enumerate(tests)]]
+    rows = [F.struct(F.lit(t).alias("test"), F.lit(c).alias("column"), F.col(n).alias("failures")) for t, c, n in cells]
+    return counts.select(F.inline(F.array(*rows))).select("test", F.lit(table).alias("table"), "column", "failures")
+
+
 def _nulls(column: str) -> Column:
     return F.col(column).isNull()
 
@@ -97,8 +107,9 @@ class TableTests:
         ignore_case = self.table.startswith("raw_")
         rows += [("accepted_values", c, _outside_list(c, v, ignore_case)) for c, v in self.accepted.items()]
         rows += [("expression", name, F.expr(bad)) for name, bad in self.expressions.items()]
-        out = [_row_tests(df, self.table, rows)] if rows else []
-        return out + [test_unique(df, self.table, c) for c in self.unique]
+        if not self.unique:
+            return [_row_tests(df, self.table, rows)] if rows else []
+        return [_keyed_tests(df, self.table, self.unique[0], rows)] + [test_unique(df, self.table, c) for c in self.unique[1:]]
 
 
 def _key(table: str, key: str, *not_null: str, **accepted: tuple) -> TableTests:

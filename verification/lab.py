@@ -117,7 +117,7 @@ class Lab:
 
     @cached_property
     def risk_totals(self) -> DataFrame:
-        return exports.risk_totals(self.scores, self.table("dim_employee"))
+        return self.warehouse.put("risk_totals", exports.risk_totals(self.scores, self.table("dim_employee")))
 
     @cached_property
     def risk_detail(self) -> DataFrame:
