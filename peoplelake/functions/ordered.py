@@ -13,6 +13,7 @@ hold a large share of all rows. Two primitives here give the same results withou
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -177,18 +178,41 @@ def running_totals(
     )
 
 
-def ranked_histogram(df: DataFrame, group: Sequence[str], value: str, width) -> DataFrame:
+#: A group's values fall into STEPS x STEPS chunks of about equal numbers of rows.
+STEPS = 32
+
+
+def with_chunks(df: DataFrame, group: Sequence[str], value: str, chunk: str = "_chunk") -> DataFrame:
+    """Add ``chunk``, an integer that rises with a numeric column, with about as many rows in each chunk of a group.
+
+    The edges are approximate quantiles of the rows at hand, so it doesn't matter where the values lie. Callers pass
+    distinct values, of which a chunk then holds about one in ``STEPS * STEPS``.
+    """
+    group, n = list(group), STEPS * STEPS
+    v = F.col(value).cast("double")
+    shares = F.array(*[F.lit(i / n) for i in range(1, n)])
+    edges = F.percentile_approx(v, shares, F.lit(8 * n)).alias("_edges")
+    if group:
+        names = [F.col(c).alias(f"_edge_{c}") for c in group]
+        found = df.groupBy(*group).agg(edges).select("_edges", *names)
+        match = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_edge_{c}")) for c in group])
+        rows = df.join(found, match, "left")
+    else:
+        rows = df.withColumn("_edges", df.agg(edges).scalar())
+    # First among every STEPS-th edge, then among those in between.
+    coarse = F.size(F.filter(F.expr(f"filter(_edges, (e, i) -> (i + 1) % {STEPS} = 0)"), lambda e: e < v))
+    rows = rows.withColumn("_coarse", F.coalesce(coarse, F.lit(0)))
+    fine = F.size(F.filter(F.slice("_edges", F.col("_coarse") * STEPS + 1, F.lit(STEPS - 1)), lambda e: e < v))
+    return rows.select(*df.columns, (F.col("_coarse") * STEPS + F.coalesce(fine, F.lit(0))).alias(chunk))
+
+
+def ranked_histogram(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Distinct values per group with ``n``, ``n_before`` and ``n_total``; NULL values are left out.
 
-    Equal values collapse before anything is sorted, and ``width`` cuts the value range into chunks.
+    Equal values collapse before anything is sorted.
     """
-    hist = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*group, value)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_chunk", F.floor(F.col(value).cast("double") / F.lit(float(width))))
-    )
-    return running_totals(hist, group, "_chunk", [value], ["n"]).drop("_chunk")
+    hist = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("n"))
+    return running_totals(with_chunks(hist, group, value), group, "_chunk", [value], ["n"]).drop("_chunk")
 
 
 def _first_row(df: DataFrame, key: Sequence[str], order: Sequence) -> DataFrame:

@@ -13,8 +13,6 @@ from peoplelake.functions.ordered import ranked_histogram
 from peoplelake.functions.scalar import as_col, day, month_to_quarter, ratio, safe_rate
 from peoplelake.operators.dims import current
 
-# Salary range per chunk when ranking distinct values; bounds the rows sorted together, not the result.
-SALARY_CHUNK = 1000
 STAGES = ("applied", "screening", "interview", "offer")
 
 
@@ -181,13 +179,13 @@ def _percentile(value: str, p: str) -> Column:
 
 
 def discrete_percentile(
-    df: DataFrame, group: Sequence[str], col: str, ps: Mapping[str, str], chunk_width=SALARY_CHUNK
+    df: DataFrame, group: Sequence[str], col: str, ps: Mapping[str, str]
 ) -> DataFrame:
     """Exact percentiles by row position, ``ps`` maps output names to fractions written as text.
 
     Not ``percentile_disc``: of 1..4 this rule picks 2 for 0.25. Rows collapse to distinct values first.
     """
-    ranked = ranked_histogram(df, group, col, chunk_width)
+    ranked = ranked_histogram(df, group, col)
     return ranked.groupBy(*group).agg(*[_percentile(col, p).alias(name) for name, p in ps.items()])
 
 
@@ -200,7 +198,7 @@ def mart_compensation(
     # The joins below drop unplaced employees anyway; dropping them here keeps both passes over the histogram equal.
     placed = (F.col("status") == "active") & F.col("department_id").isNotNull() & F.col("level_id").isNotNull()
     active = current(dim_employee).filter(placed).select("employee_id", *group)
-    ranked = ranked_histogram(latest.join(active, "employee_id"), group, "salary_amount", SALARY_CHUNK)
+    ranked = ranked_histogram(latest.join(active, "employee_id"), group, "salary_amount")
     s, n = F.col("salary_amount"), F.col("n")
     total = F.sum(s.cast("decimal(12,2)") * n.cast("decimal(10,0)"))
     bands = ranked.groupBy(*group).agg(

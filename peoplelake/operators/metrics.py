@@ -1,7 +1,7 @@
 """Model metrics as DataFrame operators.
 
-Ranking metrics first collapse rows to distinct scores. Running counts then come from score chunks of 2^-16, so no
-task holds all scores. Scores are probabilities in [0, 1]; other ranges pass ``width``.
+Ranking metrics first collapse rows to distinct scores. Running counts then come from chunks of about equally many distinct scores, so no
+task holds all scores, wherever they lie.
 """
 
 from __future__ import annotations
@@ -11,9 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peoplelake.functions.ordered import ranked_histogram, running_totals
+from peoplelake.functions.ordered import ranked_histogram, running_totals, with_chunks
 
-SCORE_CHUNK = 2.0**-16
 # Thresholds of the sweep; features tried alone, with the direction in which risk grows.
 THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.7)
 SIGNED_FEATURES = {
@@ -22,14 +21,13 @@ SIGNED_FEATURES = {
 }
 
 
-def _score_counts(df: DataFrame, group: Sequence[str], label: str, score: str, sign: int, width) -> DataFrame:
+def _score_counts(df: DataFrame, group: Sequence[str], label: str, score: str, sign: int) -> DataFrame:
     """Distinct scores with class counts, and the counts before them in ``sign`` order; rows without a score don't count."""
     counts = df.filter(F.col(score).isNotNull()).groupBy(*group, F.col(score).cast("double").alias("_s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
     counts = counts.withColumn("_s", F.col("_s") * F.lit(float(sign)))
-    chunked = counts.withColumn("_chunk", F.floor(F.col("_s") / F.lit(width)).cast("long"))
-    return running_totals(chunked, group, "_chunk", ["_s"], ["pos", "neg"])
+    return running_totals(with_chunks(counts, group, "_s"), group, "_chunk", ["_s"], ["pos", "neg"])
 
 
 def _area(name: str = "auc_roc") -> Column:
@@ -39,13 +37,13 @@ def _area(name: str = "auc_roc") -> Column:
     return (twice.cast("double") / F.nullif(pairs.cast("double"), F.lit(0.0))).alias(name)
 
 
-def roc_auc(df: DataFrame, label: str, score: str, width=SCORE_CHUNK) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the ROC curve; ties count half. NULL when a class is missing."""
-    return _score_counts(df, [], label, score, 1, width).agg(_area())
+    return _score_counts(df, [], label, score, 1).agg(_area())
 
 
-def roc_auc_by(df: DataFrame, group: Sequence[str], label: str, score: str, width=SCORE_CHUNK) -> DataFrame:
-    return _score_counts(df, group, label, score, 1, width).groupBy(*group).agg(_area())
+def roc_auc_by(df: DataFrame, group: Sequence[str], label: str, score: str) -> DataFrame:
+    return _score_counts(df, group, label, score, 1).groupBy(*group).agg(_area())
 
 
 def _precision_area() -> Column:
@@ -55,13 +53,13 @@ def _precision_area() -> Column:
     return F.sum(share * hits.cast("double") / flagged.cast("double"))
 
 
-def average_precision(df: DataFrame, label: str, score: str, width=SCORE_CHUNK) -> DataFrame:
+def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
     """Sum of precision times recall step over distinct thresholds, highest first."""
-    return _score_counts(df, [], label, score, -1, width).agg(F.round(_precision_area(), 10).alias("auc_pr"))
+    return _score_counts(df, [], label, score, -1).agg(F.round(_precision_area(), 10).alias("auc_pr"))
 
 
-def average_precision_by(df: DataFrame, group: Sequence[str], label: str, score: str, width=SCORE_CHUNK) -> DataFrame:
-    counts = _score_counts(df, group, label, score, -1, width)
+def average_precision_by(df: DataFrame, group: Sequence[str], label: str, score: str) -> DataFrame:
+    counts = _score_counts(df, group, label, score, -1)
     return counts.groupBy(*group).agg(F.round(_precision_area(), 10).alias("auc_pr"))
 
 
@@ -151,14 +149,14 @@ def threshold_sweep(
     return ranked.select("threshold", "precision", "recall", "f1", "n_flagged", is_best.cast("int").alias("is_best"))
 
 
-def calibration_curve(df: DataFrame, label: str, score: str, bins: int = 10, width=SCORE_CHUNK) -> DataFrame:
+def calibration_curve(df: DataFrame, label: str, score: str, bins: int = 10) -> DataFrame:
     """Mean score and positive share per quantile bin; empty bins are left out.
 
     Edges are exact linear-interpolated quantiles. Each needs the scores at two ranks, read off the histogram of
     distinct scores, so the rows are never sorted as a whole.
     """
     scored = df.filter(F.col(score).isNotNull()).select(F.col(score).cast("double").alias("_s"), F.col(label).alias("_y"))
-    hist = ranked_histogram(scored, [], "_s", width)
+    hist = ranked_histogram(scored, [], "_s")
     position = [(F.col("n_total") - 1) * i / F.lit(bins) for i in range(bins + 1)]
 
     def at(rank: Column) -> Column:
@@ -193,7 +191,7 @@ def calibration_curve(df: DataFrame, label: str, score: str, bins: int = 10, wid
 
 
 def single_feature_auc(
-    df: DataFrame, label: str, features: Mapping[str, int] = SIGNED_FEATURES, width: float = 1.0
+    df: DataFrame, label: str, features: Mapping[str, int] = SIGNED_FEATURES
 ) -> DataFrame:
     """ROC AUC of each signed feature alone, over one long form of the rows."""
     cells = F.array(
@@ -203,7 +201,7 @@ def single_feature_auc(
         ]
     )
     long = df.select(F.col(label), F.inline(cells))
-    return roc_auc_by(long, ["feature"], label, "value", width)
+    return roc_auc_by(long, ["feature"], label, "value")
 
 
 def verdict(oot: DataFrame, cv: DataFrame, baseline: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from peoplelake.functions.ordered import first_by_key, hot_keys, last_by_key, ranked_histogram, running_totals, with_neighbours, with_pieces
+from peoplelake.functions.ordered import first_by_key, hot_keys, last_by_key, ranked_histogram, running_totals, with_chunks, with_neighbours, with_pieces
 from peoplelake.operators.facts import fct_performance, fct_salary
 from peoplelake.operators.dims import dim_employee
 from peoplelake.operators.features import stratified_kfold, stratified_split
@@ -130,10 +130,21 @@ def test_running_totals(spark):
 
 def test_ranked_histogram_without_group(spark):
     df = spark.createDataFrame([(x,) for x in (5, 1, 5, 2000, None, 1)], "v long")
-    got = {r["v"]: (r["n"], r["n_before"], r["n_total"]) for r in ranked_histogram(df, [], "v", 1000).collect()}
+    got = {r["v"]: (r["n"], r["n_before"], r["n_total"]) for r in ranked_histogram(df, [], "v").collect()}
     assert got == {1: (2, 0, 5), 5: (2, 2, 5), 2000: (1, 4, 5)}
 
 
+@pytest.mark.parametrize("group", [[], ["g"]])
+def test_chunks_are_even_wherever_values_lie(spark, group):
+    narrow = spark.range(100_000).select(F.lit("a").alias("g"), (F.lit(0.5) + F.col("id") * 1e-9).alias("v"))
+    wide = spark.range(3000).select(F.lit(None).cast("string").alias("g"), (F.pow(F.col("id").cast("double"), 3) - 1e9).alias("v"))
+    df = narrow.unionByName(wide) if group else narrow
+    chunked = with_chunks(df, group, "v")
+    assert chunked.groupBy(*group, "_chunk").count().agg(F.max("count")).first()[0] < 400
+    last = chunked.groupBy(*group, "_chunk").agg(F.min("v").alias("a"), F.max("v").alias("b")).orderBy(*group, "_chunk").collect()
+    assert all(x["b"] < y["a"] for x, y in zip(last, last[1:]) if not group or x["g"] == y["g"])
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 7])
 def test_percentile_rule(spark, n):
     df = spark.createDataFrame([("g", i) for i in range(1, n + 1)], "g string, v long")

@@ -565,7 +565,7 @@ def _(x):
     )
     oot = metrics.roc_auc(x.labelled, LABEL, "risk_score").select(F.round("auc_roc", 4).alias("auc_roc"))
     low = folds.withColumn("s", -F.col("last_score"))
-    base = metrics.roc_auc(low, LABEL, "s", 1.0).select(F.round("auc_roc", 4).alias("auc_roc_mean"))
+    base = metrics.roc_auc(low, LABEL, "s").select(F.round("auc_roc", 4).alias("auc_roc_mean"))
     return metrics.verdict(oot, cv, base)
 
 
