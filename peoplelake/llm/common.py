@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Temporary folders of local sessions without the setting, which can't be changed once a session runs.
+_LOCAL_DIRS: dict[str, str] = {}
 #: Rows of one group fall into so many hash ranges, each of which is sorted by one task.
 RANGES = 1024
 
@@ -16,13 +19,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder name under ``spark.checkpoint.dir``; a local session without that setting gets a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if "://" not in root and not root.startswith("file:"):
-        root = f"file://{root}" if root.startswith("/") else root
-    return f"{root.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+        root = _LOCAL_DIRS.get(context.applicationId)
+        if root is None:
+            root = _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="shared-")
+    # with the scheme that Spark takes for it, for code that doesn't know the cluster's default
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    root = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return f"{re.sub('^file:/+', 'file:///', root).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
