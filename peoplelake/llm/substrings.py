@@ -40,7 +40,8 @@ class Windows:
         self.row = np.repeat(np.arange(len(self.counts)), self.counts)
         place = np.arange(len(self.row)) - self.first[self.row]
         self.at = np.flatnonzero(place + window <= self.counts[self.row])
-        self.half = window_hashes(self.hashes, half)
+        # 48 bits: a false repeat only makes one more candidate, and fewer bytes are exchanged
+        self.half = window_hashes(self.hashes, half) >> np.uint64(16)
         #: for each full window, the place of the half window in it with the smallest hash, the leftmost of equal ones
         self.chosen = self._smallest(window - half + 1)[self.at] if len(self.at) else self.at
 
