@@ -1,0 +1,164 @@
+"""Pairs of word-shingle sets by exact Jaccard similarity, found by prefix filtering; none is missed.
+
+A set has its shingles in one order for all, those that are frequent in a sample last. Of two sets with a similarity of
+t or more, the first ``s - ceil(t s) + 1`` shingles of the larger one and the first ``s - ceil(2t / (1 + t) s) + 1`` of
+the smaller one have a shingle in common, whatever the order; the order only decides how many others do. Every
+candidate is verified on whole sets. Equal sets are one node, and members of a group that the first round has linked
+are not compared with each other again, so neither copies nor near copies are expanded into pairs.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from peoplelake.llm.common import components, written
+from peoplelake.llm.words import LOWER, joined_words, text_chunks, word_bounds
+
+SHINGLE = 5
+SIMILARITY = 0.8
+SEED = 42
+#: Sets whose shingles are counted for the order, and how many of the most frequent come last.
+SAMPLE, FREQUENT = 20_000, 200_000
+#: Keys are broadcast up to this many rows (about 50 MB), else joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def shingles_of(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> list[np.ndarray]:
+    """Shingle hashes of each text, repeats included, A-Z in lower case; a text of fewer words is one shingle."""
+    data = LOWER[data]
+    starts, ends, first = word_bounds(data, offsets)
+    if not len(starts):
+        return [np.zeros(0, np.uint64)] * (len(offsets) - 1)
+    text, a, z = joined_words(data, starts, ends)
+    digest, out = xxhash.xxh64_intdigest, []
+    for low, high in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        size = min(shingle, high - low)
+        n = high - low - size + 1 if size else 0
+        spans = zip(a[low : low + n].tolist(), z[low + size - 1 : low + size - 1 + n].tolist(), strict=True) if n else ()
+        out.append(np.fromiter((digest(text[x:y], SEED) for x, y in spans), np.uint64, n))
+    return out
+
+
+def shingle_sets(docs: DataFrame, fingerprint: Callable[[np.ndarray], int], shingle: int = SHINGLE) -> DataFrame:
+    """row, doc_id, th (hash of the text), fp, node (hash of the set), size and shingles of every document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, n, data, offsets in text_chunks(batch):
+                part, every = batch.slice(at, n), shingles_of(data, offsets, shingle)
+                prints = np.array([fingerprint(h) for h in every], np.uint64).view(np.int64)
+                sets = [np.unique(h.view(np.int64)) for h in every]
+                ends = np.cumsum([0, *[len(s) for s in sets]]).astype(np.int32)
+                nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
+                values = pa.array(np.concatenate(sets))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), part.column(2), pa.array(prints), pa.array(nodes), pa.array(np.diff(ends)), pa.ListArray.from_arrays(pa.array(ends), values)],
+                    names=["row", "doc_id", "th", "fp", "node", "size", "shingles"],
+                )
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("th"), "text")
+    fields = [T.StructField("fp", T.LongType()), T.StructField("node", T.LongType()), T.StructField("size", T.IntegerType()), T.StructField("shingles", T.ArrayType(T.LongType()))]
+    return written(rows.mapInArrow(run, T.StructType([*rows.drop("text").schema.fields, *fields])), "shingle_sets")
+
+
+def distinct_sets(rows: DataFrame) -> DataFrame:
+    """node, size and shingles of every set once."""
+    firsts = rows.groupBy("node").agg(F.min("row").alias("first"))
+    copies = written(rows.select("row", "node").join(firsts, "node").filter("row > first").select("row"), "copies")
+    return rows.join(_small(copies), "row", "left_anti").select("node", "size", "shingles")
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def frequent_shingles(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles of a sample, sorted, and how many sets of it hold each."""
+    n = nodes.count()
+    if n > SAMPLE:
+        nodes = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(n)) < SAMPLE)
+    held = nodes.select(F.explode("shingles").alias("h")).groupBy("h").count().filter("count > 2")
+    rows = sorted(tuple(r) for r in held.orderBy(F.desc("count"), "h").limit(FREQUENT).collect())
+    return np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
+
+
+def prefixes(nodes: DataFrame, t: Fraction) -> DataFrame:
+    """h, node, size, place and short (in the prefix for a smaller set) of the first shingles of every set."""
+    known = nodes.sparkSession.sparkContext.broadcast(frequent_shingles(nodes))
+    least = 2 * t / (1 + t)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values, counts = known.value
+        for batch in batches:
+            hashes, places, lengths, shorts = [], [], [], []
+            column = batch.column(2)
+            ends, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+            seen = np.zeros(len(flat), np.int64)
+            if len(values):
+                at = np.minimum(np.searchsorted(values, flat), len(values) - 1)
+                seen = np.where(values[at] == flat, counts[at], 0)
+            for low, high in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                s = high - low
+                many = s - -(-t.numerator * s // t.denominator) + 1 if s else 0
+                few = s - -(-least.numerator * s // least.denominator) + 1 if s else 0
+                order = np.argsort(seen[low:high], kind="stable")[:many]
+                hashes.append(flat[low:high][order])
+                places.append(np.arange(many, dtype=np.int32))
+                lengths.append(many)
+                shorts.append(np.arange(many) < few)
+            of = np.repeat(np.arange(len(lengths)), lengths)
+            if len(of):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(hashes)), batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)), pa.array(np.concatenate(places)), pa.array(np.concatenate(shorts))],
+                    names=["h", "node", "size", "place", "short"],
+                )
+
+    return nodes.select("node", "size", "shingles").mapInArrow(run, "h long, node long, size int, place int, short boolean")
+
+
+def _possible(t: Fraction, size_a: Column, size_b: Column, place_a: Column, place_b: Column) -> Column:
+    """Whether sets of these sizes with a common shingle at these places can have a similarity of t."""
+    p, q = t.numerator, t.denominator
+    most = F.least(place_a, place_b) + F.least(size_a - place_a, size_b - place_b)
+    sizes = F.least(size_a, size_b) * q >= F.greatest(size_a, size_b) * p
+    return sizes & (most.cast("long") * (p + q) >= (size_a.cast("long") + size_b) * p)
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, t: Fraction) -> DataFrame:
+    """The pairs (a, b) whose whole sets have a similarity of t or more."""
+    pairs = written(pairs.distinct(), "candidates")
+    used = written(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "candidate_nodes")
+    sets = written(nodes.join(_small(used), "node", "left_semi").select("node", "shingles"), "candidate_sets")
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"{x}_set"))
+    rows = pairs.join(side("a"), "a").join(side("b"), "b")
+    rows = rows.select("a", "b", (F.size("a_set") + F.size("b_set")).alias("n"), F.size(F.array_intersect("a_set", "b_set")).alias("both"))
+    return written(rows.filter(F.col("both").cast("long") * t.denominator >= (F.col("n") - F.col("both")).cast("long") * t.numerator).select("a", "b"), "similar")
+
+
+def similar_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Pairs (a, b) with at least the similarity that connect all sets which such pairs connect."""
+    t = Fraction(similarity).limit_denominator(1000)
+    every = Window.partitionBy("h")
+    rows = prefixes(nodes, t).select("*", F.count(F.lit(1)).over(every).alias("n"), F.min_by(F.struct("node", "size", "place"), "node").over(every).alias("first"))
+    rows = written(rows.filter("n > 1").drop("n"), "shared_shingles")
+    # first round: every set with the first one of each shingle
+    first = rows.filter(F.col("node") != F.col("first.node"))
+    first = first.filter(_possible(t, F.col("size"), F.col("first.size"), F.col("place"), F.col("first.place")))
+    links = verified(first.select(F.col("first.node").alias("a"), F.col("node").alias("b")), nodes, t)
+    # second round: all others that aren't linked yet
+    rows = rows.drop("first").join(components(links, "a", "b"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = written(rows, "rooted_shingles")
+    x, y = rows.filter("short").alias("x"), rows.alias("y")
+    ahead = F.struct("x.size", "x.node") < F.struct("y.size", "y.node")
+    possible = _possible(t, F.col("x.size"), F.col("y.size"), F.col("x.place"), F.col("y.place"))
+    more = x.join(y, (F.col("x.h") == F.col("y.h")) & ahead & (F.col("x.root") != F.col("y.root")) & possible)
+    more = more.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    return links.unionByName(verified(more, nodes, t))
