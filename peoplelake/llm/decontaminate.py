@@ -4,8 +4,9 @@ A window is as long as a benchmark item and aligned with it at a shingle that bo
 shingle has similarity zero, so it needs no fingerprint. Of a run of common shingles on one alignment the first stands
 for all. Fingerprints of windows and items meet in a multi-index: four blocks of 16 bits, of which one at least
 differs in at most four bits when all 64 differ in at most 19, whatever item brought the window about. Candidates are
-verified by the weighted Jaccard similarity of their shingles: a shingle counts as often as it occurs, divided by the
-number of items that hold it. All of it is DataFrame expressions.
+verified by the Jaccard similarity of their shingles, plain and weighted, of which the larger one counts: a shingle
+counts as often as it occurs, when weighted divided by the number of item texts that hold it. Both have fingerprints.
+All of it is DataFrame expressions.
 
 Words are in lower case and separated by white space; items of fewer words than a shingle are one shingle.
 """
@@ -47,15 +48,15 @@ def _with_shingles(rows: DataFrame, *keep: str) -> DataFrame:
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """key, item_id, words, n of every item with words; items with the same id and text are one."""
-    rows = benchmark.select(F.xxhash64("item_id", "text").alias("key"), "item_id", words_of(F.col("text")).alias("words"))
-    rows = rows.filter("words[0] <> ''").dropDuplicates(["key"])
+    """key, item_id, words, n of every item with words; items of the same words have one key, with the same id too they are one."""
+    rows = benchmark.select("item_id", words_of(F.col("text")).alias("words")).withColumn("key", F.xxhash64("words"))
+    rows = rows.filter("words[0] <> ''").dropDuplicates(["key", "item_id"]).select("key", "item_id", "words")
     return written(rows.withColumn("n", F.size("words")), "items")
 
 
 def item_shingles(items: DataFrame) -> DataFrame:
     """key, n, offset, h, the shingle before (null at the start) and the weight of every item shingle."""
-    rows = _with_shingles(items, "key", "n")
+    rows = _with_shingles(items.dropDuplicates(["key"]), "key", "n")
     held = rows.groupBy("h").agg(F.countDistinct("key").alias("items"))
     rows = rows.join(held, "h").withColumn("weight", 1.0 / F.col("items"))
     before = rows.select("key", (F.col("p") + 1).alias("p"), F.col("h").alias("before"))
@@ -128,15 +129,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     of_window = _with_shingles(windows, "key").groupBy("key", "h").agg(F.count(F.lit(1)).alias("times"))
     of_window = of_window.join(weights, "h", "left").withColumn("weight", F.col("times") * F.coalesce("weight", F.lit(1.0)))
     of_window = written(of_window, "window_shingles")
-    of_item = shingles.groupBy("key", "h").agg(F.sum("weight").alias("weight"))
-    pairs = hamming_pairs(simhashes(of_item), simhashes(of_window))
-    total = lambda rows, name: rows.groupBy(F.col("key").alias(name)).agg(F.sum("weight").alias(f"{name}_weight"))
-    common = pairs.join(of_window.select(F.col("key").alias("window"), "h", F.col("weight").alias("ww")), "window")
-    common = common.join(of_item.select(F.col("key").alias("item"), "h", F.col("weight").alias("iw")), ["item", "h"])
-    common = common.groupBy("item", "window", "hamming").agg(F.sum(F.least("ww", "iw")).alias("both"))
+    of_item = shingles.groupBy("key", "h").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("times"))
+    plain = lambda rows: rows.select("key", "h", F.col("times").cast("double").alias("weight"))
+    prints = lambda rows: simhashes(rows).unionByName(simhashes(plain(rows))).distinct()
+    pairs = hamming_pairs(prints(of_item), prints(of_window)).groupBy("item", "window").agg(F.min("hamming").alias("hamming"))
+    sums = lambda name: [F.sum("weight").alias(f"{name}_weight"), F.sum("times").alias(f"{name}_times")]
+    total = lambda rows, name: rows.groupBy(F.col("key").alias(name)).agg(*sums(name))
+    common = pairs.join(of_window.select(F.col("key").alias("window"), "h", F.col("weight").alias("ww"), F.col("times").alias("wt")), "window")
+    common = common.join(of_item.select(F.col("key").alias("item"), "h", F.col("weight").alias("iw"), F.col("times").alias("it")), ["item", "h"])
+    both = [F.sum(F.least("ww", "iw")).alias("both_weight"), F.sum(F.least("wt", "it")).alias("both_times")]
+    common = common.groupBy("item", "window", "hamming").agg(*both)
     rows = common.join(total(of_window, "window"), "window").join(total(of_item, "item"), "item")
-    ratio = F.col("both") / (F.col("window_weight") + F.col("item_weight") - F.col("both"))
-    rows = rows.withColumn("similarity", F.round(ratio, 12)).filter(F.col("similarity") >= similarity)
+    ratio = lambda of: F.col(f"both_{of}") / (F.col(f"window_{of}") + F.col(f"item_{of}") - F.col(f"both_{of}"))
+    rows = rows.withColumn("similarity", F.round(F.greatest(ratio("weight"), ratio("times")), 12)).filter(F.col("similarity") >= similarity)
     rows = rows.join(windows.select(F.col("key").alias("window"), "doc_id", "th", "start", F.size("words").alias("n")), "window")
     rows = rows.join(items.select(F.col("key").alias("item"), "item_id"), "item")
     best = F.max(F.struct("similarity", (-F.col("start")).alias("before"), (-F.col("n")).alias("m"), "hamming"))

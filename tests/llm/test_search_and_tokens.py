@@ -130,6 +130,16 @@ def test_leaks_against_brute_force(spark):
     assert sorted(repr(r.doc_id) for r in kept.collect()) == sorted(repr(d) for d, t, _ in docs if d not in bad or (d is None and t is None))
 
 
+def test_edited_leaks_of_items_that_share_text(spark):
+    whole, half = sentence(50, 1), sentence(25, 2)
+    items = [(i, whole, "x", 1) for i in range(10)] + [(20 + i, f"{half} {sentence(25, 30 + i)}", "x", 1) for i in range(8)]
+    edits = [(100 * j + n, x[1].split(" "), at) for j, x in enumerate(items[9:]) for n, at in enumerate((10, 40, 0))]
+    docs = [(d, " ".join([*sentence(30, d).split(" "), *w[:at], "changed", *w[at + 1 :], *sentence(30, d + 1).split(" ")])) for d, w, at in edits]
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS))
+    want = {(d, i) for d, t in docs for i, x, *_ in items if windows_above(t, x)}
+    assert len(want) == 30 + 24 and {(r.doc_id, r.item_id) for r in found.collect()} >= want
+
+
 def test_no_leaks_in_empty_tables(spark):
     items = spark.createDataFrame([(1, sentence(20, 1), "", 0)], ITEMS)
     docs = spark.createDataFrame([(1, sentence(20, 1))], "doc_id long, text string")
