@@ -43,12 +43,22 @@ CLOSED_BY_SAME = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"),
 }
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form alertdialog".split())
+# Parts of a class or id token: those that name what is left out by themselves or as first or last part of a longer name,
+# those that do so only alone or after a word for the site, and those after which a name only says what a page has.
 NOISE_NAME = re.compile(
-    r"(?:^|[^a-z])(?:nav|navbar|navigation|menu|breadcrumbs?|footer|site-?header|page-?header|masthead|topbar|header|sidebar|side-?bar|aside|widget"
-    r"|ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe"
-    r"|subscription|signup|sign-up|login|comments?|comment-\w+|disqus|discussion|replies|responses|related|recommend\w*|share|sharing"
-    r"|social|pagination|pager|toolbar|search|form|skip-link|copyright)(?=$|[^a-z])"
+    r"nav|navbar|navigation|menu|breadcrumbs?|footer|masthead|topbar|sidebar|widget|ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?"
+    r"|consent|gdpr|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|comments?|disqus|related|recommend\w*|share|sharing|social"
+    r"|pagination|pager|toolbar"
 )
+NOISE_ALONE = re.compile(
+    r"(?:site|page|main|global|top)-?header|header|side-bar|aside|notices?|alert|discussion|replies|responses|sign-up|(?:site-?)?search(?:-?(?:form|box|bar))?"
+    r"|form|skip-link|copyright"
+)
+HEADER_NAME = re.compile(r"(?:\w+-)*?\w*header")
+SAYS_WHETHER = frozenset("no not non without with has have is hide show enable disable format".split())
+TALK = re.compile(r"(?:^|[-_])(?:comments?|disqus|discussion|replies|responses)(?:$|[-_])")
+#: A block with a noisy name and more than this share of the text of the page's paragraphs is no noise, comments excepted.
+MOST = 0.5
 
 CUT = re.compile(rf"<!--.*?(?:-->|\Z)|<({DROPPED})\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 TAG = re.compile(r"""<(/?)([a-zA-Z][\w:-]*)((?:[^"'>]+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][\w:-]*)([^>]*)>|<[!?/][^>]*>""")
@@ -65,19 +75,43 @@ class Page:
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
 
+def noisy_name(value: str, inside: bool) -> bool:
+    """Whether a whole token of a class or id names what is left out; ``inside`` an article or main, headers are kept."""
+    for token in value.replace("_", "-").split():
+        parts = [p for p in token.split("-") if p]
+        if not parts or parts[0] in SAYS_WHETHER or (inside and HEADER_NAME.fullmatch(token)):
+            continue
+        if NOISE_ALONE.fullmatch(token) or NOISE_NAME.fullmatch(parts[0]) or NOISE_NAME.fullmatch(parts[-1]):
+            return True
+    return False
+
+
 def read_page(source: str) -> Page:
     """Blocks that are not left out, white space collapsed, with the number of their characters inside links."""
-    page = Page()
     source = CUT.sub(" ", source)
-    # an open element: tag, innermost container, left out
-    stack: list[tuple[str, int, bool]] = [("", -1, False)]
+    page, held, total = _read(source, frozenset())
+    most = frozenset(place for place, n in held.items() if n > MOST * total)
+    return _read(source, most)[0] if most else page
+
+
+def _read(source: str, exempt: frozenset[int]) -> tuple[Page, dict[int, int], int]:
+    """The page, the paragraph text inside each block (by its place) with a noisy name, and all paragraph text."""
+    page = Page()
+    held: dict[int, int] = {}
+    total = 0
+    # an open element: tag, innermost container, left out, places of the noisy names around
+    stack: list[tuple[str, int, bool, tuple[int, ...]]] = [("", -1, False, ())]
     text: list[str] = []
     linked, in_link, at = 0, False, 0
 
     def end_block() -> None:
-        nonlocal linked
+        nonlocal linked, total
         if text:
             words = " ".join(html.unescape("".join(text)).split())
+            if stack[-1][0] == "p":
+                total += len(words)
+                for place in stack[-1][3]:
+                    held[place] += len(words)
             if words and not stack[-1][2]:
                 page.blocks.append((stack[-1][1], words, linked))
             text.clear()
@@ -120,7 +154,7 @@ def read_page(source: str) -> Page:
         if tag == "body" or (stack[-1][0] == "head" and tag not in ("head", "html")):
             while any(s[0] == "head" for s in stack):
                 stack.pop()
-        _, container, out = stack[-1]
+        _, container, out, around = stack[-1]
         names = ""
         if rest and not rest.isspace():
             for name, *values in ATTRIBUTE.findall(rest):
@@ -128,7 +162,12 @@ def read_page(source: str) -> Page:
                 if name.lower() == "role":
                     out = out or value in NOISE_ROLES
                 else:
-                    out = out or (tag not in ("html", "body") and NOISE_NAME.search(value) is not None)
+                    inside = any(s[0] in ("article", "main") for s in stack)
+                    if tag not in ("html", "body", "article", "main") and m.start() not in exempt and noisy_name(value, inside):
+                        if not out and not TALK.search(value):
+                            around = (*around, m.start())
+                            held[m.start()] = 0
+                        out = True
                     if name.lower() == "class":
                         names = ".".join(sorted(set(DIGITS.sub("#", value).split())))
         out = out or tag in LEFT_OUT or (tag == "header" and not any(s[0] in ("article", "main") for s in stack))
@@ -136,10 +175,10 @@ def read_page(source: str) -> Page:
             page.paths.append(f"{page.paths[container] if container >= 0 else ''}/{tag}{'.' if names else ''}{names}")
             page.outer.append(container)
             container = len(page.paths) - 1
-        stack.append((tag, container, out))
+        stack.append((tag, container, out, around))
     text.append(source[at:])
     end_block()
-    return page
+    return page, held, total
 
 
 def container_scores(page: Page) -> list[float]:

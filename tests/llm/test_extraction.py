@@ -49,6 +49,20 @@ def test_odd_pages(spark):
     assert pages.extracted(spark.createDataFrame([], PAGES)).collect() == []
 
 
+def text_of(source):
+    return pages.main_text(pages.read_page(source), None).split("\n")
+
+
+def test_names_are_whole_tokens():
+    for name in ("entry-header", "article-header", "content with-sidebar", "post no-sidebar", "format-standard has-comments", "long-form", "section-discussion"):
+        assert text_of(f"<body><article class='{name}'><p>one</p></article>") == ["one"], name
+        assert text_of(f"<body><article><div class='{name}'><h1>head</h1></div><p>one</p></article>") == ["head", "one"], name
+    for name in ("ad", "site-header", "cookie-notice", "main-nav", "left sidebar", "related-posts", "comments", "comment-list", "share_buttons"):
+        assert text_of(f"<body><div><p>one two</p><div class='{name}'><p>x</p></div></div>") == ["one two"], name
+    assert text_of("<body><div class='sidebar-right'><p>all of the text</p><p>stands here</p></div><p>x</p>")[:2] == ["all of the text", "stands here"]
+    assert text_of("<body><article><p>one</p><div id='comments'><p>a very long comment</p></div></article>") == ["one"]
+
+
 SAMPLES = {
     "email": ["ann.lee7@mail.example.com", "x@y.org", "ÉLAN.42@MAIL7.EXAMPLE.COM"],
     "ip": ["10.0.0.1", "8.8.8.8", "255.254.253.252"],
