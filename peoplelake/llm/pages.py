@@ -34,7 +34,11 @@ BLOCKS = frozenset(
     "form h1 h2 h3 h4 h5 h6 head header hgroup html legend li main menu nav ol p pre search section summary table tbody td "
     "tfoot th thead tr ul".split()
 )
-DROPPED = "script|style|noscript|template|title|textarea|select|button|iframe|object|svg|math|canvas|audio|video"
+#: Elements whose content is no markup: they run to their closing tag or the end of the page.
+RAW = "script|style|title|textarea|iframe"
+#: Left out inside a block; the closing tag of an element around ends them too.
+DROPPED = frozenset("noscript template select button object svg math foreignobject canvas audio video".split())
+FOREIGN = frozenset("svg math".split())
 
 CONTAINERS = frozenset("article body div main section td blockquote center html details".split())
 LEFT_OUT = frozenset("nav aside footer form head dialog menu search fieldset".split())
@@ -60,7 +64,7 @@ TALK = re.compile(r"(?:^|[-_])(?:comments?|disqus|discussion|replies|responses)(
 #: A block with a noisy name and more than this share of the text of the page's paragraphs is no noise, comments excepted.
 MOST = 0.5
 
-CUT = re.compile(rf"<!--.*?(?:-->|\Z)|<({DROPPED})\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+CUT = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 TAG = re.compile(r"""<(/?)([a-zA-Z][\w:-]*)((?:[^"'>]+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][\w:-]*)([^>]*)>|<[!?/][^>]*>""")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 DIGITS = re.compile(r"\d+")
@@ -105,14 +109,10 @@ def _read(source: str, exempt: frozenset[int]) -> tuple[Page, dict[int, int], in
     linked, in_link, at = 0, False, 0
 
     def end_block() -> None:
-        nonlocal linked, total
+        nonlocal linked
         if text:
             words = " ".join(html.unescape("".join(text)).split())
-            if stack[-1][0] == "p":
-                total += len(words)
-                for place in stack[-1][3]:
-                    held[place] += len(words)
-            if words and not stack[-1][2]:
+            if words:
                 page.blocks.append((stack[-1][1], words, linked))
             text.clear()
         linked = 0
@@ -120,14 +120,34 @@ def _read(source: str, exempt: frozenset[int]) -> tuple[Page, dict[int, int], in
     for m in TAG.finditer(source):
         if m.start() > at:
             piece = source[at : m.start()]
-            text.append(piece)
-            if in_link:
-                linked += len(piece.strip())
+            if stack[-1][0] == "p":
+                size = len("".join(piece.split()))
+                total += size
+                for place in stack[-1][3]:
+                    held[place] += size
+            if not stack[-1][2]:
+                text.append(piece)
+                if in_link:
+                    linked += len(piece.strip())
         at = m.end()
         closing, tag, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not tag:
             continue
         tag = tag.lower()
+        if tag in DROPPED:
+            if not closing and not (tag in FOREIGN and rest.rstrip().endswith("/")):
+                text.append(" ")
+                stack.append((tag, stack[-1][1], True, stack[-1][3]))
+            elif closing:
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i][0] == tag:
+                        del stack[i:]
+                        break
+                    if stack[i][0] not in DROPPED:
+                        break
+            continue
+        if tag == "a" and stack[-1][0] in DROPPED:
+            continue
         if tag == "a":
             in_link = not closing
             continue
@@ -138,14 +158,26 @@ def _read(source: str, exempt: frozenset[int]) -> tuple[Page, dict[int, int], in
             if tag == "hr":
                 end_block()
             continue
-        end_block()
-        in_link = False
         if closing:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == tag:
+                    if not stack[i][2]:
+                        end_block()
                     del stack[i:]
                     break
+            else:
+                if not stack[-1][2]:
+                    end_block()
+            in_link = in_link and stack[-1][2]
             continue
+        if not any(s[0] == "foreignobject" for s in stack):
+            for i, s in enumerate(stack):
+                if s[0] in FOREIGN:  # HTML inside them ends them
+                    del stack[i:]
+                    break
+        if not stack[-1][2]:
+            end_block()
+            in_link = False
         if stack[-1][0] in CLOSED_BY_BLOCK:
             stack.pop()
         same = CLOSED_BY_SAME.get(tag, ())
@@ -176,7 +208,8 @@ def _read(source: str, exempt: frozenset[int]) -> tuple[Page, dict[int, int], in
             page.outer.append(container)
             container = len(page.paths) - 1
         stack.append((tag, container, out, around))
-    text.append(source[at:])
+    if not stack[-1][2]:
+        text.append(source[at:])
     end_block()
     return page, held, total
 

@@ -63,6 +63,16 @@ def test_names_are_whole_tokens():
     assert text_of("<body><article><p>one</p><div id='comments'><p>a very long comment</p></div></article>") == ["one"]
 
 
+def test_dropped_elements_end_with_the_block_around():
+    assert text_of('<p>one</p><svg class="i"/><p>two</p><p>three</p>') == ["one", "two", "three"]
+    assert text_of('<p>one</p><svg class="i"/><p>two</p><svg><text>x</text></svg><p>three</p>') == ["one", "two", "three"]
+    assert text_of("<div><p>one <math><mi>x</mi></math> two</p><div><button>x</div><p>three</p></div>") == ["one two", "three"]
+    assert text_of("<div><div><object data=x><p>x</p></div><p>two</p></div><p>y <button>x</p>")[0] == "two"
+    assert text_of("<p>one <svg><path d=''><p>two</p><p>a<button>x <b>y</b></button> b</p>") == ["one", "two", "a b"]
+    assert text_of("<p>one</p><script>var x = '<p>x</p>'</script><select><option>x</select><p>two</p><style>x") == ["one", "two"]
+    assert text_of("<p>one<svg><foreignObject><div>x</div></foreignObject></svg> two</p>") == ["one two"]
+
+
 SAMPLES = {
     "email": ["ann.lee7@mail.example.com", "x@y.org", "ÉLAN.42@MAIL7.EXAMPLE.COM"],
     "ip": ["10.0.0.1", "8.8.8.8", "255.254.253.252"],
