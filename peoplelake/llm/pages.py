@@ -2,8 +2,8 @@
 
 Every page scores its containers by the text of their blocks, less what is linked, and passes part of it on to the
 container outside. Pages vote on the generalised tag-class paths of their best containers; Spark sums the votes per
-host, and every page is read again at the winning path of its host. A page that lacks this path keeps to its own best
-container. Menus, headers and footers of the page, sidebars, notices, adverts, forms and reader comments are left out
+host, and every page is read again at the winning path of its host, widened to the article around it. A page that lacks
+this path, or has only a part of its text there, keeps to its own best container. Menus, headers and footers of the page, sidebars, notices, adverts, forms and reader comments are left out
 by tag, role, class or id wherever they stand.
 """
 
@@ -76,6 +76,9 @@ class Page:
 
     paths: list[str] = field(default_factory=list)
     outer: list[int] = field(default_factory=list)
+    tags: list[str] = field(default_factory=list)
+    #: For each container, how many elements right inside it (no container between) are left out.
+    gaps: list[int] = field(default_factory=list)
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
 
@@ -206,7 +209,11 @@ def _read(source: str, exempt: frozenset[int]) -> tuple[Page, dict[int, int], in
         if tag in CONTAINERS and not out:
             page.paths.append(f"{page.paths[container] if container >= 0 else ''}/{tag}{'.' if names else ''}{names}")
             page.outer.append(container)
+            page.tags.append(tag)
+            page.gaps.append(0)
             container = len(page.paths) - 1
+        elif out and not stack[-1][2] and container >= 0:
+            page.gaps[container] += 1
         stack.append((tag, container, out, around))
     if not stack[-1][2]:
         text.append(source[at:])
@@ -235,17 +242,69 @@ def best_paths(page: Page) -> list[tuple[str, float]]:
     return [(p, 0.5**i) for i, (p, _) in enumerate(best)]
 
 
+def _below(page: Page, top: set[int]) -> list[bool]:
+    """For each container, whether it is one of ``top`` or below one."""
+    inside: list[bool] = []
+    for i, outer in enumerate(page.outer):
+        inside.append(i in top or (outer >= 0 and inside[outer]))
+    return inside
+
+
+def _around(page: Page, i: int) -> Iterator[int]:
+    while i >= 0:
+        yield i
+        i = page.outer[i]
+
+
+def widened(page: Page, top: set[int]) -> set[int]:
+    """Every container of ``top`` widened to the outermost article around it, or main without an article, or else as far as
+    the blocks that this adds aren't linked and nothing beside them is left out, but never to the body."""
+    sums: list[list[int]] | None = None
+    out = set()
+    for i in top:
+        for tag in ("article", "main"):
+            found = [c for c in _around(page, i) if page.tags[c] == tag]
+            if found:
+                out.add(found[-1])
+                break
+        else:
+            if sums is None:
+                # of each container with all below: blocks that are mostly links, elements left out
+                sums = [[0, n] for n in page.gaps]
+                for c, words, linked in page.blocks:
+                    if c >= 0 and 2 * linked > len(words):
+                        sums[c][0] += 1
+                for c in range(len(sums) - 1, -1, -1):
+                    if page.outer[c] >= 0:
+                        sums[page.outer[c]][0] += sums[c][0]
+                        sums[page.outer[c]][1] += sums[c][1]
+            while (o := page.outer[i]) >= 0 and page.tags[o] not in ("body", "html") and sums[o] == sums[i]:
+                i = o
+            out.add(i)
+    return out
+
+
 def main_text(page: Page, path: str | None) -> str:
-    """Blocks in or below the containers of ``path``, or of the page's best path where it lacks that; all blocks of a page
-    without containers."""
-    if path not in page.paths:
-        path = next((p for p, _ in best_paths(page)), None)
-    if path is None:
+    """Blocks in or below the widened containers of ``path``; all blocks of a page without containers.
+
+    The page's own best path takes its place where the page lacks it, where it has no text here, or where it is only a part,
+    less than half, of what the page's own one around it holds.
+    """
+    texts = lambda inside: [words for container, words, _ in page.blocks if container >= 0 and inside[container]]
+    of = lambda p: {i for i, x in enumerate(page.paths) if x == p}
+    own = next((p for p, _ in best_paths(page)), None)
+    kept: list[str] = []
+    top: set[int] = set()
+    if path in page.paths:
+        top = of(path)
+        kept = texts(_below(page, widened(page, top)))
+    if own is not None and own != path:
+        inside, more = _below(page, of(own)), texts(_below(page, widened(page, of(own))))
+        if not kept or (all(inside[i] for i in top) and 2 * sum(map(len, kept)) < sum(map(len, more))):
+            kept = more
+    if own is None and not top:
         return "\n".join(b[1] for b in page.blocks)
-    inside = []
-    for own, outer in zip(page.paths, page.outer, strict=True):
-        inside.append(own == path or (outer >= 0 and inside[outer]))
-    return "\n".join(words for container, words, _ in page.blocks if container >= 0 and inside[container])
+    return "\n".join(kept)
 
 
 def host_of(url: Column) -> Column:

@@ -73,6 +73,22 @@ def test_dropped_elements_end_with_the_block_around():
     assert text_of("<p>one<svg><foreignObject><div>x</div></foreignObject></svg> two</p>") == ["one two"]
 
 
+def test_paths_are_widened_to_the_whole_article():
+    long = "<p>" + "long text of the body " * 30
+    whole = f"<body><article><h1>title</h1><p>lead</p><div class='body'>{long}</div><section class='end'><p>last</section></article><div><p>x</div>"
+    page = pages.read_page(whole)
+    assert pages.best_paths(page)[0][0].endswith("div.body")
+    for path in (pages.best_paths(page)[0][0], None):
+        assert [t[:9] for t in pages.main_text(page, path).split("\n")] == ["title", "lead", "long text", "last"]
+    page = pages.read_page(whole.replace("article>", "div>").replace("<div><p>x", "<nav>x</nav><div><a href=x>other page</a>"))
+    assert [t[:9] for t in pages.main_text(page, None).split("\n")] == ["title", "lead", "long text", "last"]
+
+
+def test_host_path_with_a_part_of_the_text():
+    page = pages.read_page(f"<body><div class='a'><p>{'much text here ' * 20}</p><div class='b'><p>little</p></div><a href=x>linked</a><nav>x</nav></div>")
+    assert pages.main_text(page, "/body/div.a/div.b").startswith("much text here")
+
+
 SAMPLES = {
     "email": ["ann.lee7@mail.example.com", "x@y.org", "ÉLAN.42@MAIL7.EXAMPLE.COM"],
     "ip": ["10.0.0.1", "8.8.8.8", "255.254.253.252"],
