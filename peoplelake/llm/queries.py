@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peoplelake.llm import decontaminate, mixing, pages, privacy, quality, simhash, substrings, tokens, topk, toxicity
+from peoplelake.llm import clusters, conversations, decontaminate, mixing, oracle_sql, pages, privacy, quality, simhash, substrings, tokens, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,16 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.with_surrogates(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.with_inertia(clusters.heap_clusters(table(spark, sf_dir, "embeddings")))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    repaired = conversations.repaired(conversations.damaged(rows), rows.select("conv_id").distinct())
+    return repaired.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_substring_dedup": op2_substring_dedup,
@@ -70,22 +80,11 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_components": op8_simhash_components,
     "op9_document_quality": op9_document_quality,
     "op10_surrogates": op10_surrogates,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 ORACLE: dict[str, str] = {
-    "op6_exact_top_k": """
-        WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
-            FROM embeddings
-            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-        ), s AS (
-            SELECT q.vec_id AS query_id, c.vec_id,
-                   CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
-            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
-            WHERE q.vec_id % 50 = 0
-        ), r AS (
-            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
-            FROM s
-        )
-        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
-    """,
+    "op6_exact_top_k": oracle_sql.TOP_K,
+    "op11_centroid_clusters": oracle_sql.CLUSTER,
+    "op12_conversation_repair": oracle_sql.CONVERSATIONS,
 }

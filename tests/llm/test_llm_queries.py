@@ -24,12 +24,14 @@ COLUMNS = {
     3: "page_id long url string text string n_chars long", 4: "doc_id long start long n_tokens long ids_crc32 long",
     6: "query_id long rank int vec_id long score long", 7: "doc_id long held_out boolean score double predicted int",
     8: "doc_id long fingerprint string component_id long",
+    11: "vec_id long cluster int distance long cluster_inertia long inertia long centroid_sha256 string",
+    12: "conv_id long gaps long blank long duplicate long truncated long illegal long cost long audit string repaired_sha256 string",
 }
 TYPES = {"long": "bigint"}
 
 
 def test_all_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 13))
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
