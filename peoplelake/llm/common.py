@@ -31,10 +31,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{re.sub('^file:/+', 'file:///', root).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` as a table in the shared folder: its lineage ends there and lost executors cost nothing."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peoplelake.llm import clusters, conversations, decontaminate, mixing, oracle_sql, pages, privacy, quality, simhash, substrings, tokens, topk, toxicity
+from peoplelake.llm import clusters, conversations, decontaminate, language, mixing, oracle_sql, pages, privacy, quality, simhash, substrings, tokens, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +69,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
 
 
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.scored_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_substring_dedup": op2_substring_dedup,
@@ -82,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op10_surrogates": op10_surrogates,
     "op11_centroid_clusters": op11_centroid_clusters,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_language_model": op13_language_model,
 }
 ORACLE: dict[str, str] = {
     "op6_exact_top_k": oracle_sql.TOP_K,

@@ -26,12 +26,13 @@ COLUMNS = {
     8: "doc_id long fingerprint string component_id long",
     11: "vec_id long cluster int distance long cluster_inertia long inertia long centroid_sha256 string",
     12: "conv_id long gaps long blank long duplicate long truncated long illegal long cost long audit string repaired_sha256 string",
+    13: "doc_id long held_out boolean n_tokens long n_known long train_tokens long base_score double score double",
 }
 TYPES = {"long": "bigint"}
 
 
 def test_all_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
