@@ -63,7 +63,7 @@ def job_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with hire date, department and the planned exit date."""
+    """Customers with an order: their first one is the hire date, which no employee lacks."""
     first_order = (
         star(spark, sf_dir, "orders")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
@@ -76,7 +76,7 @@ def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         star(spark, sf_dir, "customer")
         .join(nation, "c_nationkey")
-        .join(first_order, "c_custkey", "left")
+        .join(first_order, "c_custkey")
         .select(
             k.alias("k"),
             "c_name",

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from peoplelake.functions.ordered import first_by_key, last_by_key
 from peoplelake.schemas import SOURCES, TABLES, WATERMARKS, TableConfig
 from peoplelake.sources.sinks import materialize
+from peoplelake.sources.versions import FILE_ROWS, VersionedTable, upsert_by_files
 
 
 WATERMARK_TABLE = "_load_watermarks"
@@ -104,13 +105,17 @@ def watermark_update(
 
 @dataclass
 class LoadConfig:
-    """Where a load reads and writes. ``read(table)`` returns the source DataFrame of one table."""
+    """Where a load reads and writes. ``read(table)`` returns the source DataFrame of one table.
+
+    Replaced tables get files of about ``file_rows`` rows, the unit in which they are rewritten.
+    """
 
     read: Callable[[str], DataFrame]
     root: str
     loaded_at: dt.datetime
     source_prefix: str = "postgres.hr."
     tables: Sequence[TableConfig] = TABLES
+    file_rows: int = FILE_ROWS
 
 
 def raw_path(root: str, target: str) -> str:
@@ -121,98 +126,54 @@ def _staged(root: str, target: str) -> str:
     return raw_path(root, f"_staged/{target}")
 
 
-def _aside(root: str, target: str) -> str:
-    return raw_path(root, f"_replaced/{target}")
-
-
 def raw_schema(config: TableConfig) -> T.StructType:
     return T.StructType(
         [*SOURCES[config.source].fields, T.StructField("_loaded_at", T.TimestampNTZType()), T.StructField("_source", T.StringType())]
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
-def _swap(spark: SparkSession, root: str, name: str) -> None:
-    """Put a completely written folder in place of the old one.
-
-    The old folder is kept aside until the new one is in place; readers fall back to it in between.
-    """
-
-    def place(folder):
-        return spark._jvm.org.apache.hadoop.fs.Path(folder)
-
-    new, current, aside = place(_staged(root, name)), place(raw_path(root, name)), place(_aside(root, name))
-    fs = current.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(current):
-        fs.delete(aside, True)
-        fs.mkdirs(aside.getParent())
-        if not fs.rename(current, aside):
-            raise OSError(f"could not set {current} aside")
-    if not fs.rename(new, current):
-        raise OSError(f"could not move {new} to {current}")
-    fs.delete(aside, True)
-
-
-def _recover(spark: SparkSession, root: str, name: str) -> None:
-    """Move a table back that a stopped run left aside, before anything is added to it."""
-    if not _exists(spark, raw_path(root, name)) and _exists(spark, _aside(root, name)):
-        aside = spark._jvm.org.apache.hadoop.fs.Path(_aside(root, name))
-        current = spark._jvm.org.apache.hadoop.fs.Path(raw_path(root, name))
-        aside.getFileSystem(spark._jsc.hadoopConfiguration()).rename(aside, current)
-
-
-def _readable(spark: SparkSession, root: str, name: str) -> str | None:
-    """Folder of a table: the current one, or the one set aside by a run that stopped between the two moves."""
-    for path in (raw_path(root, name), _aside(root, name)):
-        if _exists(spark, path):
-            return path
-    return None
+def raw_table(spark: SparkSession, root: str, config: TableConfig) -> VersionedTable:
+    return VersionedTable(spark, raw_path(root, config.target), raw_schema(config), config.key)
 
 
 def read_raw(spark: SparkSession, root: str, config: TableConfig) -> DataFrame:
-    path, schema = _readable(spark, root, config.target), raw_schema(config)
-    if path is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return raw_table(spark, root, config).read()
 
 
 def read_watermarks(spark: SparkSession, root: str) -> DataFrame:
-    path = _readable(spark, root, WATERMARK_TABLE)
-    if path is None:
-        return spark.createDataFrame([], WATERMARKS)
-    return spark.read.schema(WATERMARKS).parquet(path)
+    return VersionedTable(spark, raw_path(root, WATERMARK_TABLE), WATERMARKS).read()
 
 
 def _load_table(spark: SparkSession, config: LoadConfig, table: TableConfig, marks: DataFrame, full_load: bool):
     """Load one table; returns (rows loaded, watermark update or None)."""
-    path, staged = raw_path(config.root, table.target), _staged(config.root, table.target)
-    _recover(spark, config.root, table.target)
+    target, staged = raw_table(spark, config.root, table), _staged(config.root, table.target)
     source = add_lineage(config.read(table.source), config.source_prefix + table.source, config.loaded_at)
-    columns = [f.name for f in raw_schema(table).fields]
+    columns = [f.name for f in target.schema.fields]
     incremental = table.mode == "incremental_pk"
     if incremental and not full_load:
         wm = watermark_get(marks, table.source)
         # The source is read once: mark and rows both come from the staged copy of its new rows.
         fresh = materialize(source.select(*columns).filter(F.col(table.key) > F.lit(wm)), staged)
-        result = load_incremental_pk(fresh, read_raw(spark, config.root, table), table.key, wm)
+        above = target.read([f for f in target.files() if f.high is not None and f.high > wm])
+        result = load_incremental_pk(fresh, above, table.key, wm)
         mark = result.watermark.first()
         if mark is None:
             return 0, None
-        result.rows.write.mode("append").parquet(path)
+        target.append(result.rows)
         return mark["rows_loaded"], (table.source, mark["last_loaded_id"], config.loaded_at, mark["rows_loaded"])
-    if table.mode == "replace" and not full_load:
-        rows = load_replace(source.select(*columns), read_raw(spark, config.root, table), table.key)
-    else:
-        rows = load_full(source, table.key, columns)
-    totals = [F.count(F.lit(1)).alias("n")] + ([F.max(table.key).alias("last_id")] if incremental else [])
-    total = materialize(rows, staged).agg(*totals).first()
-    _swap(spark, config.root, table.target)
-    marked = incremental and total["n"] > 0
-    return total["n"], (table.source, total["last_id"], config.loaded_at, total["n"]) if marked else None
+    if table.mode == "replace":
+        rows = last_by_key(source.select(*columns), table.key, [c for c in columns if c != table.key])
+        rows = materialize(rows if not full_load else load_full(source, table.key, columns), staged)
+        if full_load or not target.version():
+            # in ranges of the key, so that later upserts find few files
+            total = rows.count()
+            target.publish(rows.repartitionByRange(max(1, -(-total // config.file_rows)), table.key))
+            return total, None
+        return upsert_by_files(target, rows, config.file_rows).rows, None
+    target.publish(load_full(source, table.key, columns))
+    total = sum(f.rows for f in target.files())
+    last_id = max((f.high for f in target.files() if f.high is not None), default=None)
+    return total, (table.source, last_id, config.loaded_at, total) if incremental and total else None
 
 
 def run_load(
@@ -220,19 +181,18 @@ def run_load(
 ) -> dict[str, int]:
     """Load the configured tables into the raw layer and return rows loaded per table; a key lands once in every mode.
 
-    Tables are independent, so their jobs are submitted together. Each is rewritten into a staging folder and then
-    swapped, or appended to. Watermarks are written last, once all tables arrived: after a crash the next run starts
-    from the old marks and skips rows that are already there. A full load sets the mark to the highest key it loaded.
+    Tables are independent, so their jobs are submitted together. Each switches to its new version in one step; a
+    replaced table rewrites only the files whose keys changed. Watermarks are written last, once all tables arrived: after
+    a crash the next run starts from the old marks and skips rows that are already there. A full load sets the mark to the
+    highest key it loaded.
     """
     wanted = None if tables is None else set(tables)
     chosen = [t for t in config.tables if wanted is None or t.source in wanted]
-    _recover(spark, config.root, WATERMARK_TABLE)
     marks = read_watermarks(spark, config.root)
     with ThreadPoolExecutor(max_workers=max(len(chosen), 1)) as pool:
         results = list(pool.map(lambda t: _load_table(spark, config, t, marks, full_load), chosen))
     updates = [mark for _, mark in results if mark is not None]
     if updates:
         merged = watermark_merge(marks, spark.createDataFrame(updates, WATERMARKS))
-        materialize(merged.coalesce(1), _staged(config.root, WATERMARK_TABLE))
-        _swap(spark, config.root, WATERMARK_TABLE)
+        materialize(merged.coalesce(1), raw_path(config.root, WATERMARK_TABLE))
     return {table.source: n for table, (n, _) in zip(chosen, results)}

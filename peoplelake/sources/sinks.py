@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from peoplelake.sources.versions import VersionedTable
+
 # Temporary folders of local sessions without a configured one; the setting itself is fixed once a session runs.
 _LOCAL_DIRS: dict[str, str] = {}
 BYTE_ORDER_MARK = "﻿"
@@ -40,9 +42,11 @@ def run_dir(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write a table and read it back: later plans start from files, not from the lineage behind them."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Publish a table as a new version and read it back: later plans start from files, not from the lineage behind them.
+
+    The version before stays readable until the new one is complete, and for readers that began with it.
+    """
+    return VersionedTable(df.sparkSession, path, df.schema).publish(df)
 
 
 def write_scores(scores: DataFrame, path: str) -> None:

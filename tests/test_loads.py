@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from peoplelake.plans import binding
 from peoplelake.schemas import SCORES, TABLES, WATERMARKS
 from peoplelake.sources import loads, sinks, tables
-from peoplelake.streaming.incremental import stream_incremental_load
+from peoplelake.streaming.incremental import StreamTarget, stream_incremental_load
 
 NOW = dt.datetime(2024, 1, 1, 12)
 ROW = "id long, v string"
@@ -127,24 +127,28 @@ def test_a_failed_table_leaves_the_marks(spark, sf_dir, tmp_path):
         assert raw.count() == raw.select(t.key).distinct().count() == good.read(t.source).count()
 
 
-def test_a_table_set_aside_is_still_read(spark, sf_dir, tmp_path):
+def test_a_replaced_table_keeps_its_other_files(spark, sf_dir, tmp_path):
     employees = next(t for t in TABLES if t.source == "employees")
-    load = config(spark, sf_dir, tmp_path)
-    loads.run_load(spark, load, tables=["employees"])
-    # A run that stopped between the two moves of a swap.
-    (tmp_path / "_replaced").mkdir(exist_ok=True)
-    (tmp_path / "raw_employees").rename(tmp_path / "_replaced" / "raw_employees")
-    assert loads.read_raw(spark, str(tmp_path), employees).count() == 150
-    loads.run_load(spark, load, tables=["employees"])
-    assert (tmp_path / "raw_employees").exists() and not (tmp_path / "_replaced" / "raw_employees").exists()
-    assert loads.read_raw(spark, str(tmp_path), employees).count() == 150
-
-
-def test_appending_starts_from_the_table_set_aside(spark, sf_dir, tmp_path):
+    read = config(spark, sf_dir, tmp_path).read
+    loads.run_load(spark, loads.LoadConfig(read, str(tmp_path), NOW, file_rows=20), tables=["employees"])
+    table = loads.raw_table(spark, str(tmp_path), employees)
+    names = {f.path for f in table.files()}
+    low = min(f.high for f in table.files())
+    source = read("employees").filter(F.col("employee_id") <= low).withColumn("status", F.lit("MOVED"))
+    loads.run_load(spark, loads.LoadConfig(lambda name: source, str(tmp_path), NOW, file_rows=20), tables=["employees"])
+    assert len(names) > 2 and len(names & {f.path for f in table.files()}) == len(names) - 1
+    got = loads.read_raw(spark, str(tmp_path), employees)
+    assert got.count() == 150 and got.filter("status = 'MOVED'").count() == source.count()
+
+
+def test_a_load_that_stops_leaves_the_table(spark, sf_dir, tmp_path):
     salaries = next(t for t in TABLES if t.source == "salary_history")
     loads.run_load(spark, config(spark, sf_dir, tmp_path, until=700), tables=["salary_history"])
-    (tmp_path / "_replaced").mkdir(exist_ok=True)
-    (tmp_path / "raw_salary_history").rename(tmp_path / "_replaced" / "raw_salary_history")
+    before = loads.read_raw(spark, str(tmp_path), salaries).count()
+    # files that a stopped run has written, but not named in a version
+    table = loads.raw_table(spark, str(tmp_path), salaries)
+    table.write(loads.read_raw(spark, str(tmp_path), salaries))
+    assert loads.read_raw(spark, str(tmp_path), salaries).count() == before
     loads.run_load(spark, config(spark, sf_dir, tmp_path), tables=["salary_history"])
     want = binding.source_table(spark, sf_dir, "salary_history").count()
     assert loads.read_raw(spark, str(tmp_path), salaries).count() == want
@@ -269,7 +273,7 @@ def test_stream_equals_batch_and_repeats_safely(spark, tmp_path):
 
     def run():
         stream_incremental_load(spark, landing, schema, target, "id", checkpoint, files_per_batch=1).awaitTermination()
-        return rows(spark.read.parquet(target).select("id", "v"))
+        return rows(StreamTarget(spark, target, schema, "id").read())
 
     frame(spark, (5, "a"), (6, "b")).coalesce(1).write.mode("append").parquet(landing)
     assert run() == [(5, "a"), (6, "b")]

@@ -72,7 +72,7 @@ _CTE: dict[str, str] = {
                      c_custkey % 6 + 1 AS level_id,
                      h.hire_date + (90 + c_custkey * 97 % 1400)::INT AS planned
               FROM customer JOIN nation ON c_nationkey = n_nationkey
-              LEFT JOIN (SELECT o_custkey, min(o_orderdate::DATE) AS hire_date FROM orders GROUP BY 1) h
+              JOIN (SELECT o_custkey, min(o_orderdate::DATE) AS hire_date FROM orders GROUP BY 1) h
                 ON h.o_custkey = c_custkey)""",
     "raw_employees": f"""
         SELECT {emp('k')} AS employee_id, c_name AS full_name, upper(c_name) || '@X.COM ' AS email,
@@ -470,6 +470,12 @@ _add(
     "load_replace",
     "SELECT employee_id, department_id, CASE WHEN status = 'TERMINATED' THEN status ELSE 'HIRED' END AS status FROM raw_employees",
 )
+_add(
+    "load_replace_files",
+    """SELECT employee_id, department_id, CASE WHEN employee_id BETWEEN 'EMP-000100' AND 'EMP-000115' THEN 'MOVED'
+                                               WHEN status = 'TERMINATED' THEN status ELSE 'HIRED' END AS status
+       FROM raw_employees""",
+)
 _add(
     "insert_ignore",
     """SELECT l_orderkey * 10 + l_linenumber AS line_id, l_partkey, l_suppkey, l_shipdate::DATE AS ship_date, l_quantity,
@@ -568,6 +574,17 @@ _add(
     f"""SELECT employee_sk, employee_id, level_id, valid_from, valid_to FROM dim_employee
         WHERE valid_from <= {CUTOFF} AND (valid_to IS NULL OR valid_to >= {CUTOFF})""",
 )
+_add("dim_employee_incremental", "SELECT * FROM dim_employee")
+_HELD = "valid_from IS NOT NULL AND (valid_to IS NULL OR valid_to >= effective_date)"
+_add(
+    "scd2_as_of_join",
+    f"""SELECT salary_id, s.employee_id, effective_date, {cents('amount')} AS salary_amount,
+               {', '.join(f'CASE WHEN {_HELD} THEN {c} END AS {c}' for c in ('employee_sk', 'level_id', 'department_id', 'manager_id'))}
+        FROM fct_salary s ASOF LEFT JOIN (
+            SELECT employee_id, valid_from, valid_to, employee_sk, level_id, department_id, manager_id FROM dim_employee
+            QUALIFY row_number() OVER (PARTITION BY employee_id, valid_from ORDER BY employee_sk DESC) = 1
+        ) v ON s.employee_id = v.employee_id AND s.effective_date >= v.valid_from""",
+)
 _add(
     "last_by_key",
     f"""SELECT * EXCLUDE (amount), {cents('amount')} AS salary_amount FROM stg_salary

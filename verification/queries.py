@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peoplelake.functions import ordered
+from peoplelake.functions.asof import as_of_join
 from peoplelake.functions.scalar import (
     decimals_as_double,
     delta,
@@ -22,7 +23,7 @@ from peoplelake.functions.scalar import (
     tenure_years,
     years_between,
 )
-from peoplelake.operators import checks, dims, explain, exports, features, marts, metrics, models, report, rules, staging
+from peoplelake.operators import checks, dims, explain, exports, features, history, marts, metrics, models, report, rules, staging
 from peoplelake.operators.features import LABEL
 from peoplelake.operators.report import ReportFilter
 from peoplelake.plans import binding, warehouse
@@ -30,7 +31,8 @@ from peoplelake.plans.daily import run_daily
 from peoplelake.sources import loads
 from peoplelake.sources.sinks import json_line, run_dir
 from peoplelake.sources.tables import src_files
-from peoplelake.streaming.incremental import stream_incremental_load
+from peoplelake.sources.versions import VersionedTable, upsert_by_files
+from peoplelake.streaming.incremental import StreamTarget, stream_incremental_load
 from verification.lab import CENTERS, WEIGHTS, Lab, lab, linear_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +42,7 @@ QUERIES: dict[str, Query] = {}
 ALL = ReportFilter()
 SOME = ReportFilter(dept=2, level=3, month_start="1997-02", month_end="1999-08")
 RANGE = ReportFilter(month_start="1999-08", month_end="1997-02", granularity="month", gender="female")
+SLICE = ("EMP-000100", "EMP-000115")
 RISKY = ReportFilter(dept=3, band="high", tenure="gt5")
 
 
@@ -122,6 +125,18 @@ def _(x):
     return loads.load_replace(twice, hired, "employee_id")
 
 
+@query("load_replace_files")
+def _(x):
+    """A published table, an upsert that reaches all its files, and one of a narrow range of keys."""
+    people = x.raw("raw_employees").select("employee_id", "department_id", "status")
+    table = VersionedTable(x.spark, run_dir(x.spark, "upsert"), people.schema, "employee_id")
+    table.publish(people.withColumn("status", F.lit("HIRED")).repartitionByRange("employee_id"))
+    upsert_by_files(table, people.filter(F.col("status") == "TERMINATED"))
+    some = people.filter(F.col("employee_id").between(*SLICE))
+    upsert_by_files(table, some.withColumn("status", F.lit("MOVED")))
+    return table.read()
+
+
 @query("run_load")
 def _(x):
     """Sources that hold every row twice, loaded in full and then once more by their modes: rows and keys per table."""
@@ -162,7 +177,7 @@ def _(x):
     stream_incremental_load(
         x.spark, x.sf_dir, schema, target, "event_id", checkpoint, pattern="events.parquet"
     ).awaitTermination()
-    return x.spark.read.schema(schema).parquet(target).select("event_id", "user_id", "event_type", "value")
+    return StreamTarget(x.spark, target, schema, "event_id").read().select("event_id", "user_id", "event_type", "value")
 
 
 @query("export_json_bundle")
@@ -230,6 +245,26 @@ def _(x):
     return dims.scd2_build(base, changes, "o_custkey", "valid_from", ["o_orderkey"])
 
 
+@query("scd2_as_of_join")
+def _(x):
+    """Every salary event with the version that held on its day."""
+    facts = x.table("fct_salary").select("salary_id", "employee_id", "effective_date", "salary_amount")
+    carry = ["employee_sk", "level_id", "department_id", "manager_id"]
+    return as_of_join(facts, x.table("dim_employee"), "employee_id", "effective_date", "valid_from", carry, tie=["employee_sk"], until="valid_to")
+
+
+@query("dim_employee_incremental")
+def _(x):
+    """The history after a load of half of the changes with outdated job titles, and then the rest."""
+    people, changes = x.view("stg_employees"), x.view("stg_job_changes")
+    kept = history.employee_history(x.spark, run_dir(x.spark, "history"), people, changes)
+    middle = changes.agg(F.expr("percentile_approx(change_id, 0.5)")).first()[0] or 0
+    old = F.when(F.col("department_id") == 1, F.concat("job_title", F.lit(" (old)"))).otherwise(F.col("job_title"))
+    history.update_employees(kept, people.withColumn("job_title", old), changes.filter(F.col("change_id") <= middle))
+    history.update_employees(kept, people, changes)
+    return history.read_employees(kept, binding.AS_OF)
+
+
 @query("scd2_as_of")
 def _(x):
     return dims.scd2_as_of(x.table("dim_employee"), "employee_id", binding.CUTOFF).select(
