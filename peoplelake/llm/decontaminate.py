@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peoplelake.llm.common import written
+from peoplelake.llm.common import set_aside, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -157,4 +157,5 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = written(contaminated(docs, benchmark), "contaminated")
     found = found.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_no"), F.col("text_hash").alias("_th")).distinct()
     here = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_no"), F.xxhash64("text").alias("_th")]
-    return docs.select("*", *here).join(found, ["_id", "_no", "_th"], "left_anti").select(*docs.columns)
+    aside, back = set_aside(docs, ("doc_id", "text"))
+    return aside.select("*", *here).join(found, ["_id", "_no", "_th"], "left_anti").select(*back)

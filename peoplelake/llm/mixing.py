@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from peoplelake.llm.common import numbered, running_sums, written
+from peoplelake.llm.common import numbered, running_sums, set_aside, written
 from peoplelake.llm.words import WORD
 
 SOURCE = ["no_source", "source_name"]
@@ -220,15 +220,16 @@ def mixed_documents(docs: DataFrame, settings: MixSettings = MixSettings()) -> D
     spans = spans.groupBy("doc_id", "h", "start").agg(F.collect_list(F.struct("pass", "size", "n", "shard", "order", "ranges")).alias("copies"))
     same = Window.partitionBy("doc_id", "h")
     spans = spans.withColumn("_nth", F.row_number().over(same.orderBy("start"))).drop("start")
-    rows = docs.withColumn("h", order_hash(settings)).filter(word_count(F.col("text")) > 0)
+    aside, back = set_aside(docs, ("doc_id", "text", "source"))
+    rows = aside.withColumn("h", order_hash(settings)).filter(word_count(F.col("text")) > 0)
     rows = rows.withColumn("_nth", F.row_number().over(same.orderBy(F.col("source"))))
     key = (rows["h"] == spans["h"]) & rows["doc_id"].eqNullSafe(spans["doc_id"]) & (rows["_nth"] == spans["_nth"])
-    rows = rows.join(spans, key).select(*[rows[c] for c in docs.columns], F.explode("copies").alias("_copy"))
+    rows = rows.join(spans, key).select(*[rows[c] for c in aside.columns], F.explode("copies").alias("_copy"))
     gap = r"(?<=[\\x20\\x09-\\x0D])(?=[^\\x20\\x09-\\x0D])"
     lead = r"^[\\x20\\x09-\\x0D]+"
     piece = f"array_join(transform(_copy.ranges, r -> array_join(slice(split(regexp_replace(text, '{lead}', ''), '{gap}'), int(r.from_word + 1), int(r.n_words)), '')), '')"
     rows = rows.withColumn("text", F.expr(f"if(_copy.n = _copy.size, text, {piece})"))
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+        rows = rows.withColumn(aside.columns[docs.columns.index("n_chars")], F.length("text").cast(docs.schema["n_chars"].dataType))
     rows = rows.repartitionByRange(F.col("_copy.shard"), F.col("_copy.order")).sortWithinPartitions("_copy.shard", "_copy.order")
-    return rows.select(*docs.columns)
+    return rows.select(*back)

@@ -21,8 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peoplelake.llm import neardup
-from peoplelake.llm.common import components, written
+from peoplelake.llm.common import components, set_aside, written
 from peoplelake.llm.words import LOWER, joined_words, text_chunks, word_bounds
 
 BITS = 64
@@ -183,11 +182,12 @@ def near_pairs(nodes: DataFrame, plan: list[Partition], radius: int = RADIUS) ->
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, *keep: str) -> DataFrame:
-    """doc_id (and ``keep``), fp and component_id of every document.
+    """doc_id (and ``keep``), fp, component_id and root of every document.
 
     component_id is the smallest doc_id reachable over fingerprints that differ in at most ``radius`` bits, the
-    document's own included; null only where no document of the component has an id. Texts without words have
-    fingerprint zero and are linked like any other; repeated rows are in one component.
+    document's own included; null only where no document of the component has an id. root is a fingerprint of the
+    component, the same for all its documents. Texts without words have fingerprint zero and are linked like any other;
+    repeated rows are in one component.
     """
     rows = written(fingerprints(docs, shingle, *keep), "fingerprints")
     nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
@@ -196,36 +196,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     members = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     members = written(members, "members")
     roots = members.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(members.join(roots, "root").select("fp", "component_id"), "fp")
+    return rows.join(members.join(roots, "root").select("fp", "component_id", "root"), "fp")
 
 
 def with_hex(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def fingerprint_links(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Pairs (a, b) of the column node that connect all whose fingerprints differ in at most ``radius`` bits."""
-    firsts = written(rows.groupBy("fp").agg(F.min("node").alias("node")), "nodes")
-    n, both = bit_statistics(firsts)
-    pairs = near_pairs(firsts, plan_partitions(n, both, radius), radius)
-    side = lambda x: firsts.select(F.col("fp").alias(x), F.col("node").alias(f"{x}_node"))
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    equal = rows.select("fp", F.col("node").alias("a")).join(firsts.select("fp", F.col("node").alias("b")), "fp")
-    return pairs.unionByName(equal.filter("a <> b").select("a", "b"))
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The documents of ``docs`` with the smallest id (then text hash) of every component, columns unchanged.
 
-
-def one_of_each(docs: DataFrame, shingle: int = 5, radius: int = RADIUS, similarity: float = neardup.SIMILARITY) -> DataFrame:
-    """The documents of ``docs`` with the smallest id (then text hash) of every near-duplicate group, columns unchanged.
-
-    Two texts are linked if the Jaccard similarity of their shingles is at least ``similarity``, or their fingerprints
-    differ in at most ``radius`` bits. Fingerprints alone would need a radius of 19 bits for a similarity of 0.8, still
-    miss some and have unrelated pairs in number of the square, so the sets are joined themselves.
+    Documents without an id come last; of equal rows one stays. Columns of any other name may be there.
     """
-    rows = neardup.shingle_sets(docs, majority, shingle)
-    links = neardup.similar_links(neardup.distinct_sets(rows), similarity).unionByName(fingerprint_links(rows, radius))
-    rows = rows.select("doc_id", "th", "node").join(components(links, "a", "b"), "node", "left")
-    order = F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id").alias("id"), F.col("th").alias("th"))
-    kept = rows.groupBy(F.coalesce("root", "node").alias("g")).agg(F.min(order).alias("first")).select("first.*").distinct()
-    here = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_no"), F.xxhash64("text").alias("_th")]
-    kept = kept.select(F.coalesce("id", F.lit(0)).alias("_id"), F.col("no").alias("_no"), F.col("th").alias("_th"))
-    return docs.select("*", *here).join(kept, ["_id", "_no", "_th"], "left_semi").dropDuplicates(["_id", "_no", "_th"]).select(*docs.columns)
+    aside, back = set_aside(docs, ("doc_id", "text"))
+    no, at, th = F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), F.xxhash64("text")
+    aside = aside.select("*", no.alias("_no"), at.alias("_id"), th.alias("_th"))
+    rows = near_duplicates(aside, shingle, radius, "_no", "_id", "_th")
+    kept = rows.groupBy("root").agg(F.min(F.struct("_no", "_id", "_th")).alias("first")).select("first.*")
+    key = ["_no", "_id", "_th"]
+    return aside.join(kept, key, "left_semi").dropDuplicates(key).select(*back)

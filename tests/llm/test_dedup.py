@@ -4,7 +4,7 @@ import re
 
 import xxhash
 
-from peoplelake.llm import neardup, simhash, substrings
+from peoplelake.llm import decontaminate, mixing, simhash, substrings
 from peoplelake.llm.common import components
 from tests.llm.fixtures import edge_documents, edge_rows, no_documents, sentence, words
 
@@ -117,6 +117,10 @@ def test_one_of_each(spark):
     assert kept.columns == edge_documents(spark).columns
     ids = [r.doc_id for r in kept.collect()]
     assert len(ids) == len(set(ids)) and ids.count(107) == 1 and 108 not in ids
+    first = {}
+    for (d, text), (_, _, component) in zip([(r[0], r[1]) for r in edge_rows()], expected_components([(r[0], r[1]) for r in edge_rows()]), strict=True):
+        first.setdefault(component, set()).add(d)
+    assert sorted(ids, key=repr) == sorted(first, key=repr)
     assert simhash.one_of_each(no_documents(spark)).collect() == []
 
 
@@ -126,52 +130,28 @@ def test_components_of_chains_and_stars(spark):
     assert got == {i: 0 for i in range(61)} | {100 + i: 100 for i in range(40)} | {200: 200, 300: 200}
 
 
-def shingles5(text):
-    w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return frozenset(" ".join(w[i : i + 5]) for i in range(len(w) - 4)) or frozenset([" ".join(w)])
+CLASHING = "doc_id long, text string, source string, lang string, n_chars long, h string, _id string, _NO int, _th string, _nth string, _copy string, root string, fp string, component_id string, th string, size string, _H string"
 
 
-def fingerprint5(text):
-    w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text))
-    hashes = [xxhash.xxh64_intdigest(" ".join(w[i : i + 5]).encode(), 42) for i in range(max(len(w) - 4, 1))]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+def clashing(spark):
+    """Documents with columns named like those of the stages, each with a value of its own."""
+    rows = [(d, text, "ab"[d % 2], "en", len(text), *[f"{c}{d}" if c != "_NO" else d for c in ("h", "_id", "_NO", "_th", "_nth", "_copy", "root", "fp", "component_id", "th", "size", "_H")])
+            for d, text in [(1, sentence(300, 1)), (2, sentence(300, 1)), (3, sentence(60, 3)), (4, sentence(2000, 4)), (5, "")]]
+    return spark.createDataFrame(rows, CLASHING)
 
 
-def expected_groups(rows):
-    sets, prints, root = [shingles5(t) for _, t in rows], [fingerprint5(t) for _, t in rows], list(range(len(rows)))
-    for i in range(len(rows)):
-        for j in range(i):
-            if root[i] != root[j] and (5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) or (prints[i] ^ prints[j]).bit_count() <= 4):
-                old, new = root[i], root[j]
-                root = [new if r == old else r for r in root]
-    groups = {}
-    for (d, _), r in zip(rows, root):
-        groups.setdefault(r, []).append(d)
-    return groups.values()
-
-
-def edited(text, places):
-    return " ".join(f"new{i}" if i in places else w for i, w in enumerate(text.split(" ")))
-
-
-def test_one_of_each_reaches_a_similarity_of_0_8(spark, sf_dir):
-    rng, common = random.Random(8), sentence(30, 99)
-    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(300).collect()]
-    for k, n in enumerate((6, 12, 24, 45, 46, 100, 300)):
-        base = sentence(n, 200 + k)
-        texts.append(base)
-        texts += [edited(base, set(rng.sample(range(n), m))) for m in range(1, 8) if m < n]
-        texts += [f"{base} {sentence(m, m)}" for m in range(1, max(n // 3, 2), max(n // 20, 1))] + [f"{common} {sentence(n, 300 + k)}", base.upper()]
-    near = sentence(80, 400)
-    texts += [edited(near, {i}) for i in range(40)]
-    rows = [(i, t) for i, t in enumerate(texts)]
-    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    want = sorted(min(g) for g in expected_groups(rows))
-    assert sorted(r.doc_id for r in simhash.one_of_each(table).collect()) == want
-
-
-def test_order_of_shingles_does_not_decide(spark, monkeypatch):
-    rows = [(10 * i + j, edited(f"{sentence(30, 1)} {sentence(60, i)}", set(range(j)))) for i in range(2, 9) for j in range(6)]
-    monkeypatch.setattr(neardup, "SAMPLE", 5)
-    table = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(r.doc_id for r in simhash.one_of_each(table).collect()) == sorted(min(g) for g in expected_groups(rows))
+def test_stages_keep_the_values_of_clashing_columns(spark):
+    docs = clashing(spark)
+    items = spark.createDataFrame([(1, sentence(60, 3))], "item_id long, text string")
+    whole = {r.doc_id: tuple(r) for r in docs.collect()}
+    kept = {r.doc_id: tuple(r) for r in simhash.one_of_each(docs).collect()}
+    assert kept == {d: whole[d] for d in (1, 3, 4, 5)}
+    kept = {r.doc_id: tuple(r) for r in decontaminate.without_benchmark(docs, items).collect()}
+    assert kept == {d: whole[d] for d in (1, 2, 4, 5)}
+    mix = mixing.mixed_documents(docs)
+    assert mix.columns == docs.columns and mix.dtypes == docs.dtypes
+    rows = mix.collect()
+    assert {r.doc_id for r in rows} == {1, 2, 3, 4}
+    for r in rows:
+        assert tuple(r)[2:4] == whole[r.doc_id][2:4] and tuple(r)[5:] == whole[r.doc_id][5:]
+        assert r.n_chars == len(r.text) and r.text in whole[r.doc_id][1]

@@ -68,7 +68,7 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
     rows = [k.collect() for k in kept]
     right = [labels[r.doc_id] == int(r.doc_id in {k.doc_id for k in rows[1]}) for r in rows[0] if r.doc_id in labels]
     assert sum(right) / len(right) > 0.9
-    prints = [expected_fingerprint5(r.text) for r in rows[2]]
+    prints = [expected_fingerprint(r.text) for r in rows[2]]
     assert all((a ^ b).bit_count() > 4 for i, a in enumerate(prints) for b in prints[:i])
     assert {r.doc_id for r in rows[2] if not any(t in r.text for t in items)} >= {r.doc_id for r in rows[3]}
     sizes, taken = {}, {}
@@ -84,17 +84,6 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
     assert sorted(want) == sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in rows[5])
 
 
-def expected_fingerprint5(text):
-    import re
-
-    import xxhash
-
-    w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    grams = [" ".join(w[i : i + 5]) for i in range(len(w) - 4)] or ([" ".join(w)] if w else [])
-    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
 @pytest.mark.parametrize("make", [edge_documents, no_documents])
 def test_stages_on_edge_documents(spark, sf_dir, make):
     docs = make(spark)
