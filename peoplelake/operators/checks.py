@@ -6,10 +6,11 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from peoplelake.schemas import TABLES
+from peoplelake.sources.versions import BUCKET, VersionedTable
 
 
 class QualityGateError(RuntimeError):
@@ -101,12 +102,16 @@ class TableTests:
     def __len__(self) -> int:
         return len(self.not_null) + len(self.unique) + len(self.accepted) + len(self.expressions)
 
-    def run(self, df: DataFrame) -> list[DataFrame]:
+    def row_tests(self) -> list[tuple[str, str, Column]]:
+        """(test, column, predicate of the rows that fail)."""
         rows = [("not_null", c, _nulls(c)) for c in self.not_null]
         # Raw codes are compared without case, as in the source database; staging lower-cases them.
         ignore_case = self.table.startswith("raw_")
         rows += [("accepted_values", c, _outside_list(c, v, ignore_case)) for c, v in self.accepted.items()]
-        rows += [("expression", name, F.expr(bad)) for name, bad in self.expressions.items()]
+        return rows + [("expression", name, F.expr(bad)) for name, bad in self.expressions.items()]
+
+    def run(self, df: DataFrame) -> list[DataFrame]:
+        rows = self.row_tests()
         if not self.unique:
             return [_row_tests(df, self.table, rows)] if rows else []
         return [_keyed_tests(df, self.table, self.unique[0], rows)] + [test_unique(df, self.table, c) for c in self.unique[1:]]
@@ -172,6 +177,42 @@ REFERENCES = (
 )
 
 
+#: Column of the failed tests of a row, written with it.
+REASONS = "_reasons"
+
+
+@dataclass(frozen=True)
+class Tested:
+    """A published table with its test results, and the rows that failed with the reasons for it."""
+
+    table: DataFrame
+    results: DataFrame
+    failing: DataFrame
+
+
+def publish_tested(df: DataFrame, path: str, tests: TableTests) -> Tested:
+    """Publish a table and count its row tests in the pass that writes it.
+
+    Rows that fail go to files of their own with a list of ``test:column`` reasons, so they are set aside without a
+    second look at the others; the table holds both. Only uniqueness reads the written keys once more.
+    """
+    spark, rows = df.sparkSession, tests.row_tests()
+    failed = [F.when(bad, F.lit(f"{test}:{column}")) for test, column, bad in rows]
+    reasons = F.filter(F.array(*failed), lambda r: r.isNotNull()) if failed else F.array().cast("array<string>")
+    seen = Observation(f"tests of {tests.table}")
+    flagged = df.withColumn(REASONS, reasons)
+    counts = [F.count_if(F.array_contains(REASONS, f"{test}:{column}")).alias(f"_{i}") for i, (test, column, _) in enumerate(rows)]
+    flagged = flagged.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
+    table = VersionedTable(spark, path, flagged.schema)
+    table.publish(flagged, F.when(F.size(REASONS) > 0, 1).otherwise(0))
+    metrics = seen.get
+    cells = [(test, tests.table, column, metrics.get(f"_{i}", 0)) for i, (test, column, _) in enumerate(rows)]
+    results = [spark.createDataFrame(cells, "test string, table string, column string, failures long")] if cells else []
+    results += [test_unique(table.read(), tests.table, c) for c in tests.unique]
+    bad = [f for f in table.files() if f"{BUCKET}=1/" in f.path]
+    return Tested(table.read().drop(REASONS), reduce(DataFrame.unionByName, results), table.read(bad))
+
+
 def declared_tests(tables: Mapping[str, DataFrame], declared: Iterable[TableTests] = DECLARED) -> DataFrame:
     """Results of the declared tests for the tables at hand."""
     frames = [f for t in declared if t.table in tables for f in t.run(tables[t.table])]

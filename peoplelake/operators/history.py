@@ -1,4 +1,7 @@
-"""The employee history kept as a table in hash buckets: a run rebuilds touched employees and rewrites only their buckets."""
+"""The employee history kept as a table in hash buckets: a run rebuilds touched employees and rewrites only their buckets.
+
+The headcount follows it by the files that changed.
+"""
 
 from __future__ import annotations
 
@@ -13,6 +16,7 @@ from pyspark.sql import types as T
 from peoplelake.functions.ordered import HOT_ROWS
 from peoplelake.functions.scalar import day
 from peoplelake.operators.dims import dim_employee, scd2_build
+from peoplelake.operators.marts import HEADCOUNT_STATE, add_moves, headcount_moves
 from peoplelake.sources.sinks import materialize, run_dir
 from peoplelake.sources.versions import VersionedTable
 
@@ -133,3 +137,34 @@ def update_versions(history: HistoryTable, base: DataFrame, changes: DataFrame,
         return scd2_build(first, later, history.key, valid_from, order, hot_rows)
 
     return history.update(base, changes, build)
+
+
+class HeadcountState:
+    """Month changes of the headcount, kept as a table that follows an employee history."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        kinds = [T.StructField(c, T.LongType()) for c in ("department_id", "level_id")] + [T.StructField("month", T.DateType())]
+        self.table = VersionedTable(spark, path, T.StructType([*kinds, *[T.StructField(n, T.LongType()) for n in HEADCOUNT_STATE]]))
+
+    def read(self) -> DataFrame:
+        return self.table.read()
+
+    def update(self, history: HistoryTable) -> bool:
+        """Follow the history; returns whether all of it had to be read.
+
+        Files of the history that both its versions hold cancel out, so only the rows of replaced files are read: the
+        old ones are taken back and the new ones added. Without the version that the state stands for, it is built anew.
+        """
+        now, seen = history.table.version(), self.table.note().get("history", 0)
+        if seen == now:
+            return False
+        new, old, whole = history.table.files(now), [], not history.table.has(seen)
+        if not whole:
+            old = history.table.files(seen)
+            both = {f.path for f in new} & {f.path for f in old}
+            new, old = ([f for f in files if f.path not in both] for files in (new, old))
+        moves = [headcount_moves(history.table.read(files)) for files in (new, old)]
+        state = self.table.read([]) if whole else self.read()
+        names = [f.name for f in self.table.schema.fields]
+        self.table.publish(add_moves(state, *moves).select(*[F.col(c).cast(self.table.schema[c].dataType).alias(c) for c in names]), note={"history": now})
+        return whole

@@ -60,7 +60,11 @@ def snapshot_counts(
     deltas = moves.groupBy(*group, F.col("_move.month").alias("_month")).agg(
         *[F.sum(F.col(n) * F.col("_move.sign")).alias(n) for n in names], F.sum("_move.sign").alias("_open")
     )
-    # From here on: at most months x groups rows.
+    return _levels(deltas, group, names, last_month)
+
+
+def _levels(deltas: DataFrame, group: Sequence[str], names: Sequence[str], last_month: Column) -> DataFrame:
+    """Month-end levels from changes per group and month (``_month``, ``_open``); at most months x groups rows from here on."""
     steps = Window.partitionBy(*group).orderBy("_month")
     levels = deltas.select(
         *group,
@@ -108,6 +112,12 @@ def mart_headcount(
     tenure = F.col("tenure_sum")
     if tenure_at_snapshot:
         tenure = F.unix_date("snapshot_date") * F.col("headcount") - tenure
+    return _headcount_columns(counts, tenure, dim_date, dim_department, dim_job_level)
+
+
+def _headcount_columns(
+    counts: DataFrame, tenure: Column, dim_date: DataFrame, dim_department: DataFrame, dim_job_level: DataFrame
+) -> DataFrame:
     months = dim_date.filter(F.col("day") == 1).select("year_month_key")
     return (
         counts.join(F.broadcast(months), "year_month_key", "left_semi")
@@ -131,6 +141,58 @@ def mart_headcount(
     )
 
 
+#: What an employee adds in its first month and takes back in the month of exit; tenure as sums that any day completes.
+HEADCOUNT_STATE = ("headcount", "headcount_female", "headcount_male", "headcount_ft", "tenure_fixed", "open_count", "open_hired")
+
+
+def headcount_moves(dim_employee: DataFrame) -> DataFrame:
+    """Changes of the headcount measures per (department_id, level_id, month), from the current versions of employees."""
+    gender, kind, gone = F.col("gender"), F.col("employment_type"), F.col("exit_date")
+    parts = {
+        "headcount": F.lit(1),
+        "headcount_female": F.when(gender == "female", 1).otherwise(0),
+        "headcount_male": F.when(gender == "male", 1).otherwise(0),
+        "headcount_ft": F.when(kind == "full_time", 1).otherwise(0),
+        "tenure_fixed": F.when(gone.isNotNull(), F.datediff(gone, F.col("hire_date"))).otherwise(0),
+        "open_count": F.when(gone.isNull(), 1).otherwise(0),
+        "open_hired": F.when(gone.isNull(), F.unix_date("hire_date")).otherwise(0),
+    }
+    enter, leave = F.trunc("hire_date", "month"), F.trunc("exit_date", "month")
+    rows = current(dim_employee).filter(enter.isNotNull() & (leave.isNull() | (leave > enter)))
+    moves = F.array(F.struct(enter.alias("month"), F.lit(1).alias("sign")), F.struct(leave.alias("month"), F.lit(-1).alias("sign")))
+    rows = rows.select("department_id", "level_id", *[v.cast("long").alias(n) for n, v in parts.items()], F.explode(moves).alias("_move"))
+    rows = rows.filter("_move.month IS NOT NULL").withColumn("month", F.col("_move.month"))
+    return _summed(rows, {n: F.col(n) * F.col("_move.sign") for n in HEADCOUNT_STATE})
+
+
+def _summed(rows: DataFrame, values: Mapping[str, Column] | None = None) -> DataFrame:
+    values = values or {n: F.col(n) for n in HEADCOUNT_STATE}
+    sums = rows.groupBy("department_id", "level_id", "month").agg(*[F.sum(v).alias(n) for n, v in values.items()])
+    return sums.filter(" OR ".join(f"{n} <> 0" for n in HEADCOUNT_STATE))
+
+
+def add_moves(state: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame:
+    """The state after some employees' rows were replaced: ``added`` and ``removed`` are the moves of the new and the old rows."""
+    back = removed.select("department_id", "level_id", "month", *[(-F.col(n)).alias(n) for n in HEADCOUNT_STATE])
+    return _summed(state.unionByName(added).unionByName(back))
+
+
+def headcount_from_state(
+    state: DataFrame, dim_date: DataFrame, dim_department: DataFrame, dim_job_level: DataFrame, start: dt.date | str, as_of: dt.date | str
+) -> DataFrame:
+    """``mart_headcount`` from the stored month changes: a running sum over months x groups rows, no employee is read."""
+    low, high = day(start), day(as_of)
+    first_month = F.when(low == F.trunc(low, "month"), low).otherwise(F.add_months(F.trunc(low, "month"), 1))
+    last_month = F.trunc(high, "month")
+    # what came before the first month is the level it begins with
+    deltas = state.groupBy("department_id", "level_id", F.greatest("month", first_month).alias("_month")).agg(
+        *[F.sum(n).alias(n) for n in HEADCOUNT_STATE], F.sum("headcount").alias("_open")
+    )
+    counts = _levels(deltas.filter(F.col("_month") <= last_month), ["department_id", "level_id"], HEADCOUNT_STATE, last_month)
+    tenure = F.col("tenure_fixed") + F.col("open_count") * F.unix_date(high) - F.col("open_hired")
+    return _headcount_columns(counts, tenure, dim_date, dim_department, dim_job_level)
+
+
 def mart_attrition(fct_attrition: DataFrame, mart_headcount_df: DataFrame, dim_department: DataFrame) -> DataFrame:
     """Exits and attrition rate by quarter and department. The rate is NULL where no headcount month exists."""
     kind = F.col("exit_type")

@@ -104,41 +104,50 @@ def _evaluate(scored: DataFrame, label: str) -> DataFrame:
 Fit = Callable[[DataFrame, Sequence[str]], PipelineModel]
 
 
-def out_of_time(fit: Fit, train: DataFrame, test: DataFrame, columns: Sequence[str], label: str = LABEL) -> DataFrame:
-    """Fit at an earlier cutoff, measure at a later one."""
-    model = fit(with_weight(train, label), columns)
+def out_of_time_predictions(fit: Fit, train: DataFrame, test: DataFrame, columns: Sequence[str], label: str = LABEL) -> DataFrame:
+    """The test rows with the probability of a model fitted at an earlier cutoff."""
+    return predict(fit(with_weight(train, label), columns), test)
+
+
+def out_of_time_summary(predictions: DataFrame, train: DataFrame, label: str = LABEL) -> DataFrame:
     seen = train.agg(
         F.count(F.lit(1)).alias("n_train"), F.round(F.avg(F.col(label).cast("double")), 4).alias("base_rate_train")
     )
-    result = _evaluate(predict(model, test), label)
-    return result.select(
+    return _evaluate(predictions, label).select(
         seen.select("n_train").scalar().alias("n_train"), "n_test",
         seen.select("base_rate_train").scalar().alias("base_rate_train"), "base_rate_test", "auc_roc", "auc_pr",
     )
 
 
-def kfold_cv(
+def out_of_time(fit: Fit, train: DataFrame, test: DataFrame, columns: Sequence[str], label: str = LABEL) -> DataFrame:
+    """Fit at an earlier cutoff, measure at a later one."""
+    return out_of_time_summary(out_of_time_predictions(fit, train, test, columns, label), train, label)
+
+
+def kfold_predictions(
     fit: Fit, df: DataFrame, columns: Sequence[str], label: str = LABEL, id_col: str = "employee_id", k: int = 5,
     seed: int = 42,
 ) -> DataFrame:
-    """Mean and population deviation of both ranking metrics over class-preserving folds.
+    """Every row with its fold and the probability of the model that was fitted on the other folds.
 
-    The weight comes from all rows, as in the published evaluation. One fit per fold, all at once; the held-out predictions
-    are measured together, grouped by fold.
+    The weight comes from all rows, as in the published evaluation. One fit per fold, all at once.
     """
     folds = stratified_kfold(with_weight(df, label), label, id_col, k, seed)
     folds = materialize(folds, run_dir(df.sparkSession, "folds"))
 
-
     def held(i: int) -> DataFrame:
         model = fit(folds.filter(F.col("fold") != i), columns)
-        return predict(model, folds.filter(F.col("fold") == i)).select("fold", label, "probability")
+        return predict(model, folds.filter(F.col("fold") == i)).select(id_col, "fold", label, "probability")
 
     with ThreadPoolExecutor(max_workers=k) as pool:
         held_out = list(pool.map(held, range(k)))
-    scored = reduce(DataFrame.unionByName, held_out)
-    auc = roc_auc_by(scored, ["fold"], label, "probability")
-    ap = average_precision_by(scored, ["fold"], label, "probability")
+    return reduce(DataFrame.unionByName, held_out)
+
+
+def kfold_summary(predictions: DataFrame, label: str = LABEL) -> DataFrame:
+    """Mean and population deviation of both ranking metrics over the folds, measured together and grouped by fold."""
+    auc = roc_auc_by(predictions, ["fold"], label, "probability")
+    ap = average_precision_by(predictions, ["fold"], label, "probability")
     return auc.join(ap, "fold").agg(
         F.count(F.lit(1)).alias("k"),
         *[
@@ -149,6 +158,14 @@ def kfold_cv(
     )
 
 
+def kfold_cv(
+    fit: Fit, df: DataFrame, columns: Sequence[str], label: str = LABEL, id_col: str = "employee_id", k: int = 5,
+    seed: int = 42,
+) -> DataFrame:
+    """Both ranking metrics over class-preserving folds."""
+    return kfold_summary(kfold_predictions(fit, df, columns, label, id_col, k, seed), label)
+
+
 def save_model(model: PipelineModel, path: str, metrics: DataFrame | None = None) -> None:
     """Model with its column list (kept by the assembler stage) and, next to it, its metrics."""
     model.write().overwrite().save(f"{path}/model")

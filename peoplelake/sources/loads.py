@@ -107,6 +107,8 @@ def watermark_update(
 class LoadConfig:
     """Where a load reads and writes. ``read(table)`` returns the source DataFrame of one table.
 
+    A source that can plan by key is read with ``read_above(table, watermark)`` in incremental loads: it may leave out
+    rows at or below the mark.
     Replaced tables get files of about ``file_rows`` rows, the unit in which they are rewritten.
     """
 
@@ -116,6 +118,7 @@ class LoadConfig:
     source_prefix: str = "postgres.hr."
     tables: Sequence[TableConfig] = TABLES
     file_rows: int = FILE_ROWS
+    read_above: Callable[[str, int], DataFrame] | None = None
 
 
 def raw_path(root: str, target: str) -> str:
@@ -147,11 +150,12 @@ def read_watermarks(spark: SparkSession, root: str) -> DataFrame:
 def _load_table(spark: SparkSession, config: LoadConfig, table: TableConfig, marks: DataFrame, full_load: bool):
     """Load one table; returns (rows loaded, watermark update or None)."""
     target, staged = raw_table(spark, config.root, table), _staged(config.root, table.target)
-    source = add_lineage(config.read(table.source), config.source_prefix + table.source, config.loaded_at)
     columns = [f.name for f in target.schema.fields]
     incremental = table.mode == "incremental_pk"
-    if incremental and not full_load:
-        wm = watermark_get(marks, table.source)
+    wm = watermark_get(marks, table.source) if incremental and not full_load else None
+    rows = config.read(table.source) if wm is None or config.read_above is None else config.read_above(table.source, wm)
+    source = add_lineage(rows, config.source_prefix + table.source, config.loaded_at)
+    if wm is not None:
         # The source is read once: mark and rows both come from the staged copy of its new rows.
         fresh = materialize(source.select(*columns).filter(F.col(table.key) > F.lit(wm)), staged)
         above = target.read([f for f in target.files() if f.high is not None and f.high > wm])

@@ -63,6 +63,10 @@ class VersionedTable:
         """Number of the current version, 0 if there is none."""
         return max(self._versions(), default=0)
 
+    def has(self, version: int) -> bool:
+        """Whether the files of a version are still there; version 0 is the empty table."""
+        return version == 0 or version in self._versions()
+
     def _lines(self, version: int) -> list[dict]:
         stream = self._fs.open(self._place(f"{self.path}/_versions/{version:012d}"))
         try:

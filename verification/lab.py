@@ -9,9 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from peoplelake.functions.ordered import HOT_ROWS
 from peoplelake.operators import exports
-from peoplelake.operators.explain import linear_contributions, score_linear, score_rows, top_drivers
+from peoplelake.operators.explain import explain_trees, linear_contributions, score_linear, score_rows, top_drivers
 from peoplelake.operators.features import LABEL, align_features, build_features, feature_columns, observed_values, one_hot, stratified_split
-from peoplelake.operators.models import load_model, save_model, train_gbt, with_weight
+from peoplelake.operators.models import (
+    kfold_predictions,
+    load_model,
+    out_of_time_predictions,
+    save_model,
+    score_active,
+    train_gbt,
+    train_logreg,
+    with_weight,
+)
 from peoplelake.plans import binding
 from peoplelake.plans.warehouse import Warehouse
 from peoplelake.schemas import TABLES
@@ -107,6 +116,35 @@ class Lab:
         save_model(train_gbt(with_weight(self.parts.filter("split = 'train'")), self.columns), path)
         return load_model(path)
 
+    @cached_property
+    def cv(self) -> DataFrame:
+        """Held-out predictions of the tree model's folds."""
+        return self.warehouse.put("cv", kfold_predictions(train_gbt, self.parts.drop("split"), self.columns))
+
+    @cached_property
+    def linear_cv(self) -> DataFrame:
+        return self.warehouse.put("linear_cv", kfold_predictions(train_logreg, self.parts.drop("split"), self.columns))
+
+    @cached_property
+    def early(self) -> DataFrame:
+        """Training features of the earlier cutoff."""
+        return self.features(binding.EARLIER_CUTOFF)
+
+    @cached_property
+    def oot(self) -> DataFrame:
+        """Predictions at the training cutoff by a tree model fitted at the earlier one."""
+        codes = observed_values(self.early)
+        columns = feature_columns(one_hot(self.early, codes))
+        train, test = (align_features(one_hot(r, codes), columns, ("employee_id", LABEL)) for r in (self.early, self.features(binding.CUTOFF)))
+        rows = out_of_time_predictions(train_gbt, train, test, columns).select("employee_id", LABEL, "probability")
+        return self.warehouse.put("oot", rows)
+
+    def tree_scores(self, rows: DataFrame, as_of) -> DataFrame:
+        """Score rows of the stored tree model, with the drivers of every employee."""
+        today = align_features(one_hot(rows, self.codes), self.columns)
+        scored = score_active(self.tree_model, today, as_of)
+        return score_rows(top_drivers(explain_trees(self.tree_model, scored)))
+
     @cached_property
     def scores(self) -> DataFrame:
         """Score table with two scoring days."""

@@ -487,18 +487,7 @@ _add(
 _add("add_lineage", "SELECT employee_id, '2001-08-01 00:00:00' AS _loaded_at, 'star.employees' AS _source FROM raw_employees")
 _add("stream_incremental_load", "SELECT event_id, user_id, event_type, value FROM events")
 _NUM = "CASE WHEN {0} IS NULL THEN 'null' WHEN {0} = floor({0}) THEN {0}::BIGINT::VARCHAR ELSE {0}::VARCHAR END"
-_add(
-    "export_json_bundle",
-    "SELECT '{' || "
-    + " || ',' || ".join(
-        f"'\"{c}\":' || " + (f"'\"' || {c} || '\"'" if c.endswith(("name", "group")) else _NUM.format(c))
-        for c in (
-            "department_id", "department_name", "level_id", "level_name", "level_group", "employee_count", "salary_min",
-            "salary_max", "salary_avg", "salary_p25", "salary_median", "salary_p75", "salary_spread_pct",
-        )
-    )
-    + " || '}' AS value FROM mart_compensation",
-)
+
 
 # ---------------------------------------------------------------- staging
 
@@ -575,6 +564,28 @@ _add(
         WHERE valid_from <= {CUTOFF} AND (valid_to IS NULL OR valid_to >= {CUTOFF})""",
 )
 _add("dim_employee_incremental", "SELECT * FROM dim_employee")
+_add("mart_headcount_incremental", "SELECT * FROM mart_headcount")
+_add("mart_compensation_sketched", "SELECT * FROM mart_compensation")
+_add(
+    "sketched_percentiles",
+    f"""SELECT department_id, level_id, count(*) AS n, {cents('min(amount)')} AS low, {cents('max(amount)')} AS high,
+               1 AS p25_near, 1 AS p50_near, 1 AS p75_near
+        FROM fct_salary JOIN (SELECT employee_id, department_id, level_id FROM dim_employee WHERE is_current = 1) USING (employee_id)
+        GROUP BY GROUPING SETS ((department_id, level_id), (department_id))""",
+)
+_add(
+    "headcount_distinct",
+    f"""SELECT year_quarter, department_id, count(DISTINCT employee_id) AS employees, 1 AS employees_near
+        FROM dim_employee JOIN (SELECT * FROM dim_date WHERE day = 1 AND date_day BETWEEN DATE '1995-01-01' AND {AS_OF})
+          ON hire_date <= last_day_of_month AND (exit_date IS NULL OR exit_date > last_day_of_month)
+        WHERE is_current = 1 GROUP BY ALL""",
+)
+_add(
+    "hiring_distinct",
+    f"""SELECT {quarter('stage_date')} AS year_quarter, department_id,
+               {', '.join(f"count(DISTINCT candidate_id) FILTER (stage = '{s}') AS {s}, 1 AS {s}_near" for s in ('applied', 'screening', 'offer'))}
+        FROM stg_events GROUP BY ALL""",
+)
 _HELD = "valid_from IS NOT NULL AND (valid_to IS NULL OR valid_to >= effective_date)"
 _add(
     "scd2_as_of_join",
@@ -900,11 +911,14 @@ _add(
     f"""SELECT *, {', '.join(f"{pct(b, 'total', 4)} AS {b}_pct" for b in ('high', 'medium', 'low'))}
         FROM (SELECT {_BANDS}, count(*) AS total FROM risk_detail WHERE department_id = 2)""",
 )
+_LONG = "department_id = 3 AND coalesce(tenure_days, 0) >= 1825"
 _RISKY = "department_id = 3 AND risk_band = 'high' AND coalesce(tenure_days, 0) >= 1825"
 _add(
     "risk_filtered",
     f"SELECT * FROM risk_detail WHERE {_RISKY} ORDER BY risk_score DESC, employee_id",
 )
+_add("risk_filtered_some", f"SELECT * FROM risk_detail WHERE {_LONG} ORDER BY risk_score DESC, employee_id")
+_add("risk_filtered_top", f"SELECT * FROM risk_detail WHERE {_LONG} ORDER BY risk_score DESC, employee_id LIMIT 5")
 _add(
     "risk_heatmap",
     """SELECT *, greatest(max(high_risk) OVER (), 1) AS max_cell
@@ -955,6 +969,13 @@ _add(
                scored_at, driver_1, driver_2, driver_3
         FROM risk_detail WHERE {_RISKY}""",
 )
+_add(
+    "export_risk_csv_some",
+    f"""SELECT employee_id, department_name AS dept, level_name AS level, risk_score, risk_band, tenure_days,
+               {rdiv('4 * tenure_days', '1461', 1)} AS tenure_years, coalesce(last_review_quarter, '') AS last_review_quarter,
+               scored_at, driver_1, driver_2, driver_3
+        FROM risk_detail WHERE {_LONG}""",
+)
 _add(
     "delta",
     f"""SELECT from_dept_id, cur, prev, {delta('cur', 'prev')}, CASE WHEN cur <> prev THEN (cur < prev)::INT END AS good_if_lower
@@ -1114,13 +1135,18 @@ _add("train_gbt", f"SELECT *, 1 AS better_than_chance FROM ({_PARTS})")
 _add("train_logreg", f"SELECT *, 1 AS at_optimum FROM ({_PARTS})")
 _add("score_active", f"SELECT employee_id, {AS_OF} AS scored_at, 1 AS in_range, 1 AS band_agrees FROM feat_now")
 _add("explain_linear", "SELECT employee_id, 1 AS adds_up FROM feat_train")
-_add("kfold_cv", "SELECT 5::BIGINT AS k, 1 AS roc_in_range, 1 AS pr_in_range")
+_add(
+    "kfold_cv",
+    """SELECT employee_id, left_180d, ((row_number() OVER (PARTITION BY left_180d ORDER BY md5(employee_id || '-42'), employee_id) - 1) % 5)::INT AS fold,
+              1 AS in_range, 5::BIGINT AS k, 1 AS roc_agrees, 1 AS pr_agrees, 1 AS std_agrees FROM feat_train""",
+)
 _add(
     "out_of_time",
-    """SELECT (SELECT count(*) FROM feat_early) AS n_train, count(*) AS n_test,
-              (SELECT round(round(avg(left_180d), 4), 3) FROM feat_early) AS base_rate_train, round(round(avg(left_180d), 4), 3) AS base_rate_test,
-              1 AS roc_in_range, 1 AS pr_in_range FROM feat_train""",
+    """SELECT employee_id, left_180d, 1 AS in_range, (SELECT count(*) FROM feat_early) AS n_train, (SELECT count(*) FROM feat_train) AS n_test,
+              (SELECT round(round(avg(left_180d), 4), 3) FROM feat_early) AS base_rate_train,
+              (SELECT round(round(avg(left_180d), 4), 3) FROM feat_train) AS base_rate_test, 1 AS roc_agrees, 1 AS pr_agrees FROM feat_train""",
 )
+_add("verdict_of_model", "SELECT 1 AS fed, 1 AS drop_agrees, 1 AS over_time_agrees, 1 AS over_folds_agrees, 1 AS signal_agrees")
 _NUMERIC = (
     "department_id level_id num_reviews num_managers avg_score last_score last_4q_avg last_score_delta num_salary_changes current_salary "
     "last_salary_delta_pct days_since_last_raise age tenure_days_at_cutoff dept_attrition_rate"
@@ -1315,6 +1341,7 @@ def _declared() -> list[str]:
 
 
 _tests("declared_tests", *_declared())
+_tests("declared_tests_observed", *_declared())
 _REFERENCES = [
     ("raw_departments", "parent_id", "stg_departments", "department_id"),
     ("raw_employees", "department_id", "stg_departments", "department_id"),
@@ -1359,5 +1386,63 @@ _add(
     "run_models",
     " UNION ALL ".join(f"SELECT '{m}' AS model, count(*) AS row_count FROM {_STEP.get(m, m)}" for m in _MODELS),
 )
-_add("run_daily", "SELECT scored_at, risk_band, count(*) AS cnt FROM score_now GROUP BY ALL")
+# The export bundle: each section's registered query, its columns in order, one JSON object per row.
+_SECTIONS = {
+    "departments": ("exp_departments", "department_id department_name"),
+    "levels": ("exp_levels", "level_id level_name level_group"),
+    "headcount": (
+        "exp_headcount",
+        "year_month_key department_id department_name level_id level_name headcount headcount_female headcount_male avg_tenure_years pct_female",
+    ),
+    "attrition": (
+        "exp_attrition",
+        "exit_year_quarter department_id department_name exits_total exits_voluntary exits_involuntary exits_retirement avg_headcount "
+        "attrition_rate_pct voluntary_pct avg_tenure_at_exit avg_last_perf_score avg_last_salary",
+    ),
+    "compensation": (
+        "exp_compensation",
+        "department_id department_name level_id level_name level_group employee_count salary_min salary_max salary_avg salary_p25 "
+        "salary_median salary_p75 salary_spread_pct",
+    ),
+    "hiring": (
+        "exp_hiring",
+        "year_quarter department_id department_name total_requisitions cnt_applied cnt_screening cnt_interview cnt_offer cnt_hired "
+        "screening_rate_pct interview_rate_pct offer_rate_pct offer_accept_rate_pct overall_hire_rate_pct avg_days_to_hire",
+    ),
+    "perf_dist": ("perf_dist", "year_quarter department_id score_bucket cnt"),
+    "perf_by_dept": ("perf_by_dept", "year_quarter department_id department_name sum_score n_reviews"),
+}
+_RISK_SECTIONS = {
+    "risk/bands": ("risk_bands", "risk_band cnt avg_score"),
+    "risk/top": (
+        "risk_detail",
+        "employee_id risk_score risk_band driver_1 driver_2 driver_3 department_id department_name level_id level_name tenure_days "
+        "last_review_quarter scored_at",
+    ),
+    "risk/by_dept": ("risk_by_dept", "department_name high_cnt"),
+    "risk/bands_by_dept": ("risk_bands_by_dept", "department_id department_name risk_band cnt avg_score"),
+    "risk/bands_by_level": ("risk_bands_by_level", "level_id level_name risk_band cnt"),
+    "risk/bands_by_dept_level": ("risk_bands_by_dept_level", "department_id department_name level_id level_name risk_band cnt"),
+}
+_TEXT = ("_name", "_group", "_key", "_quarter", "_band", "employee_id", "driver_1", "driver_2", "driver_3", "scored_at")
+
+
+def _json(columns: str) -> str:
+    cells = [f"""'"{c}":' || """ + (f"coalesce(to_json({c}::VARCHAR)::VARCHAR, 'null')" if c.endswith(_TEXT) else _NUM.format(c)) for c in columns.split()]
+    return "'{' || " + " || ',' || ".join(cells) + " || '}'"
+
+
+def _section_rows(sections: dict) -> str:
+    rows = [f"SELECT '{name}' AS section, {_json(columns)} AS value FROM ({ORACLE[source]})" for name, (source, columns) in sections.items()]
+    return " UNION ALL ".join(rows)
+
+
+ORACLE["export_json_bundle"] = _section_rows({**_SECTIONS, **_RISK_SECTIONS})
+ORACLE["run_daily"] = f"""
+    {_section_rows(_SECTIONS)}
+    UNION ALL SELECT 'alert', {_json('exit_year_quarter rate threshold is_alert')} FROM ({ORACLE['attrition_alert']})
+    UNION ALL SELECT 'scores', concat_ws(' ', employee_id, scored_at, 1) FROM ({ORACLE['risk_detail']})
+    UNION ALL SELECT 'risk/bands', count(*)::VARCHAR FROM ({ORACLE['risk_detail']})
+    UNION ALL SELECT 'tests', concat_ws(' ', count(*), sum(failures)) FROM ({ORACLE['declared_tests']})
+"""
 _add("explain_trees", "SELECT employee_id, 1 AS adds_up FROM feat_train")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,7 @@ from peoplelake.functions.scalar import (
     decimals_as_double,
     delta,
     number,
+    quarter_key,
     risk_band,
     safe_rate,
     status_label,
@@ -23,13 +24,13 @@ from peoplelake.functions.scalar import (
     tenure_years,
     years_between,
 )
-from peoplelake.operators import checks, dims, explain, exports, features, history, marts, metrics, models, report, rules, staging
+from peoplelake.operators import checks, dims, explain, exports, features, history, marts, metrics, models, report, rules, sketches, staging
 from peoplelake.operators.features import LABEL
 from peoplelake.operators.report import ReportFilter
 from peoplelake.plans import binding, warehouse
-from peoplelake.plans.daily import run_daily
+from peoplelake.plans.daily import export_sections, run_daily
 from peoplelake.sources import loads
-from peoplelake.sources.sinks import json_line, run_dir
+from peoplelake.sources.sinks import export_json_bundle, json_line, run_dir
 from peoplelake.sources.tables import src_files
 from peoplelake.sources.versions import VersionedTable, upsert_by_files
 from peoplelake.streaming.incremental import StreamTarget, stream_incremental_load
@@ -43,6 +44,7 @@ ALL = ReportFilter()
 SOME = ReportFilter(dept=2, level=3, month_start="1997-02", month_end="1999-08")
 RANGE = ReportFilter(month_start="1999-08", month_end="1997-02", granularity="month", gender="female")
 SLICE = ("EMP-000100", "EMP-000115")
+LONG_SERVICE = ReportFilter(dept=3, tenure="gt5")
 RISKY = ReportFilter(dept=3, band="high", tenure="gt5")
 
 
@@ -180,9 +182,24 @@ def _(x):
     return StreamTarget(x.spark, target, schema, "event_id").read().select("event_id", "user_id", "event_type", "value")
 
 
+def _section_lines(spark, root: str, names) -> DataFrame:
+    """The lines of published sections, as read back from their files."""
+    parts = [spark.read.text(f"{root}/{name}").select(F.lit(name).alias("section"), "value") for name in names]
+    return reduce(DataFrame.unionByName, parts)
+
+
+#: Sections of the export that don't depend on scores, and those that do.
+SECTIONS = ("departments", "levels", "headcount", "attrition", "compensation", "hiring", "perf_dist", "perf_by_dept")
+RISK_SECTIONS = tuple(f"risk/{n}" for n in ("bands", "top", "by_dept", "bands_by_dept", "bands_by_level", "bands_by_dept_level"))
+
+
 @query("export_json_bundle")
 def _(x):
-    return json_line(exports.exp_compensation(x.table("mart_compensation")))
+    """All sections of the bundle, written and read back."""
+    root = run_dir(x.spark, "bundle")
+    tables = {name: x.table(name) for name in warehouse.MODELS}
+    export_json_bundle(export_sections(tables, x.scores, f"{root}/_work"), f"{root}/export")
+    return _section_lines(x.spark, f"{root}/export", (*SECTIONS, *RISK_SECTIONS))
 
 
 # ---------------------------------------------------------------- staging
@@ -265,6 +282,80 @@ def _(x):
     return history.read_employees(kept, binding.AS_OF)
 
 
+@query("mart_headcount_incremental")
+def _(x):
+    """The headcount after a first load without every fifth employee and half of the changes, and then the rest."""
+    people, changes = x.view("stg_employees"), x.view("stg_job_changes")
+    kept = history.employee_history(x.spark, run_dir(x.spark, "history"), people, changes)
+    state = history.HeadcountState(x.spark, run_dir(x.spark, "headcount"))
+    middle = changes.agg(F.expr("percentile_approx(change_id, 0.5)")).first()[0] or 0
+    early = people.filter("CAST(right(employee_id, 2) AS INT) % 5 <> 0").withColumn("status", F.lit("active"))
+    history.update_employees(kept, early, changes.filter(F.col("change_id") <= middle))
+    state.update(kept)
+    history.update_employees(kept, people, changes)
+    state.update(kept)
+    return marts.headcount_from_state(
+        state.read(), x.table("dim_date"), x.table("dim_department"), x.table("dim_job_level"), binding.HEADCOUNT_START, binding.AS_OF
+    )
+
+
+@query("mart_compensation_sketched")
+def _(x):
+    rows = sketches.sketched_compensation(x.table("fct_salary"), x.table("dim_employee"), x.table("dim_department"), x.table("dim_job_level"))
+    return rows.drop("sketch", "n", "low", "high", "total")
+
+
+@query("sketched_percentiles")
+def _(x):
+    """Salary events by department and level, rolled up to departments: exact counts, and whether the ranks are near enough."""
+    ps = {"p25": "0.25", "p50": "0.50", "p75": "0.75"}
+    place = dims.current(x.table("dim_employee")).select("employee_id", "department_id", "level_id")
+    rows = x.table("fct_salary").select("employee_id", "salary_amount").join(place, "employee_id")
+    fine = sketches.quantile_sketches(rows, ["department_id", "level_id"], "salary_amount")
+    out = []
+    for found, group in ((fine, ["department_id", "level_id"]), (sketches.roll_up(fine, ["department_id"]), ["department_id"])):
+        guess = sketches.sketched_percentiles(found, group, ps).join(found.select(*group, "n", "low", "high"), group)
+        v = F.col("salary_amount").cast("double")
+        parts = [c for p in ps for c in (F.count_if(v < F.col(p)).alias(f"below_{p}"), F.count_if(v <= F.col(p)).alias(f"upto_{p}"))]
+        ranks = rows.join(F.broadcast(guess), group).groupBy(*group, "n", "low", "high").agg(*parts)
+        near = []
+        for p, share in ps.items():
+            row = F.floor(F.col("n") * F.lit(float(share))) + 1
+            off = F.greatest(F.col(f"below_{p}") + 1 - row, row - F.col(f"upto_{p}"), F.lit(0))
+            near.append((off <= F.ceil(F.col("n") * sketches.RANK_ERROR)).cast("int").alias(f"{p}_near"))
+        level = F.col("level_id") if "level_id" in group else F.lit(None).cast("long").alias("level_id")
+        out.append(ranks.select("department_id", level, "n", "low", "high", *near))
+    return out[0].unionByName(out[1])
+
+
+def _distinct(x, months, exact, keys, names):
+    """Quarters merged from month sketches beside exact counts: those, and whether the estimates are within 2 %."""
+    guess = sketches.estimates(sketches.quarterly(months, names), keys, names)
+    both = exact.join(guess.select(*keys, *[F.col(n).alias(f"{n}_guess") for n in names]), keys)
+    near = [(F.abs(F.col(f"{n}_guess") - F.col(n)) <= 0.02 * F.col(n)).cast("int").alias(f"{n}_near") for n in names]
+    return both.select(*keys, *names, *near)
+
+
+@query("headcount_distinct")
+def _(x):
+    people = dims.current(x.table("dim_employee"))
+    months = x.table("dim_date").filter((F.col("day") == 1) & F.col("date_day").between(binding.HEADCOUNT_START, binding.AS_OF))
+    there = (F.col("hire_date") <= F.col("last_day_of_month")) & (F.col("exit_date").isNull() | (F.col("exit_date") > F.col("last_day_of_month")))
+    listed = people.select("employee_id", "department_id", "hire_date", "exit_date").join(F.broadcast(months), there)
+    exact = listed.groupBy("year_quarter", "department_id").agg(F.countDistinct("employee_id").alias("employees"))
+    found = sketches.headcount_sketches(x.table("dim_employee"), x.table("dim_date"), str(binding.HEADCOUNT_START), str(binding.AS_OF))
+    return _distinct(x, found, exact, ["year_quarter", "department_id"], ["employees"])
+
+
+@query("hiring_distinct")
+def _(x):
+    stages = ["applied", "screening", "offer"]
+    events = x.view("stg_recruitment_events")
+    reached = [F.countDistinct(F.when(F.col("stage") == s, F.col("candidate_id"))).alias(s) for s in stages]
+    exact = events.groupBy(quarter_key(F.col("stage_date")).alias("year_quarter"), "department_id").agg(*reached)
+    return _distinct(x, sketches.hiring_sketches(events, stages), exact, ["year_quarter", "department_id"], stages)
+
+
 @query("scd2_as_of")
 def _(x):
     return dims.scd2_as_of(x.table("dim_employee"), "employee_id", binding.CUTOFF).select(
@@ -450,6 +541,9 @@ _report("hiring_trend", lambda x: report.hiring_trend(x.table("mart_hiring"), _h
 _report("hiring_yoy", lambda x: report.hiring_yoy(x.table("mart_hiring"), _hc(x), RANGE))
 _report("band_counts", lambda x: report.band_counts(x.risk_detail, ReportFilter(dept=2)))
 _report("risk_filtered", lambda x: report.risk_filtered(x.risk_detail, RISKY))
+_report("risk_filtered_some", lambda x: report.risk_filtered(x.risk_detail, LONG_SERVICE))
+_report("risk_filtered_top", lambda x: report.risk_filtered(x.risk_detail, LONG_SERVICE, 5))
+_report("export_risk_csv_some", lambda x: report.export_risk_csv(x.risk_detail, LONG_SERVICE))
 _report("risk_heatmap", lambda x: report.risk_heatmap(x.risk_detail, x.table("dim_department"), x.table("dim_job_level"), ALL))
 _report("risk_hotspot", lambda x: report.risk_hotspot(x.risk_detail, ALL))
 _report("most_common_driver", lambda x: report.most_common_driver(x.risk_detail, ALL))
@@ -664,23 +758,52 @@ def _(x):
     return shares.select("employee_id", (gap < 1e-6).cast("int").alias("adds_up"))
 
 
+def _by_ranks(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Both ranking metrics by another way: mean ranks of the positive rows, and the precision at each of them."""
+    p, y = F.col("probability"), F.col(LABEL)
+    up = Window.partitionBy(*keys).orderBy(p)
+    down = Window.partitionBy(*keys).orderBy(p.desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    same = Window.partitionBy(*keys, "probability")
+    ranked = rows.select(*keys, y, (F.rank().over(up) + (F.count(F.lit(1)).over(same) - 1) / 2).alias("r"), (F.sum(y).over(down) / F.count(F.lit(1)).over(down)).alias("hit"))
+    pos, n = F.sum(y), F.count(F.lit(1))
+    auc = (F.sum(F.when(y == 1, F.col("r"))) - pos * (pos + 1) / 2) / (pos * (n - pos))
+    return ranked.groupBy(*keys).agg(auc.alias("auc_roc"), F.avg(F.when(y == 1, F.col("hit"))).alias("auc_pr"))
+
+
 @query("kfold_cv")
 def _(x):
-    row = models.kfold_cv(models.train_gbt, x.parts.drop("split"), x.columns)
-    return row.select("k", _in_range("auc_roc_mean").alias("roc_in_range"), _in_range("auc_pr_mean").alias("pr_in_range"))
+    """Every row's fold, and whether the summary agrees with the metrics counted by ranks."""
+    ranks = _by_ranks(x.cv, ["fold"]).agg(F.avg("auc_roc").alias("roc"), F.avg("auc_pr").alias("pr"), F.stddev_pop("auc_roc").alias("std"))
+    row = models.kfold_summary(x.cv)
+    near = [(c, (F.abs(F.col(a) - F.col(b)) < 1e-4).cast("int")) for c, a, b in (("roc_agrees", "auc_roc_mean", "roc"), ("pr_agrees", "auc_pr_mean", "pr"), ("std_agrees", "auc_roc_std", "std"))]
+    checks_ = row.crossJoin(ranks).select("k", *[c.alias(n) for n, c in near])
+    return x.cv.select("employee_id", LABEL, "fold", _in_range("probability").alias("in_range")).crossJoin(F.broadcast(checks_))
 
 
 @query("out_of_time")
 def _(x):
-    earlier = x.features(binding.EARLIER_CUTOFF)
-    codes = features.observed_values(earlier)
-    columns = features.feature_columns(features.one_hot(earlier, codes))
-    train, test = (
-        features.align_features(features.one_hot(rows, codes), columns, ("employee_id", LABEL)) for rows in (earlier, x.features(binding.CUTOFF))
-    )
-    row = models.out_of_time(models.train_gbt, train, test, columns)
+    """Every test row, the summary's counts, and whether its metrics agree with those counted by ranks."""
+    ranks = _by_ranks(x.oot.withColumn("all", F.lit(1)), ["all"])
+    row = models.out_of_time_summary(x.oot, x.early)
     rates = [F.round(c, 3).alias(c) for c in ("base_rate_train", "base_rate_test")]
-    return row.select("n_train", "n_test", *rates, _in_range("auc_roc").alias("roc_in_range"), _in_range("auc_pr").alias("pr_in_range"))
+    near = [(F.abs(F.round(r, 4) - o) < 2e-4).cast("int").alias(n) for r, o, n in ((F.col("roc"), F.col("auc_roc"), "roc_agrees"), (F.col("pr"), F.col("auc_pr"), "pr_agrees"))]
+    checks_ = row.crossJoin(ranks.select(F.col("auc_roc").alias("roc"), F.col("auc_pr").alias("pr"))).select("n_train", "n_test", *rates, *near)
+    return x.oot.select("employee_id", LABEL, _in_range("probability").alias("in_range")).crossJoin(F.broadcast(checks_))
+
+
+@query("verdict_of_model")
+def _(x):
+    """The verdict on the trained trees: out of time, over folds and against the logistic baseline; each judgement by its rule."""
+    oot, cv, base = models.out_of_time_summary(x.oot, x.early), models.kfold_summary(x.cv), models.kfold_summary(x.linear_cv)
+    row = metrics.verdict(oot, cv, base)
+    given = oot.select(F.col("auc_roc").alias("o")).crossJoin(cv.select(F.col("auc_roc_mean").alias("c"), F.col("auc_roc_std").alias("s"))).crossJoin(base.select(F.col("auc_roc_mean").alias("l")))
+    return row.crossJoin(given).select(
+        ((F.col("oot_auc") == F.col("o")) & (F.col("cv_auc") == F.col("c")) & (F.col("cv_std") == F.col("s")) & (F.col("linear_auc") == F.col("l"))).cast("int").alias("fed"),
+        (F.abs(F.col("drop") - (F.col("c") - F.col("o"))) < 1e-6).cast("int").alias("drop_agrees"),
+        ((F.col("over_time") == "generalizes") == (F.round(F.col("c") - F.col("o"), 6) <= 0.04)).cast("int").alias("over_time_agrees"),
+        ((F.col("over_folds") == "stable") == (F.col("s") <= 0.02)).cast("int").alias("over_folds_agrees"),
+        ((F.col("signal") == "mostly_linear") == (F.col("l") >= F.col("c"))).cast("int").alias("signal_agrees"),
+    )
 
 
 # ---------------------------------------------------------------- data tests
@@ -699,6 +822,15 @@ def _tables(x):
     return {**tables, **{name: x.table(name) for name in warehouse.ALL_MODELS}}
 
 
+@query("declared_tests_observed")
+def _(x):
+    """The declared tests counted while their tables are written; staging models are views and are tested as such."""
+    root, tables, found = run_dir(x.spark, "tested"), _tables(x), []
+    for t in checks.DECLARED:
+        found += t.run(tables[t.table]) if t.table in staging.STAGING else [checks.publish_tested(tables[t.table], f"{root}/{t.table}", t).results]
+    return reduce(DataFrame.unionByName, found)
+
+
 _report("declared_tests", lambda x: checks.declared_tests(_tables(x)))
 _report("reference_tests", lambda x: checks.reference_tests(_tables(x)))
 
@@ -718,17 +850,23 @@ def _(x):
     return out
 
 
-def _linear_scorer(rows, as_of):
-    return explain.score_rows(linear_scores(rows, as_of))
-
-
 @query("run_daily")
 def _(x):
+    """A whole day with the stored tree model: what it published, the alert, who was scored, and whether the sections add up."""
     root = run_dir(x.spark, "daily")
     load = loads.LoadConfig(x.source, f"{root}/raw", binding.LOADED_AT)
     result = run_daily(
         x.spark, load, f"{root}/models", f"{root}/published", as_of=binding.AS_OF,
         headcount_start=binding.HEADCOUNT_START, calendar=binding.calendar_span(x.spark, x.sf_dir),
-        scorer=_linear_scorer,
+        scorer=x.tree_scores,
     )
-    return result.scores.groupBy("scored_at", "risk_band").agg(F.count(F.lit(1)).alias("cnt"))
+    published = _section_lines(x.spark, f"{root}/published/export", SECTIONS)
+    alert = json_line(result.alert).select(F.lit("alert").alias("section"), "value")
+    detail = x.spark.read.schema("employee_id string, risk_band string, risk_score double").json(f"{root}/published/export/risk/top")
+    kept = result.scores.join(detail.select("employee_id", F.col("risk_band").alias("band"), F.col("risk_score").alias("shown")), "employee_id")
+    agrees = (F.col("risk_band") == F.col("band")) & F.col("risk_score").between(0, 1) & (F.abs(F.col("risk_score") - F.col("shown")) < 1e-9)
+    scored = kept.select(F.lit("scores").alias("section"), F.concat_ws(" ", "employee_id", "scored_at", agrees.cast("int")).alias("value"))
+    bands = x.spark.read.schema("risk_band string, cnt long").json(f"{root}/published/export/risk/bands").agg(F.sum("cnt").cast("string").alias("value"))
+    failures = result.tests.agg(F.concat_ws(" ", F.count(F.lit(1)), F.sum("failures")).alias("value"))
+    parts = [published, alert, scored, bands.select(F.lit("risk/bands").alias("section"), "value"), failures.select(F.lit("tests").alias("section"), "value")]
+    return reduce(DataFrame.unionByName, parts)
