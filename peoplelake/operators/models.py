@@ -130,14 +130,16 @@ def kfold_predictions(
 ) -> DataFrame:
     """Every row with its fold and the probability of the model that was fitted on the other folds.
 
-    The weight comes from all rows, as in the published evaluation. One fit per fold, all at once.
+    The weight comes from all rows, as in the published evaluation. One fit per fold, all at once; each writes what it
+    predicts, so that metrics start from files and not from the models.
     """
     folds = stratified_kfold(with_weight(df, label), label, id_col, k, seed)
     folds = materialize(folds, run_dir(df.sparkSession, "folds"))
 
     def held(i: int) -> DataFrame:
         model = fit(folds.filter(F.col("fold") != i), columns)
-        return predict(model, folds.filter(F.col("fold") == i)).select(id_col, "fold", label, "probability")
+        rows = predict(model, folds.filter(F.col("fold") == i)).select(id_col, "fold", label, "probability")
+        return materialize(rows, run_dir(df.sparkSession, f"fold-{i}"))
 
     with ThreadPoolExecutor(max_workers=k) as pool:
         held_out = list(pool.map(held, range(k)))

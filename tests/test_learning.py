@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from peoplelake.operators import checks, explain, features, metrics, models, report, rules
 from peoplelake.operators.features import LABEL
-from peoplelake.plans import binding
+from verification import binding
 from peoplelake.plans.daily import run_daily
 from peoplelake.sources.loads import LoadConfig
 from verification.lab import lab, linear_scores

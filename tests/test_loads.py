@@ -7,7 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from peoplelake.plans import binding
+from verification import binding
 from peoplelake.schemas import SCORES, TABLES, WATERMARKS
 from peoplelake.sources import loads, sinks, tables
 from peoplelake.streaming.incremental import StreamTarget, stream_incremental_load

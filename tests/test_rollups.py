@@ -7,7 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from peoplelake.operators import checks, dims, history, marts, metrics, sketches, staging
-from peoplelake.plans import binding
+from verification import binding
 from peoplelake.sources import loads, tables
 from peoplelake.sources.loads import add_lineage
 

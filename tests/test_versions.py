@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from peoplelake.functions.asof import as_of_join
 from peoplelake.operators import dims, history, staging
-from peoplelake.plans import binding
+from verification import binding
 from peoplelake.sources import sinks
 from peoplelake.sources.loads import add_lineage
 from peoplelake.sources.versions import ConcurrentWrite, VersionedTable, place_among, upsert_by_files

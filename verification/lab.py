@@ -21,7 +21,7 @@ from peoplelake.operators.models import (
     train_logreg,
     with_weight,
 )
-from peoplelake.plans import binding
+from verification import binding
 from peoplelake.plans.warehouse import Warehouse
 from peoplelake.schemas import TABLES
 from peoplelake.sources.loads import add_lineage

@@ -27,7 +27,8 @@ from peoplelake.functions.scalar import (
 from peoplelake.operators import checks, dims, explain, exports, features, history, marts, metrics, models, report, rules, sketches, staging
 from peoplelake.operators.features import LABEL
 from peoplelake.operators.report import ReportFilter
-from peoplelake.plans import binding, warehouse
+from verification import binding
+from peoplelake.plans import warehouse
 from peoplelake.plans.daily import export_sections, run_daily
 from peoplelake.sources import loads
 from peoplelake.sources.sinks import export_json_bundle, json_line, run_dir
