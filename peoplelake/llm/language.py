@@ -36,6 +36,10 @@ ADD = 0.1
 PRIOR = 10.0
 #: Tokens worked on at once in a task.
 TOKENS = 1 << 20
+#: Leading bits of a hash by which its code is looked up.
+LEADING = 21
+#: Gains are summed as integers of this fraction, so that the order of the rows doesn't matter.
+FRACTION = 1 << 20
 #: Steps for a doubling of the count in the histogram that finds the frequent words.
 STEPS = 16
 
@@ -58,6 +62,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        tokens = 0
 
         def given() -> pa.RecordBatch:
             h, at = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
@@ -68,9 +73,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
             learnt = ~batch.column(0).to_numpy(zero_copy_only=False).astype(bool)
             for row, n, h, sizes in _words(batch):
                 held.append((h, np.repeat(learnt[row : row + n], sizes)))
-                if sum(len(x[0]) for x in held) >= 4 * TOKENS:
+                tokens += len(h)
+                if tokens >= 4 * TOKENS:
                     yield given()
                     held.clear()
+                    tokens = 0
         if held:
             yield given()
 
@@ -111,18 +118,37 @@ def frequent_words(counts: DataFrame, texts: int, hot: int = HOT) -> Vocabulary:
     return Vocabulary(h[order], train[order], int(tokens) + texts, int(distinct) + (texts > 0), texts, len(h) == n)
 
 
+def code_table(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words' hashes as sorted unsigned numbers, their codes, and where each value of the leading bits begins."""
+    order = np.argsort(hashes.view(np.uint64))
+    values = hashes.view(np.uint64)[order]
+    leading = np.arange(1 << LEADING, dtype=np.uint64) << np.uint64(64 - LEADING)
+    return values, order.astype(np.int32), np.searchsorted(values, leading).astype(np.int32)
+
+
+def codes_of(h: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """Code of every hash, -1 for those without one. Hashes are spread evenly, so few steps lead from a beginning to a value."""
+    values, codes, begins = table
+    if not len(values):
+        return np.full(len(h), -1, np.int32)
+    h = h.view(np.uint64)
+    at = np.minimum(begins[(h >> np.uint64(64 - LEADING)).astype(np.int64)].astype(np.int64), len(values) - 1)
+    while True:
+        behind = (values[at] < h) & (at < len(values) - 1)
+        if not behind.any():
+            return np.where(values[at] == h, codes[at], -1).astype(np.int32)
+        at += behind
+
+
 def encoded(docs: DataFrame, words: Vocabulary) -> DataFrame:
     """row, doc_id, held_out, codes and, in order, the hashes of the words whose code is -1."""
-    order = np.argsort(words.hashes)
-    shared = docs.sparkSession.sparkContext.broadcast((words.hashes[order], order.astype(np.int32)))
+    shared = docs.sparkSession.sparkContext.broadcast(code_table(words.hashes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, code_of = shared.value
         for batch in batches:
             for row, n, h, sizes in _words(batch):
-                at = np.minimum(np.searchsorted(hashes, h), max(len(hashes) - 1, 0))
-                known = hashes[at] == h if len(hashes) else np.zeros(len(h), bool)
-                codes = np.where(known, code_of[at], -1).astype(np.int32) if len(hashes) else np.full(len(h), -1, np.int32)
+                codes = codes_of(h, shared.value)
+                known = codes >= 0
                 ends = np.concatenate([[0], np.cumsum(sizes)])
                 rare_ends = np.concatenate([[0], np.cumsum(~known)])[ends]
                 part = batch.slice(row, n)
@@ -294,8 +320,8 @@ def learnt_classes(texts: DataFrame, words: Vocabulary, k: int = CLASSES, exchan
 def other_words(texts: DataFrame, words: Vocabulary, model: Model, pairs: np.ndarray) -> DataFrame:
     """h, has_code, class and n (training tokens) of every training word without a class, by the gain to first order."""
     k, w, end = model.k, model.width, words.end
-    log = np.log(pairs + 0.5)
-    own = np.log(np.maximum(pairs.sum(axis=0)[:k], 1.0)) + np.log(np.maximum(pairs.sum(axis=1)[:k], 1.0))
+    log = np.round(FRACTION * np.log(pairs + 0.5)).astype(np.int64)
+    own = sum(np.round(FRACTION * np.log(np.maximum(pairs.sum(axis=i)[:k], 1.0))).astype(np.int64) for i in (0, 1))
     # what one occurrence between a and b adds to the gain of each class
     before, behind = log[:, :k], log[:k].T
     shared = texts.sparkSession.sparkContext.broadcast((model.class_of, words.hashes))
@@ -327,7 +353,7 @@ def other_words(texts: DataFrame, words: Vocabulary, model: Model, pairs: np.nda
                 h, context, n = (c.to_numpy() for c in batch.slice(low, 1 << 16).columns)
                 first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
                 pair = context >> 1
-                gain = np.add.reduceat((before[pair // w] + behind[pair % w]) * n[:, None], first, axis=0)
+                gain = np.add.reduceat((before[pair // w] + behind[pair % w]) * n[:, None].astype(np.int64), first, axis=0)
                 count, word, coded = np.add.reduceat(n.astype(np.int64), first), h[first], (context[first] & 1).astype(bool)
                 if carried is not None and carried[0] == word[0]:
                     gain[0] += carried[2]
@@ -345,7 +371,7 @@ def other_words(texts: DataFrame, words: Vocabulary, model: Model, pairs: np.nda
         best = (gain - count[:, None] * own).argmax(axis=1)
         return pa.RecordBatch.from_arrays([pa.array(word), pa.array(coded), pa.array(best.astype(np.int16)), pa.array(count)], names=["h", "has_code", "class", "n"])
 
-    rows = rows.repartition("h").sortWithinPartitions("h", "context")
+    rows = rows.repartition("h").sortWithinPartitions("h")
     return written(rows.mapInArrow(assign, "h long, has_code boolean, class short, n long"), "word_classes")
 
 

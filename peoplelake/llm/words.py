@@ -17,6 +17,7 @@ IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 CHUNK_BYTES = 2 << 20
+PIECE_BYTES = 1 << 18
 #: Odd multipliers of the polynomial hashes.
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -66,30 +67,42 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def powers(multiplier: int, n: int) -> np.ndarray:
-    out = np.full(n, multiplier, dtype=np.uint64)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, multiplier: int = MULTIPLIERS[0]) -> np.ndarray:
-    """A 64-bit hash of every word; long inputs go in pieces of about two chunks."""
-    lengths = ends - starts
-    if not len(lengths):
-        return np.zeros(0, np.uint64)
-    total = np.cumsum(lengths)
-    table = powers(multiplier, int(lengths.max()))
-    cuts = np.unique(np.searchsorted(total, np.arange(0, total[-1], 2 * CHUNK_BYTES), side="right"))
+def powers(multiplier: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers, at least, of an odd multiplier and of its inverse; tables of usual length are kept."""
+    held = _POWERS.get(multiplier)
+    if held is not None and len(held[0]) >= n:
+        return held
     out = []
-    for lo, hi in zip(cuts, [*cuts[1:], len(lengths)], strict=True):
-        size = lengths[lo:hi]
-        first = np.cumsum(size) - size
-        place = np.arange(int(size.sum())) - np.repeat(first, size)
-        at = place + np.repeat(starts[lo:hi], size)
-        values = (data[at].astype(np.uint64) + np.uint64(1)) * table[place]
-        out.append(mixed(np.add.reduceat(values, first) + size.astype(np.uint64) * np.uint64(multiplier)))
-    return np.concatenate(out)
+    for base in (multiplier, pow(multiplier, -1, 1 << 64)):
+        steps = np.full(n, base, dtype=np.uint64)
+        steps[:1] = 1
+        out.append(np.multiply.accumulate(steps))
+    if n <= PIECE_BYTES:
+        _POWERS[multiplier] = (out[0], out[1])
+    return out[0], out[1]
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, multiplier: int = MULTIPLIERS[0]) -> np.ndarray:
+    """A 64-bit hash of every word: the sum of its bytes times powers, from running sums over pieces of the bytes.
+
+    Words are in order. A piece has PIECE_BYTES, or one longer word.
+    """
+    out = np.empty(len(starts), np.uint64)
+    low = 0
+    while low < len(starts):
+        begin = int(starts[low])
+        high = max(low + 1, int(np.searchsorted(ends, begin + PIECE_BYTES, side="right")))
+        n = int(ends[high - 1]) - begin
+        up, down = powers(multiplier, max(n, PIECE_BYTES))
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((data[begin : begin + n].astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
+        first = starts[low:high] - begin
+        out[low:high] = (sums[ends[low:high] - begin] - sums[first]) * down[first]
+        low = high
+    return mixed(out + (ends - starts).astype(np.uint64) * np.uint64(multiplier))
 
 
 def window_hashes(words: np.ndarray, size: int, multiplier: int = MULTIPLIERS[0]) -> np.ndarray:
