@@ -3,14 +3,17 @@
 Every page scores its containers by the text of their blocks, less what is linked, and passes part of it on to the
 container outside. Pages vote on the generalised tag-class paths of their best containers; Spark sums the votes per
 host, and every page is read again at the winning path of its host, widened to the article around it. A page that lacks
-this path, or has only a part of its text there, keeps to its own best container. Menus, headers and footers of the page, sidebars, notices, adverts, forms and reader comments are left out
-by tag, role, class or id wherever they stand.
+this path, or has only a part of its text there, keeps to its own best container. Menus, headers and footers of the page,
+sidebars, notices, adverts, forms and reader comments are left out by tag, role, class or id wherever they stand, but
+nothing that holds the page's articles or most of its text, reader comments excepted. Pages are read by one forward scan,
+with parent indexes in place of paths, so the time grows with the page.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,40 +35,55 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hgroup html legend li main menu nav ol p pre search section summary table tbody td "
-    "tfoot th thead tr ul".split()
+    "tfoot th thead tr ul noscript".split()
 )
 #: Elements whose content is no markup: they run to their closing tag or the end of the page.
 RAW = "script|style|title|textarea|iframe"
 #: Left out inside a block; the closing tag of an element around ends them too.
-DROPPED = frozenset("noscript template select button object svg math foreignobject canvas audio video".split())
+DROPPED = frozenset("template select button object svg math foreignobject canvas audio video".split())
 FOREIGN = frozenset("svg math".split())
 
 CONTAINERS = frozenset("article body div main section td blockquote center html details".split())
-LEFT_OUT = frozenset("nav aside footer form head dialog menu search fieldset".split())
+LEFT_OUT = frozenset("nav aside footer form head dialog menu search fieldset noscript".split())
+#: Text in these is never judged by a class or id.
+NEVER_BY_NAME = frozenset("html body article main h1 h2 h3 h4 h5 h6 p li td th tr dd dt pre blockquote figcaption caption summary".split())
 CLOSED_BY_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY_SAME = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"),
 }
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form alertdialog".split())
-# Parts of a class or id token: those that name what is left out by themselves or as first or last part of a longer name,
-# those that do so only alone or after a word for the site, and those after which a name only says what a page has.
-NOISE_NAME = re.compile(
-    r"nav|navbar|navigation|menu|breadcrumbs?|footer|masthead|topbar|sidebar|widget|ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?"
+# Words of a class or id token: those that name what is left out as the whole token or before a word for a part of the page,
+# those that do so as the last word too, and tokens that do so only as a whole.
+NOISE_WORD = re.compile(
+    r"nav|navbar|navigation|menu|breadcrumbs?|footer|masthead|topbar|sidebar|widgets?|ads?|advert\w*|adsense|banner|sponsor\w*|promos?|promoted|cookies?"
     r"|consent|gdpr|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|comments?|disqus|related|recommend\w*|share|sharing|social"
     r"|pagination|pager|toolbar"
 )
+NOISE_LAST = re.compile(
+    r"nav|navbar|navigation|menu|breadcrumbs?|footer|masthead|topbar|sidebar|ads?|advert\w*|adsense|banner|popup|modal|newsletter|comments|disqus|pagination|pager|toolbar"
+)
+PART_OF_PAGE = frozenset(
+    "post posts article articles story stories news link links list lists item items button buttons icon icons bar box block area areas container wrapper wrap "
+    "inner outer section sections form panel notice notices banner popup modal overlay widget widgets menu header footer top bottom left right mobile desktop "
+    "primary secondary main content media text message dialog policy thread reply nav toggle slot unit space placeholder".split()
+)
 NOISE_ALONE = re.compile(
     r"(?:site|page|main|global|top)-?header|header|side-bar|aside|notices?|alert|discussion|replies|responses|sign-up|(?:site-?)?search(?:-?(?:form|box|bar))?"
     r"|form|skip-link|copyright"
 )
 HEADER_NAME = re.compile(r"(?:\w+-)*?\w*header")
 SAYS_WHETHER = frozenset("no not non without with has have is hide show enable disable format".split())
-TALK = re.compile(r"(?:^|[-_])(?:comments?|disqus|discussion|replies|responses)(?:$|[-_])")
-#: A block with a noisy name and more than this share of the text of the page's paragraphs is no noise, comments excepted.
+TALK = re.compile(r"(?:^|[-_ ])(?:comments?|disqus|discussion|replies|responses)(?:$|[-_ ])")
+#: Notices that stay left out however long they are.
+NOTICE = re.compile(r"(?:^|[-_ ])(?:cookies?|consent|gdpr|newsletter)(?:$|[-_ ])")
+#: What would be left out and has more than this share of the page's unlinked text is the text.
 MOST = 0.5
 
 CUT = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-TAG = re.compile(r"""<(/?)([a-zA-Z][\w:-]*)((?:[^"'>]+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][\w:-]*)([^>]*)>|<[!?/][^>]*>""")
+OPENING = re.compile(r"<(/?)([a-zA-Z][\w:-]*)|<[!?/][^>]*>")
+#: The rest of a tag, quotes regarded, and so many tags may take more than SCAN characters to find out that quotes don't close.
+REST = re.compile(r"""(?:[^"'<>]+|"[^"]*"|'[^']*')*+""")
+SCAN, LONG_SCANS = 4096, 64
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 DIGITS = re.compile(r"\d+")
 
@@ -74,43 +92,152 @@ DIGITS = re.compile(r"\d+")
 class Page:
     """Containers in page order and blocks of text with the container each stands in."""
 
-    paths: list[str] = field(default_factory=list)
+    #: Of each container: the number of its path, the container around it and its tag.
+    path_of: list[int] = field(default_factory=list)
     outer: list[int] = field(default_factory=list)
     tags: list[str] = field(default_factory=list)
     #: For each container, how many elements right inside it (no container between) are left out.
     gaps: list[int] = field(default_factory=list)
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
-
-
-def noisy_name(value: str, inside: bool) -> bool:
+    #: Paths as (number of the path around, last step) to their numbers, and back.
+    numbers: dict[tuple[int, str], int] = field(default_factory=dict)
+    steps: list[tuple[int, str]] = field(default_factory=list)
+
+    def add(self, container: int, tag: str, step: str) -> int:
+        """A container inside another one (or -1); returns its place."""
+        key = (self.path_of[container] if container >= 0 else -1, step)
+        if key not in self.numbers:
+            self.numbers[key] = len(self.steps)
+            self.steps.append(key)
+        self.path_of.append(self.numbers[key])
+        self.outer.append(container)
+        self.tags.append(tag)
+        self.gaps.append(0)
+        return len(self.outer) - 1
+
+    def path(self, number: int) -> str:
+        parts = []
+        while number >= 0:
+            number, step = self.steps[number]
+            parts.append(step)
+        return "".join(f"/{p}" for p in reversed(parts))
+
+    def number(self, path: str | None) -> int | None:
+        """The number of a path, None if the page lacks it."""
+        at: int | None = None if path is None else -1
+        for step in path.split("/")[1:] if path else ():
+            at = self.numbers.get((at, step)) if at is not None else None
+        return at if at is not None and at >= 0 else None
+
+
+def noise_name(value: str, inside: bool) -> bool:
     """Whether a whole token of a class or id names what is left out; ``inside`` an article or main, headers are kept."""
     for token in value.replace("_", "-").split():
         parts = [p for p in token.split("-") if p]
         if not parts or parts[0] in SAYS_WHETHER or (inside and HEADER_NAME.fullmatch(token)):
             continue
-        if NOISE_ALONE.fullmatch(token) or NOISE_NAME.fullmatch(parts[0]) or NOISE_NAME.fullmatch(parts[-1]):
+        if NOISE_ALONE.fullmatch(token) or NOISE_LAST.fullmatch(parts[-1]):
+            return True
+        if NOISE_WORD.fullmatch(parts[0].rstrip("0123456789")) and all(p in PART_OF_PAGE or p[0].isdigit() or NOISE_WORD.fullmatch(p) for p in parts[1:]):
             return True
     return False
 
 
+@dataclass
+class _LeftOut:
+    """Elements that would be left out: their places, the one around each, whether they can be kept, and what they hold."""
+
+    places: list[int] = field(default_factory=list)
+    outer: list[int] = field(default_factory=list)
+    strict: list[bool] = field(default_factory=list)
+    talk: list[bool] = field(default_factory=list)
+    #: Unlinked characters and articles right inside; the last cell is for those in none.
+    chars: list[int] = field(default_factory=lambda: [0])
+    articles: list[int] = field(default_factory=lambda: [0])
+
+    def add(self, place: int, outer: int, strict: bool, talk: bool) -> int:
+        self.places.append(place)
+        self.outer.append(outer)
+        self.strict.append(strict)
+        self.talk.append(talk or (outer >= 0 and self.talk[outer]))
+        self.chars.insert(-1, 0)
+        self.articles.insert(-1, 0)
+        return len(self.places) - 1
+
+    def kept(self) -> frozenset[int]:
+        """Places of those that hold all articles of the page, or most of the text of one without; reader comments don't count."""
+        chars, articles = ([0 if self.talk[i] else v for i, v in enumerate(x[:-1])] for x in (self.chars, self.articles))
+        all_chars, all_articles = sum(chars) + self.chars[-1], sum(articles) + self.articles[-1]
+        for i in range(len(self.places) - 1, -1, -1):
+            if self.outer[i] >= 0:
+                chars[self.outer[i]] += chars[i]
+                articles[self.outer[i]] += articles[i]
+        return frozenset(
+            place for place, talk, strict, n, held in zip(self.places, self.talk, self.strict, chars, articles, strict=True)
+            if not talk and held == all_articles and (held or (not strict and n > MOST * all_chars))
+        )
+
+
 def read_page(source: str) -> Page:
     """Blocks that are not left out, white space collapsed, with the number of their characters inside links."""
-    source = CUT.sub(" ", source)
-    page, held, total = _read(source, frozenset())
-    most = frozenset(place for place, n in held.items() if n > MOST * total)
-    return _read(source, most)[0] if most else page
-
-
-def _read(source: str, exempt: frozenset[int]) -> tuple[Page, dict[int, int], int]:
-    """The page, the paragraph text inside each block (by its place) with a noisy name, and all paragraph text."""
-    page = Page()
-    held: dict[int, int] = {}
-    total = 0
-    # an open element: tag, innermost container, left out, places of the noisy names around
-    stack: list[tuple[str, int, bool, tuple[int, ...]]] = [("", -1, False, ())]
+    source = _without_raw(source)
+    page, left_out = _read(source, frozenset())
+    kept = left_out.kept()
+    return _read(source, kept)[0] if kept else page
+
+
+def _without_raw(source: str) -> str:
+    """The page without comments and raw elements; one that isn't closed runs to the end of the page."""
+    end = source.rfind(">") + 1  # no tag begins behind it
+    closed = True
+
+    def cut(m: re.Match) -> str:
+        nonlocal closed
+        closed = m.end() < end or m[0].endswith("-->") or bool(m[1] and re.search(rf"</{m[1]}\s*>\Z", m[0][-64 - len(m[1]) :], re.I))
+        return " "
+
+    head = CUT.sub(cut, source[:end])
+    return head + source[end:].split("<!--", 1)[0] if closed else head
+
+
+def _tags(source: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, "/" or "", name, rest) of every tag in one forward scan; comments and the like have no name."""
+    at, last, long_scans = 0, source.rfind(">"), 0
+    while m := OPENING.search(source, at, last + 1):
+        if not m[2]:
+            at = m.end()
+            yield m.start(), at, "", "", ""
+            continue
+        end = -1
+        if long_scans < LONG_SCANS:
+            end = REST.match(source, m.end()).end()
+            if source[end : end + 1] != ">":
+                # a quote that doesn't close, or a tag inside a tag: the tag ends at the next bracket
+                long_scans += end - m.end() > SCAN or source[end : end + 1] in ("", '"', "'")
+                end = -1
+        if end < 0:
+            end = source.find(">", m.end())
+        at = end + 1
+        yield m.start(), at, m[1], m[2].lower(), source[m.end() : end]
+
+
+def _read(source: str, kept: frozenset[int]) -> tuple[Page, _LeftOut]:
+    """The page without what is left out, but for the ``kept`` places, and what that holds."""
+    page, lost = Page(), _LeftOut()
+    # an open element: tag, innermost container, left out, innermost element that would be left out, in an article, in a foreign object
+    stack: list[tuple[str, int, bool, int, bool, bool]] = [("", -1, False, -1, False, False)]
+    opened: Counter[str] = Counter()
     text: list[str] = []
     linked, in_link, at = 0, False, 0
 
+    def push(*element) -> None:
+        stack.append(element)
+        opened[element[0]] += 1
+
+    def pop(down_to: int) -> None:
+        while len(stack) > down_to:
+            opened[stack.pop()[0]] -= 1
+
     def end_block() -> None:
         nonlocal linked
         if text:
@@ -120,33 +247,33 @@ def _read(source: str, exempt: frozenset[int]) -> tuple[Page, dict[int, int], in
             text.clear()
         linked = 0
 
-    for m in TAG.finditer(source):
-        if m.start() > at:
-            piece = source[at : m.start()]
-            if stack[-1][0] == "p":
-                size = len("".join(piece.split()))
-                total += size
-                for place in stack[-1][3]:
-                    held[place] += size
-            if not stack[-1][2]:
-                text.append(piece)
-                if in_link:
-                    linked += len(piece.strip())
-        at = m.end()
-        closing, tag, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+    def take(piece: str) -> None:
+        nonlocal linked
+        size = len(piece) if not piece.isspace() else 0
+        if not in_link and stack[-1][0] not in DROPPED:
+            lost.chars[stack[-1][3]] += size
+        if not stack[-1][2]:
+            text.append(piece)
+            if in_link:
+                linked += len(piece.strip())
+
+    for start, end, closing, tag, rest in _tags(source):
+        if start > at:
+            take(source[at:start])
+        at = end
         if not tag:
             continue
-        tag = tag.lower()
         if tag in DROPPED:
             if not closing and not (tag in FOREIGN and rest.rstrip().endswith("/")):
                 text.append(" ")
-                stack.append((tag, stack[-1][1], True, stack[-1][3]))
+                top = stack[-1]
+                push(tag, top[1], True, top[3], top[4], top[5] or tag == "foreignobject")
             elif closing:
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i][0] == tag:
-                        del stack[i:]
+                        pop(i)
                         break
-                    if stack[i][0] not in DROPPED:
+                    if stack[i][0] not in DROPPED or not opened[tag]:
                         break
             continue
         if tag == "a" and stack[-1][0] in DROPPED:
@@ -162,67 +289,64 @@ def _read(source: str, exempt: frozenset[int]) -> tuple[Page, dict[int, int], in
                 end_block()
             continue
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    if not stack[i][2]:
-                        end_block()
-                    del stack[i:]
-                    break
-            else:
-                if not stack[-1][2]:
+            if opened[tag]:
+                i = len(stack) - 1
+                while stack[i][0] != tag:
+                    i -= 1
+                if not stack[i][2]:
                     end_block()
+                pop(i)
+            elif not stack[-1][2]:
+                end_block()
             in_link = in_link and stack[-1][2]
             continue
-        if not any(s[0] == "foreignobject" for s in stack):
-            for i, s in enumerate(stack):
-                if s[0] in FOREIGN:  # HTML inside them ends them
-                    del stack[i:]
-                    break
+        if not stack[-1][5] and any(opened[f] for f in FOREIGN):
+            i = 0
+            while stack[i][0] not in FOREIGN:
+                i += 1
+            pop(i)  # HTML inside them ends them
         if not stack[-1][2]:
             end_block()
             in_link = False
         if stack[-1][0] in CLOSED_BY_BLOCK:
-            stack.pop()
+            pop(len(stack) - 1)
         same = CLOSED_BY_SAME.get(tag, ())
         while stack[-1][0] in same:
-            stack.pop()
+            pop(len(stack) - 1)
         if tag == "body" or (stack[-1][0] == "head" and tag not in ("head", "html")):
-            while any(s[0] == "head" for s in stack):
-                stack.pop()
-        _, container, out, around = stack[-1]
-        names = ""
+            while opened["head"]:
+                pop(len(stack) - 1)
+        _, container, out, around, inside, foreign = stack[-1]
+        names, noisy, strict, talk = "", False, False, False
         if rest and not rest.isspace():
             for name, *values in ATTRIBUTE.findall(rest):
                 value = "".join(values).lower()
                 if name.lower() == "role":
-                    out = out or value in NOISE_ROLES
+                    noisy = noisy or value in NOISE_ROLES
                 else:
-                    inside = any(s[0] in ("article", "main") for s in stack)
-                    if tag not in ("html", "body", "article", "main") and m.start() not in exempt and noisy_name(value, inside):
-                        if not out and not TALK.search(value):
-                            around = (*around, m.start())
-                            held[m.start()] = 0
-                        out = True
+                    if tag not in NEVER_BY_NAME and noise_name(value, inside):
+                        noisy, strict, talk = True, strict or bool(NOTICE.search(value)), talk or bool(TALK.search(value))
                     if name.lower() == "class":
-                        names = ".".join(sorted(set(DIGITS.sub("#", value).split())))
-        out = out or tag in LEFT_OUT or (tag == "header" and not any(s[0] in ("article", "main") for s in stack))
+                        names = ".".join(sorted(set(DIGITS.sub("#", value).replace("/", "|").split())))
+        noisy = noisy or tag in LEFT_OUT or (tag == "header" and not inside)
+        if tag in ("article", "main"):
+            lost.articles[around] += 1
+            inside = True
+        if noisy:
+            around = lost.add(start, around, strict, talk)
+            out = out or start not in kept
         if tag in CONTAINERS and not out:
-            page.paths.append(f"{page.paths[container] if container >= 0 else ''}/{tag}{'.' if names else ''}{names}")
-            page.outer.append(container)
-            page.tags.append(tag)
-            page.gaps.append(0)
-            container = len(page.paths) - 1
+            container = page.add(container, tag, f"{tag}{'.' if names else ''}{names}")
         elif out and not stack[-1][2] and container >= 0:
             page.gaps[container] += 1
-        stack.append((tag, container, out, around))
-    if not stack[-1][2]:
-        text.append(source[at:])
+        push(tag, container, out, around, inside, foreign)
+    take(source[at:])
     end_block()
-    return page, held, total
+    return page, lost
 
 
 def container_scores(page: Page) -> list[float]:
-    own = [0.0] * len(page.paths)
+    own = [0.0] * len(page.outer)
     for container, words, linked in page.blocks:
         if container >= 0:
             own[container] += max(0, len(words) - 2 * linked)
@@ -234,12 +358,16 @@ def container_scores(page: Page) -> list[float]:
 
 def best_paths(page: Page) -> list[tuple[str, float]]:
     """Up to VOTES paths, best first, with the page's votes for them: one, a half, a quarter."""
-    by_path: dict[str, float] = {}
-    for path, score in zip(page.paths, container_scores(page), strict=True):
+    by_path: dict[int, float] = {}
+    for path, score in zip(page.path_of, container_scores(page), strict=True):
         if score > 0:
             by_path[path] = max(by_path.get(path, 0.0), score)
-    best = sorted(by_path.items(), key=lambda x: (-x[1], x[0]))[:VOTES]
-    return [(p, 0.5**i) for i, (p, _) in enumerate(best)]
+    if not by_path:
+        return []
+    # only paths that may be among the best are written out
+    least = sorted(by_path.values(), reverse=True)[: VOTES][-1]
+    best = sorted((-score, page.path(path)) for path, score in by_path.items() if score >= least)[:VOTES]
+    return [(p, 0.5**i) for i, (_, p) in enumerate(best)]
 
 
 def _below(page: Page, top: set[int]) -> list[bool]:
@@ -291,11 +419,14 @@ def main_text(page: Page, path: str | None) -> str:
     less than half, of what the page's own one around it holds.
     """
     texts = lambda inside: [words for container, words, _ in page.blocks if container >= 0 and inside[container]]
-    of = lambda p: {i for i, x in enumerate(page.paths) if x == p}
+    def of(path: str) -> set[int]:
+        number = page.number(path)
+        return {i for i, x in enumerate(page.path_of) if x == number}
+
     own = next((p for p, _ in best_paths(page)), None)
     kept: list[str] = []
     top: set[int] = set()
-    if path in page.paths:
+    if page.number(path) is not None:
         top = of(path)
         kept = texts(_below(page, widened(page, top)))
     if own is not None and own != path:
