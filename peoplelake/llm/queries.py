@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,7 +57,9 @@ def op9_document_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return privacy.with_surrogates(table(spark, sf_dir, "documents"))
+    # a key of the run's own, unless the session sets one that later runs shall agree with
+    key = spark.conf.get("spark.surrogates.key", None)
+    return privacy.with_surrogates(table(spark, sf_dir, "documents"), key.encode() if key else secrets.token_bytes(32))
 
 
 def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
