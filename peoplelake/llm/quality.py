@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -122,11 +122,20 @@ def _strength(mean: float, n: float, groups: float, spread: float, noise: float)
     return min(1e6, max(1.0, mean * (1 - mean) / between - 1))
 
 
-def site_posteriors(scored: DataFrame, host: str, path: str) -> tuple[DataFrame, float]:
-    """(host, path, prior): posterior share of good documents of every path; and the share in the corpus.
+@dataclass(frozen=True)
+class Sites:
+    """Documents and expected good ones of every path (n, s) and of its host (hn, hs), the share in the corpus, and the
+    weights with which a host is drawn to the corpus and a path to its host."""
 
-    ``scored`` has a probability for each document. Null hosts and paths are groups of their own.
-    """
+    counts: DataFrame
+    mean: float
+    host_weight: float
+    path_weight: float
+
+
+def site_posteriors(scored: DataFrame, host: str, path: str) -> Sites:
+    """Counts and prior weights of all paths. ``scored`` has a probability for each document; null hosts and paths are
+    groups of their own."""
     paths = written(scored.groupBy(host, path).agg(F.count(F.lit(1)).alias("n"), F.sum("probability").alias("s")), "paths")
     n, s = paths.agg(F.sum("n"), F.sum("s")).first()
     mean = s / n if n else 0.5
@@ -134,39 +143,42 @@ def site_posteriors(scored: DataFrame, host: str, path: str) -> tuple[DataFrame,
     spread = hosts.agg(
         F.count(F.lit(1)), F.sum(F.col("hn") * F.pow(F.col("hs") / F.col("hn") - mean, 2)), F.lit(mean * (1 - mean)) * F.count(F.lit(1))
     ).first()
-    weight = _strength(mean, n or 0, spread[0], spread[1] or 0.0, spread[2] or 0.0)
-    hosts = hosts.withColumn("host_mean", (F.col("hs") + weight * mean) / (F.col("hn") + weight))
+    host_weight = _strength(mean, n or 0, spread[0], spread[1] or 0.0, spread[2] or 0.0)
     key = F.struct(F.coalesce(host, F.lit("")), F.col(host).isNull())
-    both = paths.withColumn("_k", key).join(hosts.withColumn("_k", key).select("_k", "host_mean"), "_k").drop("_k")
+    both = paths.withColumn("_k", key).join(hosts.withColumn("_k", key).select("_k", "hn", "hs"), "_k").drop("_k")
+    host_mean = (F.col("hs") + host_weight * mean) / (F.col("hn") + host_weight)
     inner = both.agg(
-        F.count(F.lit(1)), F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - F.col("host_mean"), 2)),
-        F.sum(F.col("host_mean") * (1 - F.col("host_mean"))),
+        F.count(F.lit(1)), F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - host_mean, 2)), F.sum(host_mean * (1 - host_mean)),
     ).first()
-    weight = _strength(mean, n or 0, inner[0], inner[1] or 0.0, inner[2] or 0.0)
-    prior = (F.col("s") + weight * F.col("host_mean")) / (F.col("n") + weight)
-    return both.select(host, path, F.col("n").alias("site_docs"), prior.alias("prior")), mean
+    return Sites(both.select(host, path, "n", "s", "hn", "hs"), mean, host_weight, _strength(mean, n or 0, inner[0], inner[1] or 0.0, inner[2] or 0.0))
 
 
 @dataclass(frozen=True)
 class QualityModel:
     evidence: Evidence
-    sites: DataFrame
-    mean: float
+    sites: Sites
     host: str
     path: str
 
-    def score(self, featured: DataFrame) -> DataFrame:
-        """``featured`` with probability, prior, quality_score (0 to 1) and keep."""
+    def score(self, featured: DataFrame, fitted: bool = True) -> DataFrame:
+        """``featured`` with probability, prior, site_docs, quality_score (0 to 1) and keep.
+
+        A document's prior is the posterior of its path without the document itself, which the ``fitted`` ones are part of.
+        """
         host, path, sites = self.host, self.path, self.sites
-        sites = sites.select(F.col(host).alias("_host"), F.col(path).alias("_path"), "site_docs", "prior")
+        counts = sites.counts.select(F.col(host).alias("_host"), F.col(path).alias("_path"), "n", "s", "hn", "hs")
         rows = featured.withColumn("probability", self.evidence.probability(F.col("quality_features")))
-        rows = rows.join(sites, F.col(host).eqNullSafe(F.col("_host")) & F.col(path).eqNullSafe(F.col("_path")), "left").drop("_host", "_path")
+        rows = rows.join(counts, F.col(host).eqNullSafe(F.col("_host")) & F.col(path).eqNullSafe(F.col("_path")), "left").drop("_host", "_path")
+        own, one = (F.col("probability"), F.lit(1)) if fitted else (F.lit(0.0), F.lit(0))
+        host_mean = (F.col("hs") - own + sites.host_weight * sites.mean) / (F.col("hn") - one + sites.host_weight)
+        prior = (F.col("s") - own + sites.path_weight * host_mean) / (F.col("n") - one + sites.path_weight)
         odds = lambda p: F.log(p / (1 - p))
-        prior = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.coalesce("prior", F.lit(self.mean))))
+        prior = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.coalesce(prior, F.lit(sites.mean))))
         base = math.log(self.evidence.base / (1 - self.evidence.base))
-        logit = odds(F.col("probability")) - base + odds(prior)
+        rows = rows.withColumn("prior", prior)
+        logit = odds(F.col("probability")) - base + odds(F.col("prior"))
         score = 1.0 / (1.0 + F.exp(-F.greatest(F.lit(-2 * LOGIT_BOUND), F.least(F.lit(2 * LOGIT_BOUND), logit))))
-        return rows.withColumn("prior", prior).withColumn("quality_score", score).withColumn("keep", score >= KEEP_FROM)
+        return rows.withColumn("site_docs", F.col("n")).drop("n", "s", "hn", "hs").withColumn("quality_score", score).withColumn("keep", F.col("quality_score") >= KEEP_FROM)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", fit_rows: int = FIT_ROWS) -> tuple[QualityModel, DataFrame]:
@@ -174,8 +186,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, host: str = "source", path:
     featured = written(with_features(docs.select("doc_id", "text", host, path)).drop("text"), "quality")
     evidence = fit_evidence(featured, labels, fit_rows)
     scored = featured.withColumn("probability", evidence.probability(F.col("quality_features")))
-    sites, mean = site_posteriors(scored, host, path)
-    return QualityModel(evidence, written(sites, "sites"), mean, host, path), featured
+    sites = site_posteriors(scored, host, path)
+    return QualityModel(evidence, replace(sites, counts=written(sites.counts, "sites")), host, path), featured
 
 
 def document_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
