@@ -213,26 +213,61 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = False)
     return every.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * texts)
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    """key, weight and text of every distinct text; weight is the number of documents that have it."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("th", F.xxhash64("text"))
+    rows = rows.select(F.coalesce("doc_id", "th").alias("key"), "th", F.xxhash64(F.lit(1), "text").alias("th2"), "text").dropDuplicates(["key", "th", "th2"])
+    rows = rows.groupBy("th", "th2").agg(F.count(F.lit(1)).alias("weight"), F.min("key").alias("first"), F.first("text").alias("text"))
+    return written(rows.select(F.xxhash64("th", "th2", "first").alias("key"), "weight", "text", F.lit(False).alias("copy")), "texts")
+
+
+def _windows_of(texts: DataFrame, length: int) -> DataFrame:
+    """(h, key, n) of the windows of ``length`` words that may repeat: how often a text and its copies hold each.
+
+    At the first length those are the windows around repeated half windows, and all of a text with copies; later those
+    whose two halves, the windows of half the length, both repeat. ``texts`` has the repeated hashes as ``known``.
+    """
+    first = "halves" in texts.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, weights = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for row, n, data, offsets in text_chunks(batch):
+                known = np.unique(_longs(batch.slice(row, n).column(3)))
+                w = Windows(data, offsets, length)
+                if first:
+                    which = w.candidates(known) | w.again() | (weights[row : row + n][w.row[w.at]] > 1)
+                else:
+                    again = among(window_hashes(w.hashes, length // 2), known)
+                    which = again[w.at] & again[w.at + length // 2]
+                rows, hashes = w.row[w.at[which]], w.full(which)
+                _, once, counts = np.unique(paired(rows, hashes), return_index=True, return_counts=True)
+                rows = row + rows[once]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes[once].view(np.int64)), pa.array(keys[rows]), pa.array(counts * weights[rows])], names=["h", "key", "n"]
+                )
+
+    return written(texts.mapInArrow(run, "h long, key long, n long"), "windows")
+
+
 def repeated_lengths(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(n_words, windows, occurrences) for the window lengths ``window``, twice that, and so on while any repeats.
+    """(n_words, windows, occurrences) for the lengths ``window``, twice that, and so on until no window repeats.
 
-    Windows that repeat at one length alone are looked at at twice that length.
+    A window repeats if it occurs more than once, in copies of a text or inside one text as well; null texts have none.
+    Rows of one doc_id and text are one document. The windows that repeat at one length alone are carried on: a window
+    twice as long can repeat only if both its halves did.
     """
-    rows, out, length = _originals(docs), None, window
+    base, out, length = _texts(docs), None, window
+    halves = repeated_half_windows(base, window)
+    texts = base.join(halves, "key", "left").select("key", "weight", "text", "halves")
     while True:
-        halves = repeated_half_windows(rows, length)
-
-        def run(batches: Iterator[pa.RecordBatch], size: int = length) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row, n, data, offsets in text_chunks(batch):
-                    w = Windows(data, offsets, size)
-                    which = w.candidates(np.unique(_longs(batch.slice(row, n).column(1))))
-                    hashes, counts = np.unique(w.full(which), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], names=["h", "n"])
-
-        found = rows.filter("NOT copy").join(halves, "key").select("text", "halves").mapInArrow(run, "h long, n long")
-        level = found.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").agg(F.count(F.lit(1)).alias("windows"), F.sum("n").alias("occurrences"))
+        found = _windows_of(texts, length)
+        several = written(found.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1"), "repeated")
+        level = several.agg(F.count(F.lit(1)).alias("windows"), F.coalesce(F.sum("n"), F.lit(0)).alias("occurrences"))
         level = written(level.select(F.lit(length).cast("long").alias("n_words"), "windows", "occurrences"), "lengths")
         if not level.first()["windows"]:
             return level.limit(0) if out is None else out
         out, length = level if out is None else out.unionByName(level), 2 * length
+        known = found.join(several.select("h"), "h").groupBy("key").agg(F.collect_list("h").alias("known"))
+        texts = base.join(known, "key").select("key", "weight", "text", "known")

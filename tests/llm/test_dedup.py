@@ -53,12 +53,44 @@ def test_windows_inside_one_text(spark):
     assert got == {d: v[1:] for d, v in want.items()}
 
 
+def expected_lengths(rows, window=20):
+    """(n_words, windows, occurrences) by counting all windows of every document."""
+    out, length = [], window
+    documents = {(repr(d) if d is not None else f"text {t}", t) for d, t in rows}
+    while True:
+        seen = {}
+        for _, text in documents:
+            w = words(text)
+            for s in range(len(w) - length + 1):
+                key = tuple(w[s : s + length])
+                seen[key] = seen.get(key, 0) + 1
+        several = [n for n in seen.values() if n > 1]
+        if not several:
+            return out
+        out.append((length, len(several), sum(several)))
+        length *= 2
+
+
 def test_repeated_lengths(spark):
-    docs = spark.createDataFrame([(1, sentence(50, 1) + " " + sentence(30, 2)), (2, sentence(30, 3) + " " + sentence(50, 1))], "doc_id long, text string")
-    assert {r.n_words: r.windows for r in substrings.repeated_lengths(docs).collect()} == {20: 31, 40: 11}
+    line, long = sentence(23, 1), sentence(100, 2)
+    texts = [
+        f"{sentence(30, 3)} {line} {sentence(30, 4)}", f"{line} {sentence(9, 5)} {line} {line}", long, f"{sentence(12, 6)} {long[40:]}", sentence(50, 7), sentence(50, 7),
+        sentence(50, 7), sentence(19, 8), sentence(19, 8), None, "", " ".join(["a"] * 90), f"{sentence(30, 3)} {sentence(45, 9)}",
+    ]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(4, texts[4]), (None, line), (None, line), (77, long)]
+    docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, h string")
+    got = sorted(tuple(r) for r in substrings.repeated_lengths(docs).collect())
+    assert got == expected_lengths(rows) and [r[0] for r in got] == [20, 40, 80]
     assert substrings.repeated_lengths(no_documents(spark)).collect() == []
 
 
+def test_repeated_lengths_of_the_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(120)
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in substrings.repeated_lengths(table).collect()) == expected_lengths(rows)
+
+
 def expected_fingerprint(text):
     w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     shingles = [" ".join(w[i : i + 4]) for i in range(len(w) - 3)] or ([" ".join(w)] if w else [])
