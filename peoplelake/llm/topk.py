@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from peoplelake.llm.common import written
@@ -127,6 +127,7 @@ def top_k(vectors: DataFrame, id_column: str, vector_column: str, is_query: Colu
 
     keys = ["dim", "q_block", "x_block"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score long")
-    best = found.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))).alias("all"))
-    best = best.select("query_id", F.posexplode(F.slice("all", 1, k)).alias("p", "b"))
-    return best.select("query_id", (F.col("p") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.s")).alias("score"))
+    # only the first k ranks are asked for, so every task keeps k rows a query before they are exchanged
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return best.select("query_id", "rank", "vec_id", "score")
