@@ -88,13 +88,15 @@ def aligned_windows(docs: DataFrame, shingles: DataFrame) -> DataFrame:
 
 
 def simhashes(shingled: DataFrame) -> DataFrame:
-    """(key, fp): bit i is set where the weights of the shingle hashes that have it outweigh those that don't."""
-    votes = [F.sum(F.when(F.shiftright("h", i).bitwiseAND(F.lit(1)) == 1, F.col("weight")).otherwise(-F.col("weight"))).alias(f"v{i}") for i in range(64)]
-    bit = lambda i: F.when(F.col(f"v{i}") > 0, F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))
-    fp = bit(0)
-    for i in range(1, 64):
-        fp = fp.bitwiseOR(bit(i))
-    return shingled.groupBy("key").agg(*votes).select("key", fp.alias("fp"))
+    """(key, fp) by weight and by number of times: bit i is set where the shingle hashes that have it outweigh the others.
+
+    A key's shingles are those of an item or of a window of its length, so their list is short.
+    """
+    rows = shingled.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("h", "weight", "times"))).alias("s"))
+    vote = "aggregate(s, 0D, (v, x) -> v + IF(getbit(x.h, i) = 1, x.{of}, -x.{of}))"
+    bits = "aggregate(sequence(0, 63), 0L, (f, i) -> f | IF(" + vote + " > 0D, shiftleft(1L, i), 0L))"
+    both = F.array(*[F.expr(bits.format(of=of)) for of in ("weight", "times")])
+    return rows.select("key", F.explode(F.array_distinct(both)).alias("fp"))
 
 
 def _blocks(fp: Column) -> Column:
@@ -130,9 +132,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     of_window = of_window.join(weights, "h", "left").withColumn("weight", F.col("times") * F.coalesce("weight", F.lit(1.0)))
     of_window = written(of_window, "window_shingles")
     of_item = shingles.groupBy("key", "h").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("times"))
-    plain = lambda rows: rows.select("key", "h", F.col("times").cast("double").alias("weight"))
-    prints = lambda rows: simhashes(rows).unionByName(simhashes(plain(rows))).distinct()
-    pairs = hamming_pairs(prints(of_item), prints(of_window)).groupBy("item", "window").agg(F.min("hamming").alias("hamming"))
+    pairs = hamming_pairs(simhashes(of_item), simhashes(of_window)).groupBy("item", "window").agg(F.min("hamming").alias("hamming"))
     sums = lambda name: [F.sum("weight").alias(f"{name}_weight"), F.sum("times").alias(f"{name}_times")]
     total = lambda rows, name: rows.groupBy(F.col("key").alias(name)).agg(*sums(name))
     common = pairs.join(of_window.select(F.col("key").alias("window"), "h", F.col("weight").alias("ww"), F.col("times").alias("wt")), "window")
