@@ -61,7 +61,11 @@ def train_logreg(
         line = line.setWeightCol(weight)
     assemble = VectorAssembler(inputCols=list(columns), outputCol="raw_features")
     scale = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
-    return Pipeline(stages=[assemble, scale, line]).fit(df)
+    model = Pipeline(stages=[assemble, scale, line]).fit(df)
+    # a fitted line keeps its training summary, and with it the session, which tasks can't take along once it observes metrics
+    path = run_dir(df.sparkSession, "logreg")
+    save_model(model, path)
+    return load_model(path)
 
 
 def model_columns(model: PipelineModel) -> list[str]:
