@@ -145,6 +145,22 @@ def test_chunks_are_even_wherever_values_lie(spark, group):
     assert all(x["b"] < y["a"] for x, y in zip(last, last[1:]) if not group or x["g"] == y["g"])
 
 
+@pytest.mark.parametrize("group", [[], ["g"]])
+def test_a_chunk_is_found_without_walking_the_edges(spark, group):
+    rng = random.Random(11)
+    values = [*[rng.choice([rng.randint(0, 40), rng.random() * 1e6]) for _ in range(3000)], None]
+    df = spark.createDataFrame([(i % 2, v if v is None else float(v)) for i, v in enumerate(values)], "g int, v double")
+    chunks = with_chunks(df, group, "v")
+    found = chunks.select(*df.columns, "_chunk").collect()
+    shares = F.array(*[F.lit(i / 1024) for i in range(1, 1024)])
+    edges = {r[0] if group else None: r["e"] for r in df.groupBy(*group).agg(F.percentile_approx("v", shares, F.lit(8192)).alias("e")).collect()}
+    for r in found:
+        mine = edges[r["g"] if group else None]
+        assert r["_chunk"] == (0 if r["v"] is None else sum(e < r["v"] for e in mine))
+    # a filter over an array looks at each of its elements, for every row
+    assert "filter(" not in chunks._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 7])
 def test_percentile_rule(spark, n):
     df = spark.createDataFrame([("g", i) for i in range(1, n + 1)], "g string, v long")
