@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from peoplelake.operators.features import LABEL
 from verification import binding
 from peoplelake.plans.daily import run_daily
 from peoplelake.sources.loads import LoadConfig
-from verification.lab import lab, linear_scores
+from verification.lab import Lab, lab, linear_scores
 
 
 def test_feature_columns_leave_out_key_and_label(spark):
@@ -182,6 +183,17 @@ def test_training_beats_chance_and_survives_saving(trees, tmp_path):
     assert same.count() == 0
 
 
+def test_evaluations_run_at_once():
+    class Waiting(Lab):
+        parts = early = None
+        cv = oot = linear_cv = property(lambda self: self.met.wait())
+
+        def __init__(self):
+            self.met = threading.Barrier(3, timeout=20)
+
+    Waiting().evaluate()
+
+
 def test_cross_validation_and_verdict(spark):
     df = sample(spark)
 
