@@ -33,6 +33,7 @@ from peoplelake.llm.common import shared_dir
 PIECE = re.compile(r"[ \t-\r]*(?:[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+(?=[ \t-\r!-@\[-`{-~]|$)|[^ \t-\r]+)|[ \t-\r]+")
 #: White space to some regular expression engines; texts that hold any are encoded in one piece.
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+SPACE = frozenset(" \t\n\v\f\r")
 #: Pieces in each of the two generations that a Python worker remembers, about 100 MB in all.
 CACHED_PIECES = 300_000
 PARTS_SCHEMA = "part int, data string, lengths string, n_docs long, n_tokens long"
@@ -78,6 +79,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        vocabulary = self.tokenizer.get_vocab()
+        # a byte-level vocabulary writes every byte as one character
+        self.widths = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        self.widths[list(vocabulary.values())] = [len(token) for token in vocabulary]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -88,16 +93,35 @@ class Encoder:
         flat = np.fromiter(itertools.chain.from_iterable(ids), dtype=self.kind).tobytes()
         return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=False)]
 
+    def ids_in_one(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that begin with white space and end with something else, encoded as one text.
+
+        The tokenizer splits before each, and the bytes of the tokens tell where one ends; if they ever don't, every piece
+        is encoded by itself.
+        """
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, dtype=np.int64)
+        ends = np.cumsum(self.widths[ids])
+        wanted = np.cumsum([len(p.encode()) for p in pieces])
+        at = np.searchsorted(ends, wanted)
+        if not len(ends) or ends[-1] != wanted[-1] or not np.array_equal(ends[at], wanted):
+            return self.ids(pieces)
+        flat, cuts = ids.astype(self.kind).tobytes(), ((at + 1) * self.kind.itemsize).tolist()
+        return [flat[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [[t] if OTHER_SPACE.search(t) else PIECE.findall(t) for t in texts]
         if len(self.young) > CACHED_PIECES:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        fresh = {p for text in pieces for p in text if p not in young}
+        fresh = set().union(*pieces).difference(young)
         again = fresh & old.keys()
         young.update((p, old[p]) for p in again)
-        fresh = list(fresh - again)
-        young.update(zip(fresh, self.ids(fresh), strict=True))
+        fresh -= again
+        joined = [p for p in fresh if p[0] in SPACE and p[-1] not in SPACE and not OTHER_SPACE.search(p)]
+        single = list(fresh.difference(joined))
+        for group in _text_groups(joined):
+            young.update(zip(group, self.ids_in_one(group), strict=True))
+        young.update(zip(single, self.ids(single), strict=True))
         return [b"".join(map(young.__getitem__, text)) for text in pieces]
 
 

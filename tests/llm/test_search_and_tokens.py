@@ -61,6 +61,24 @@ def expected_top(vectors, k=5):
     return out
 
 
+def test_new_words_are_encoded_together():
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.texts = inner, 0
+
+        def encode_batch_fast(self, texts, **settings):
+            self.texts += len(texts)
+            return self.inner.encode_batch_fast(texts, **settings)
+
+    rng, e = random.Random(5), tokens.Encoder(BPE)
+    whole, e.tokenizer = e.tokenizer, Counting(e.tokenizer)
+    alphabet = "abcxyz019.,'-<|>\u00e9\u00df\u4e2d\U0001f600\u0301"
+    words = ["".join(rng.choices(alphabet, k=rng.randint(1, 9))) for _ in range(3000)]
+    texts = ["".join(rng.choice((" ", "  ", "\n", " \t")) + w for w in words[i : i + 100]) + rng.choice(("", " ", "\n ")) for i in range(0, 3000, 100)]
+    want = [np.array(whole.encode(t, add_special_tokens=False).ids, dtype=e.kind).tobytes() for t in texts]
+    assert e.encode(texts) == want and e.tokenizer.texts < 1000
+
+
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(0, 0.3, 24)]) for i in range(420)]
