@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from peoplelake.operators import dims, facts, marts, staging
+from verification import binding
 
 D = dt.date
 EMPLOYEE = (
@@ -224,6 +225,27 @@ def test_clamp(spark):
     assert staging.clamp_report(salary, nobody, "employee_id", "d").first()["dropped"] == 0
 
 
+def test_clamp_of_events_whose_key_stands_in_their_parents(spark):
+    parents = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (3, None), (None, "a"), (4, "c"), (4, "c")], "o long, k string")
+    events = spark.createDataFrame([(o, D(2020, m, 1) if m else None) for o in (1, 2, 3, 4, 5, None) for m in (1, 1, 6, None)], "o long, d date")
+    gone = spark.createDataFrame([("a", D(2020, 3, 1)), ("a", D(2020, 2, 1)), ("b", D(2020, 7, 1)), ("z", D(2020, 1, 1))], "k string, exit_date date")
+    flat = staging.clamp_events_to_exit(events.join(parents, "o"), gone, "k", "d")
+    found = staging.clamp_events_to_exit(events, gone, "k", "d", parents=parents, on="o")
+    assert found.columns == flat.columns == ["o", "d", "k"]
+    assert sorted(map(str, found.collect())) == sorted(map(str, flat.collect()))
+
+
+def test_lines_are_dealt_once(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for name in ("performance_reviews", "recruitment_events"):
+            plan = str(binding.source_table(spark, sf_dir, name)._jdf.queryExecution().executedPlan())
+            # one for the lines, one for their orders
+            assert plan.count("hashpartitioning(l_orderkey") == 2, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize(
     ("start", "end", "want"),
     [
