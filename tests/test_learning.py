@@ -183,6 +183,11 @@ def test_training_beats_chance_and_survives_saving(trees, tmp_path):
     assert same.count() == 0
 
 
+def test_a_fit_has_no_more_tasks_than_cores():
+    assert [models.fit_partitions(n, 12) for n in (0, 1, 20_000, 20_001, 230_000, 2_500_000)] == [1, 1, 1, 2, 12, 12]
+    assert models.fit_partitions(60_000_000, 12) == 120
+
+
 def test_evaluations_run_at_once():
     class Waiting(Lab):
         parts = early = None
