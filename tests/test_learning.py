@@ -5,6 +5,7 @@ import math
 import random
 import threading
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,6 +164,26 @@ def test_tree_scores_and_drivers(trees):
         assert r["risk_band"] in ("high", "medium", "low") and 0 <= r["risk_score"] <= 1
 
 
+def test_shares_of_all_patterns_are_those_of_rows(monkeypatch):
+    rng = np.random.default_rng(4)
+
+    def leaf(d):
+        low, high = np.where(rng.random(d) < 0.5, -np.inf, -rng.random(d)), np.where(rng.random(d) < 0.5, np.inf, rng.random(d))
+        return explain.LeafPath(rng.choice(9, d, replace=False), low, high, rng.random(d), float(rng.normal()))
+
+    leaves, x = [leaf(d) for d in (1, 2, 3, 5, 6, 7, 9)], rng.normal(size=(400, 9))
+    x[::7, 2] = np.nan
+    want = np.zeros_like(x)
+    for path in leaves:
+        cells = x[:, path.features]
+        want[:, path.features] += explain.path_shares(path, ((cells > path.low) & (cells <= path.high)).astype(float))
+    tables = explain.share_tables(leaves)
+    assert [t is None for t in tables] == [False] * 5 + [True] * 2
+    assert np.allclose(explain._contributions(x, leaves, tables), want, rtol=0, atol=1e-12)
+    monkeypatch.setattr(explain, "path_shares", None)  # rows are looked up, not worked out again
+    explain._contributions(x, leaves[:5], tables[:5])
+
+
 def test_linear_contributions_add_up(spark):
     df = models.with_weight(sample(spark))
     model = models.train_logreg(df, COLUMNS, maxIter=30)
