@@ -64,6 +64,12 @@ def _mapped(uri: str, kind) -> np.ndarray:
         return np.frombuffer(source.read(), dtype=kind)
 
 
+def _has_other_space(text: str) -> bool:
+    if text.isascii():
+        return "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+    return OTHER_SPACE.search(text) is not None
+
+
 class Encoder:
     """Token ids of whole texts as bytes.
 
@@ -109,7 +115,8 @@ class Encoder:
         return [flat[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        pieces = [[t] if OTHER_SPACE.search(t) else PIECE.findall(t) for t in texts]
+        whole = {t for t in texts if _has_other_space(t)}
+        pieces = [[t] if t in whole else PIECE.findall(t) for t in texts] if whole else list(map(PIECE.findall, texts))
         if len(self.young) > CACHED_PIECES:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
@@ -117,7 +124,7 @@ class Encoder:
         again = fresh & old.keys()
         young.update((p, old[p]) for p in again)
         fresh -= again
-        joined = [p for p in fresh if p[0] in SPACE and p[-1] not in SPACE and not OTHER_SPACE.search(p)]
+        joined = [p for p in fresh if p[0] in SPACE and p[-1] not in SPACE and p not in whole]
         single = list(fresh.difference(joined))
         for group in _text_groups(joined):
             young.update(zip(group, self.ids_in_one(group), strict=True))

@@ -61,6 +61,12 @@ def expected_top(vectors, k=5):
     return out
 
 
+def test_other_space_is_found_in_every_text():
+    for i in range(0x3100):
+        for text in (chr(i), f"a {chr(i)}b", f"\u4e2d{chr(i)}"):
+            assert tokens._has_other_space(text) == bool(tokens.OTHER_SPACE.search(text))
+
+
 def test_new_words_are_encoded_together():
     class Counting:
         def __init__(self, inner):
