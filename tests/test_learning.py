@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import threading
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -40,6 +41,21 @@ def test_features_before_any_event_use_defaults(spark, sf_dir):
     assert row["days_since_last_raise"] == 9999 and row["num_reviews"] == 0 and row["last_score"] == 0
 
 
+def test_review_totals_do_not_travel_per_manager(spark):
+    """Totals per employee, the row of a NULL employee included; no aggregate of the last review is keyed by the manager."""
+    rows = [
+        ("a", "1998-01-01", 3.0, 3.0, 0.0, 1, "m"), ("a", "1998-02-01", 4.0, 3.5, 1.0, 2, "n"), ("a", "1998-03-01", 2.0, 3.0, -2.0, 3, "m"),
+        ("a", "1999-01-01", 5.0, 3.5, 3.0, 4, "o"), ("b", "1998-01-01", 1.0, 1.0, 0.0, 1, None), (None, "1998-01-01", 2.0, 2.0, 0.0, 1, "m"),
+    ]
+    columns = "employee_id string, day string, score decimal(3,2), score_4q_avg decimal(7,6), score_delta decimal(4,2), review_seq long, manager_id string"
+    facts = spark.createDataFrame([(k, d, *[Decimal(str(v)) for v in vs], n, m) for k, d, *vs, n, m in rows], columns)
+    got = features.feat_performance(facts.withColumn("review_date", F.col("day").cast("date")), binding.CUTOFF)
+    assert {tuple(r) for r in got.collect()} == {("a", 3, 2, 3.0, 2.0, 3.0, -2.0), ("b", 1, 0, 1.0, 1.0, 1.0, 0.0), (None, 1, 1, 2.0, 2.0, 2.0, 0.0)}
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    keyed = [line.split("functions=")[0] for line in plan.splitlines() if "max_by" in line]
+    assert keyed and not any("manager_id" in keys for keys in keyed)
+
+
 def test_one_hot(spark):
     df = spark.createDataFrame([("a", "male"), ("b", None), ("c", "female")], "employee_id string, gender string")
     seen = features.observed_values(df, ["gender"])
