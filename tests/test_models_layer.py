@@ -265,3 +265,15 @@ def test_dirty_raw_values_become_null(spark):
     )
     got = staging.stg_departments(raw).collect()
     assert [tuple(r) for r in got] == [(7, "Ops", None)]
+
+
+def test_source_keys_are_formatted_without_the_formatter(spark):
+    """The same text for every key, and the formatter is left to keys below zero and NULL."""
+    keys = [0, 7, 99_999, 999_999, 1_000_000, 5_400_000, 2**40, -1, -1_234_567, None]
+    df = spark.createDataFrame([(k,) for k in keys], "k long").select(
+        binding.employee_id(F.col("k")).alias("a"), F.format_string("EMP-%06d", "k").alias("b"),
+        binding._numbered("REQ-", F.col("k")).alias("c"), F.format_string("REQ-%d", "k").alias("d"),
+    )
+    assert all(r["a"] == r["b"] and r["c"] == r["d"] for r in df.collect())
+    usual = spark.range(3).select(binding.employee_id(F.col("id")).alias("e"))
+    assert "lpad" in usual._jdf.queryExecution().optimizedPlan().toString()
