@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from peoplelake.operators import dims, facts, marts, staging
+from peoplelake.operators import dims, exports, facts, marts, staging
 from verification import binding
 
 D = dt.date
@@ -206,6 +206,43 @@ def test_requisition_that_never_hired(spark):
     assert row["screening_rate_pct"] == 0 and row["interview_rate_pct"] is None
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_events_are_dealt_by_requisition_once(spark):
+    stages = ("applied", "screening", "interview", "offer", "hired", "rejected", None)
+    rows = [(d, r, c, stages[(i * 3 + (c is None)) % 7], D(2020, 1 + i % 12, 1 + i % 28) if i % 9 else None)
+            for i in range(60) for d, r, c in ((1 + i % 2, f"r{i % 5}", f"c{i % 4}"), (1, "busy", None if i % 6 == 0 else f"c{i % 7}"), (None, None, "c"), (2, None, f"c{i}"))]
+    df = spark.createDataFrame(rows, "department_id long, requisition_id string, candidate_id string, stage string, stage_date date")
+    dept = spark.createDataFrame([(1, "d"), (2, "e")], "department_id long, department_name string")
+    once = marts.mart_hiring(df, calendar(spark), dept)
+    by_quarter = sorted(map(str, once.collect()))
+    assert by_quarter and all(by_quarter == sorted(map(str, marts.mart_hiring(df, calendar(spark), dept, hot).collect())) for hot in (0, 25))
+    assert "candidate_id#" not in " ".join(x.split(")")[0] for x in final_plan(once).split("hashpartitioning(")[1:])
+
+
+def test_reviews_move_once_to_their_employee(spark):
+    rows = [("busy" if i % 2 else f"e{i % 9}", None if i % 11 == 0 else f"2020-Q{1 + i % 4}", (i % 9 + 2) * 0.5 if i % 13 else None) for i in range(80)]
+    fct = spark.createDataFrame([*rows, (None, "2020-Q1", 3.0)], "employee_id string, year_quarter string, score double")
+    fct = fct.withColumn("score", F.col("score").cast("decimal(3,2)"))
+    staff = spark.createDataFrame([(e, 1 + n % 2, 1) for n, e in enumerate(["busy", "e0", "e2", "e4", "e4"])], "employee_id string, department_id long, is_current int")
+
+    def totals(**more):
+        found = exports._reviews_by_employee(fct, staff, **more).groupBy("year_quarter", "department_id")
+        return sorted(map(str, found.agg(F.sum("n"), F.sum("s")).collect()))
+
+    assert totals() and totals() == totals(hot_rows=0) == totals(hot_rows=20)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = final_plan(exports.perf_dist(fct, staff))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(employee_id#" in plan
+    assert not any("employee_id#" in x and "year_quarter#" in x for x in (x.split(")")[0] for x in plan.split("hashpartitioning(")))
+
+
 def test_clamp(spark):
     exits = spark.createDataFrame([("E1", D(2025, 6, 30))], "employee_id string, exit_date date")
     salary = spark.createDataFrame(

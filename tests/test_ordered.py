@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from peoplelake.functions.ordered import first_by_key, hot_keys, last_by_key, ranked_histogram, running_totals, with_chunks, with_neighbours, with_pieces
+from peoplelake.functions.ordered import first_by_key, hot_keys, last_by_key, ranked_histogram, running_totals, split_crowded, with_chunks, with_neighbours, with_pieces
 from peoplelake.operators.facts import fct_performance, fct_salary
 from peoplelake.operators.dims import dim_employee
 from peoplelake.operators.features import stratified_kfold, stratified_split
@@ -78,6 +78,27 @@ def test_hot_keys_are_few(spark):
     assert [r["k"] for r in hot_keys(df, "k", 100).collect()] == ["hot"]
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_keys_are_counted_one_by_one_in_full_slots_only(spark):
+    """Every key has few rows: no exchange by key is left, which would move a row for each of them."""
+    df = spark.range(3000).select(F.concat(F.lit("E"), F.col("id") % 1000).alias("k"))
+    assert "hashpartitioning(k#" not in final_plan(hot_keys(df, "k", 1000))
+    assert sorted(r["k"] for r in hot_keys(df.unionByName(spark.createDataFrame([("E7",), (None,)], "k string")), "k", 3).collect()) == ["E7"]
+
+
+def test_crowded_keys_are_split_off_whole(spark):
+    data = [(None, i) for i in range(5)] + [("a", i) for i in range(40)] + [(f"k{i}", i) for i in range(50)]
+    df = spark.createDataFrame(data, "k string, i int")
+    ordinary, crowded = (sorted(map(tuple, part.collect()), key=repr) for part in split_crowded(df, ["k"], 10))
+    assert sorted(ordinary + crowded, key=repr) == sorted(data, key=repr)
+    assert ("a", 0) in crowded and not {k for k, _ in ordinary} & {k for k, _ in crowded}
+    assert (None, 0) in ordinary
+
+
 def test_null_keys_and_dates_are_kept(spark):
     rows = [("a", None, 1, 5), ("a", BASE, 2, 6), (None, BASE, 3, 7), ("a", BASE, 4, 8)]
     got = computed(spark, rows, 1, 0, hot_rows=1)

@@ -33,6 +33,14 @@ def table(spark, path, schema=ROW, key="id"):
 # ---------------------------------------------------------------- versions
 
 
+def test_files_are_packed_tightly(spark, tmp_path):
+    """Whatever the session's codec."""
+    t = table(spark, tmp_path / "t")
+    t.publish(frame(spark, [(1, "a")]))
+    t.publish(frame(spark, [(1, "a"), (2, "b")]), F.col("id"))
+    assert t.files() and all(f.path.endswith(".zstd.parquet") for f in t.files())
+
+
 def test_a_write_that_stops_half_way_leaves_the_old_version(spark, tmp_path):
     df = frame(spark, [(1, "old"), (2, "old")])
     sinks.materialize(df, str(tmp_path / "t"))
