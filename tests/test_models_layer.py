@@ -7,8 +7,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from peoplelake.operators import dims, exports, facts, marts, staging
-from verification import binding
+from peoplelake.operators import checks, dims, exports, facts, marts, staging
+from verification import binding, queries
 
 D = dt.date
 EMPLOYEE = (
@@ -243,6 +243,23 @@ def test_reviews_move_once_to_their_employee(spark):
     assert not any("employee_id#" in x and "year_quarter#" in x for x in (x.split(")")[0] for x in plan.split("hashpartitioning(")))
 
 
+class Seen(Exception):
+    pass
+
+
+def test_declared_tests_are_counted_in_the_first_write(spark, sf_dir, monkeypatch):
+    """The first table tested comes from its source, not from a copy written before."""
+
+    def stop(df, path, tests):
+        raise Seen(tests.table, df.inputFiles())
+
+    monkeypatch.setattr(checks, "publish_tested", stop)
+    with pytest.raises(Seen) as seen:
+        queries.QUERIES["declared_tests_observed"](spark, sf_dir)
+    table, files = seen.value.args
+    assert table == "raw_departments" and [f.rsplit("/", 1)[1] for f in files] == ["region.parquet"]
+
+
 def test_clamp(spark):
     exits = spark.createDataFrame([("E1", D(2025, 6, 30))], "employee_id string, exit_date date")
     salary = spark.createDataFrame(
