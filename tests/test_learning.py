@@ -8,9 +8,12 @@ from decimal import Decimal
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from peoplelake.operators import checks, explain, features, metrics, models, report, rules
+from peoplelake.operators import boosting, checks, explain, features, metrics, models, report, rules
 from peoplelake.operators.features import LABEL
 from verification import binding
 from peoplelake.plans.daily import run_daily
@@ -225,6 +228,89 @@ def test_a_fit_has_no_more_tasks_than_cores():
     assert models.fit_partitions(60_000_000, 12) == 120
 
 
+def steps(spark, n=600, weights=(2.0, 1.0)):
+    """Columns of few values, one of them constant, so that every way of binning finds the same edges."""
+    rng = random.Random(3)
+    rows = []
+    for _ in range(n):
+        a, b, c = rng.randrange(20), rng.randrange(4), rng.randrange(2)
+        y = int(a + 3 * b * c + rng.gauss(0, 5) > 14)
+        rows.append((y, float(a), float(b), float(c), 7.0, rng.choice(weights) if len(weights) > 2 else weights[y]))
+    return spark.createDataFrame(rows, f"{LABEL} int, a double, b double, c double, d double, weight double")
+
+
+EXACT = {"maxIter": 12, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}
+
+
+def probabilities(model, df):
+    return [r[0] for r in models.predict(model, df).select("probability").collect()]
+
+
+@pytest.mark.parametrize("weights", [(2.0, 1.0), (1.0, 2.5, 0.5)])
+def test_trees_are_those_of_spark(spark, weights):
+    df, columns = steps(spark, weights=weights), ["a", "b", "c", "d"]
+    trees = GBTClassifier(labelCol=LABEL, featuresCol="features", weightCol="weight", seed=42, **EXACT)
+    want = Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features"), trees]).fit(df)
+    got = models.train_gbt(df, columns, **EXACT)
+    assert probabilities(got, df) == pytest.approx(probabilities(want, df), abs=1e-9)
+    assert got.stages[-1].treeWeights == want.stages[-1].treeWeights and got.stages[-1].getMaxIter() == 12
+    assert got.stages[-1].featureImportances.toArray() == pytest.approx(want.stages[-1].featureImportances.toArray(), abs=1e-9)
+
+
+def test_spread_fit_is_that_of_one_task(spark, monkeypatch):
+    df, columns = steps(spark).repartition(3), ["a", "b", "c", "d"]
+    want = probabilities(models.train_gbt(df, columns, **EXACT), df)
+    monkeypatch.setattr(boosting, "TASK_ROWS", 0)
+    monkeypatch.setattr(boosting, "FRESH_ROUNDS", 5)
+    monkeypatch.setattr(models, "ROWS_PER_PARTITION", 200)
+    assert probabilities(models.train_gbt(df, columns, **EXACT), df) == pytest.approx(want, abs=1e-9)
+
+
+def test_more_rounds_take_no_more_jobs(spark):
+    df, context = models.with_weight(sample(spark)), spark.sparkContext
+
+    def jobs(rounds):
+        context.setJobGroup(f"fit of {rounds}", "")
+        try:
+            models.train_gbt(df, COLUMNS, maxIter=rounds)
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        return len(context.statusTracker().getJobIdsForGroup(f"fit of {rounds}"))
+
+    assert jobs(9) == jobs(2) > 0
+
+
+def test_fit_refuses_what_it_cannot_bin(spark):
+    df = steps(spark, 30)
+    for column, value in (("a", None), ("b", math.nan), (LABEL, 2), ("weight", -1.0)):
+        faulty = df.withColumn(column, F.when(F.col("a") > 10, F.lit(value)).otherwise(F.col(column)))
+        with pytest.raises(ValueError, match="label" if column == LABEL else column):
+            models.train_gbt(faulty, ["a", "b"], maxIter=1)
+    with pytest.raises(ValueError, match="no rows"):
+        models.train_gbt(df.limit(0), ["a", "b"], maxIter=1)
+
+
+def test_one_class_gives_one_leaf(spark):
+    df = steps(spark, 30).withColumn(LABEL, F.lit(1)).drop("weight")
+    model = models.train_gbt(models.with_weight(df), ["d"], maxIter=2)
+    assert set(probabilities(model, df)) == {0.5}  # no negative row: all weights are zero
+
+
+def test_edges_of_bins():
+    assert boosting.edges_of([3.0, 1.0, 1.0, 2.0], 4).tolist() == [1.5, 2.5] and boosting.edges_of([5.0] * 9, 4).tolist() == []
+    assert boosting.edges_of(range(100), 4).tolist() == [24.5, 49.5, 74.5]
+    assert [boosting._per_node(s, 21) for s in ("0.8", "all", "sqrt", "log2", "onethird", "5", "50")] == [17, 21, 5, 5, 7, 5, 21]
+
+
+def test_summaries_are_counted_once(spark, sf_dir):
+    """Whatever a second count would give, the verdict and its check read the same rows."""
+    x, draw = Lab(spark, sf_dir), F.udf(random.random, "double").asNondeterministic()
+    rows = sample(spark).withColumn("probability", draw()).withColumn("fold", (F.hash("employee_id") % 2).cast("int"))
+    x.__dict__.update(cv=rows, linear_cv=rows, oot=rows, early=rows, parts=rows)
+    for row in x.summaries():
+        assert row.collect() == row.collect()
+
+
 def test_evaluations_run_at_once():
     class Waiting(Lab):
         parts = early = None
