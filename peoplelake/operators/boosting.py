@@ -410,9 +410,9 @@ def _stored(spark, trees: GBTClassifier, columns: int, rounds: int, nodes: DataF
     def described(kind: str, uid: str, **more) -> str:
         tree = kind.endswith("RegressionModel")
         left_out = ("featureSubsetStrategy", "lossType", "maxIter", "probabilityCol", "rawPredictionCol", "stepSize", "subsamplingRate", "validationTol", "thresholds")
-        maps = (
-            {p.name: v for p, v in m.items() if not (tree and p.name in left_out)} for m in (trees._paramMap, trees._defaultParamMap)
-        )
+        # a tree has its defaults anyway, and reading them takes time for every tree
+        given, defaults = ({p.name: v for p, v in m.items()} for m in (trees._paramMap, trees._defaultParamMap))
+        maps = ({k: v for k, v in given.items() if k not in left_out}, {}) if tree else (given, defaults)
         head = {"class": f"org.apache.spark.ml.{kind}", "timestamp": int(time.time() * 1000), "sparkVersion": spark.version, "uid": uid}
         return json.dumps({**head, **dict(zip(("paramMap", "defaultParamMap"), maps)), **more})
 
